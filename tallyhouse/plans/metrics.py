@@ -95,8 +95,6 @@ DIM_PRODUCT = Logical(
         "family_name": ("product family",), "category_name": ("product category", "category")},
     values={
         "price_tier": ("Standard", "Premium"), "lifecycle_status": ("ACTIVE", "DISCONTINUED"),
-        "category_name": ("iPhone", "iPad", "Mac", "Apple Watch", "AirPods", "Apple TV", "Accessories", "AppleCare",
-                          "Services"),
         "reporting_segment": ("Hardware", "Services", "Accessories")},
     unique=frozenset({"sku_code"}),
 )
@@ -337,11 +335,15 @@ class Model:
         columns = LOGICAL[table].columns()
         return self.table(table).select(*[F.col(columns[n]).alias(n) for n in (names or columns)])
 
-    def undeclared_values(self) -> DataFrame:
-        """Values that occur in the data but not in the declared list of their dimension."""
+    def undeclared_values(self, declared: Mapping[str, Mapping[str, Sequence[str]]] | None = None) -> DataFrame:
+        """Values that occur in the data but not in the declared list of their dimension.
+
+        ``declared`` adds lists that belong to one company, such as its category names, as
+        table -> dimension -> values.
+        """
         parts = []
         for logical in LOGICAL.values():
-            for name, allowed in logical.values.items():
+            for name, allowed in {**logical.values, **(declared or {}).get(logical.name, {})}.items():
                 found = values_outside(self.table(logical.name), logical.dimensions[name], allowed)
                 parts.append(found.select(
                     F.lit(logical.name).alias("table_name"), F.lit(name).alias("dimension"), "value", "rows"))

@@ -51,6 +51,7 @@ def quarterly_sales(model: Model) -> DataFrame:
                        order_by=["quarter"])
 
 
+# The questions as they are asked.
 QUESTIONS = {
     "What are the total sales by region?": total_sales_by_region,
     "What are the top 10 products by revenue?": top_10_products,
