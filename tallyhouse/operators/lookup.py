@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tallyhouse import runtime
 
+SALT = "__salt"
+
 
 def small(df: DataFrame, limit: int | None = None) -> bool:
     return runtime.source_bytes(df) <= (runtime.BROADCAST_BYTES if limit is None else limit)
@@ -18,6 +20,7 @@ def lookup(
     key: str,
     how: str = "inner",
     *,
+    weighed: DataFrame | None = None,
     broadcast_bytes: int | None = None,
     skew_bytes: int | None = None,
 ) -> DataFrame:
@@ -29,17 +32,22 @@ def lookup(
     2. otherwise both sides are shuffled on the key, and adaptive execution may still
        pick a broadcast or split a skewed partition from the sizes it measures;
     3. where ``many`` is large enough for a single key to overload a task, the keys that
-       hold at least a hundredth of its rows (so at most a hundred) stay out of that
-       shuffle: their rows meet a broadcast of just those rows of ``one``.
+       hold at least a hundredth of its rows (so at most a hundred) are spread over many
+       tasks by a salt, and only their rows of ``one`` are repeated, once per salt. The
+       keys are counted in ``weighed``, a stored table ``many`` was derived from, where
+       given. The salt is a hash of the row, so a task that runs again sends every row
+       where it went before.
     """
     if small(one, broadcast_bytes):
         return many.join(F.broadcast(one), key, how)
-    if runtime.source_bytes(many) < (runtime.SKEW_BYTES if skew_bytes is None else skew_bytes):
+    if not runtime.may_be_skewed(many, skew_bytes):
         return many.join(one, key, how)
-    hot = runtime.share_keys(many, key)
+    hot = runtime.share_keys(many if weighed is None else weighed, key)
     if not hot:
         return many.join(one, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    spread = many.filter(~is_hot).join(one.filter(~is_hot), key, how)
-    pinned = many.filter(is_hot).join(F.broadcast(one.filter(is_hot)), key, how)
-    return spread.unionByName(pinned)
+    salts = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_hot = F.col(key).isin(hot)
+    salted = many.withColumn(
+        SALT, F.when(is_hot, F.pmod(F.xxhash64(*many.columns), F.lit(salts)).cast("int")).otherwise(0))
+    repeats = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return salted.join(one.withColumn(SALT, F.explode(repeats)), [key, SALT], how).drop(SALT)

@@ -27,9 +27,10 @@ def chunked(
     chunk borders come from a sample and must stay the same for every later step.
     ``spread`` orders rows that are equal in (keys, order), where their order is free.
     """
-    if runtime.source_bytes(df) < (runtime.SKEW_BYTES if skew_bytes is None else skew_bytes):
+    if not runtime.may_be_skewed(df, skew_bytes):
         return df
-    ranged = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in (*keys, *order)], *spread)
+    pieces = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), runtime.pieces(df))
+    ranged = df.repartitionByRange(pieces, *[F.col(c).asc_nulls_first() for c in (*keys, *order)], *spread)
     return runtime.stored(ranged.withColumn(CHUNK, F.spark_partition_id()))
 
 

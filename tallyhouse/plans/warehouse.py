@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyhouse import runtime
 from tallyhouse.plans import dimensions, facts, summaries
 from tallyhouse.plans.silver import silver
 from tallyhouse.schemas import RAW_TABLES
@@ -32,14 +33,19 @@ GOLD: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "fact_sales_monthly": (summaries.fact_sales_monthly, ("fact_sales_header", "dim_date", "dim_country")),
 }
 
-# The two facts grow with the data: they are split by month, so that a refresh rewrites
-# the months it touches and time filters skip the others.
+# The two facts grow with the data: large ones are split by month, so that a refresh
+# rewrites the months it touches and time filters skip the others. A small one would only
+# fall into tiny files.
 BY_MONTH = {"fact_sales_header": "transaction_timestamp", "fact_sales_item": "transaction_timestamp"}
 MONTH = "sales_month"
+SPLIT_BYTES = 10 * runtime.GB
 
 
-SHARED = {n for _, needs in GOLD.values() for n in needs
-          if n.startswith("silver_") and sum(n in other for _, other in GOLD.values()) > 1}
+# Silver tables that are stored before gold reads them: those of several readers, and the
+# lines, which are read again to see which keys are frequent.
+STORED = {"silver_sales_item"} | {
+    n for _, needs in GOLD.values() for n in needs
+    if n.startswith("silver_") and sum(n in other for _, other in GOLD.values()) > 1}
 
 
 class Warehouse:
@@ -54,7 +60,7 @@ class Warehouse:
         if name not in self._built:
             layer, df = self._define(name)
             split = []
-            if name in BY_MONTH:
+            if name in BY_MONTH and runtime.source_bytes(df) >= SPLIT_BYTES:
                 df, split = df.withColumn(MONTH, month_of(BY_MONTH[name])), [MONTH]
             self._built[name] = replace(df, f"{self.root}/{layer}/{name}", split)
         return self._built[name]
@@ -64,6 +70,7 @@ class Warehouse:
 
     def build(self) -> dict[str, DataFrame]:
         """Every table, raw to gold."""
+        runtime.fit_shuffles(self.spark, *[self.raw(n) for n in RAW_TABLES])
         return self.tables(*[f"silver_{n}" for n in RAW_TABLES], *GOLD)
 
     def _define(self, name: str) -> tuple[str, DataFrame]:
@@ -75,6 +82,6 @@ class Warehouse:
 
     def _input(self, name: str) -> DataFrame:
         """A silver table that only one gold table reads becomes part of that table's plan."""
-        if name.startswith("silver_") and name not in SHARED and name not in self._built:
+        if name.startswith("silver_") and name not in STORED and name not in self._built:
             return self._define(name)[1]
         return self.table(name)

@@ -19,6 +19,9 @@ BROADCAST_BYTES = 16 * MB
 # Below this input size one key cannot overload a task, so skew is not looked for.
 SKEW_BYTES = 8 * GB
 
+# Spark gives sources without statistics about the largest long as their size.
+UNKNOWN_BYTES = 1 << 60
+
 
 def session(app: str = "tallyhouse", cpus: str = "*", partitions: int | None = None) -> SparkSession:
     """A local session for tests and benches; a cluster brings its own."""
@@ -52,12 +55,39 @@ def scratch_dir(spark: SparkSession) -> str:
 def source_bytes(df: DataFrame) -> int:
     """Size of all files and local rows that the optimised plan of ``df`` reads.
 
-    Sources without statistics count as huge, so callers treat them as large.
+    Sources without statistics count as huge: nothing is broadcast on their account.
     """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
+def may_be_skewed(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether the sources of ``df`` are large enough for one key to overload a task.
+
+    In-memory rows without statistics are left to adaptive execution.
+    """
+    return (SKEW_BYTES if limit is None else limit) <= source_bytes(df) < UNKNOWN_BYTES
+
+
+def pieces(df: DataFrame, size: int = 128 * MB) -> int:
+    """Number of pieces of ``size`` bytes in the sources of ``df``, 1 where their size is unknown."""
+    total = source_bytes(df)
+    return -(-total // size) if total < UNKNOWN_BYTES else 1
+
+
+def fit_shuffles(spark: SparkSession, *inputs: DataFrame, piece: int = 128 * MB) -> int:
+    """Let shuffles start with one partition per 128 MB of the inputs, if that is more than set.
+
+    Adaptive execution merges small partitions but never splits those of an aggregate or
+    a window, so the starting number has to suit the largest input.
+    """
+    wanted = max(pieces(df, piece) for df in inputs)
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > now:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, now)
+
+
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """``df`` written once and read back: cuts the lineage and survives lost executors."""
     path = path or scratch_dir(df.sparkSession)

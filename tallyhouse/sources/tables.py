@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse import runtime
+
 
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
@@ -32,7 +34,16 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
 
 
 def save_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
-    """Catalog table hashed and sorted on ``keys``: joins on the keys need no shuffle."""
+    """Catalog table hashed and sorted on ``keys``: joins on the keys need no shuffle.
+
+    A key value that holds a large share of the rows would fill one bucket and keep one
+    task busy on every read, so a large table with such a value is refused; a plain table
+    and :func:`~tallyhouse.operators.lookup.lookup` take it.
+    """
+    if len(keys) == 1 and runtime.may_be_skewed(df):
+        hot = runtime.share_keys(df, keys[0])
+        if hot:
+            raise ValueError(f"{keys[0]} has values too frequent for buckets: {hot[:5]}")
     (df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
      .option("path", path).saveAsTable(name))
     return df.sparkSession.table(name)

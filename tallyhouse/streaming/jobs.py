@@ -80,13 +80,15 @@ def refresh_touched(
     """Rebuild the partitions of a derived table that a stream of changes touches.
 
     ``whole()`` is the current input and ``build`` the full definition of the table, both
-    with the column ``partition``. The touched values reach the scan of the input as a
-    dynamic partition filter, and only those partitions of the result are replaced.
+    with the column ``partition``. The touched values, at most one per partition of the
+    table, become a filter on the scan of the input, and only those partitions of the
+    result are replaced.
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        touched = batch.select(partition).distinct()
-        replace_partitions(build(whole().join(touched, partition, "left_semi")), path, [partition])
+        touched = [row[0] for row in batch.select(partition).distinct().collect()]
+        if touched:
+            replace_partitions(build(whole().filter(F.col(partition).isin(touched))), path, [partition])
 
     return (changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())

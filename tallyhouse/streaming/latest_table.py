@@ -10,11 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.operators.latest import keep_latest
+from tallyhouse.operators.lookup import small
 from tallyhouse.schemas import LOAD_TS, ROW_NUMBER
 
 
@@ -32,22 +36,37 @@ class LatestTable:
         newest.write.mode("overwrite").parquet(f"{self.root}/changes/{batch_id}")
 
     def read(self) -> DataFrame:
-        parts = self._parts()
-        if not parts:
+        """The newest row of every key.
+
+        The base already holds one row per key. While the changes are small enough to
+        broadcast, only their keys are compared and the rest of the base is not shuffled.
+        """
+        base, changes = self._parts()
+        if not base or not changes:
+            return keep_latest(self._rows(changes), self.keys, self.newest) if changes else self._rows(base)
+        settled, news = self._rows(base), self._rows(changes)
+        if not small(news):
+            return keep_latest(settled.unionByName(news), self.keys, self.newest)
+        keys = F.broadcast(news.select(*[F.col(k).alias(f"__{k}") for k in self.keys]).distinct())
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in self.keys])
+        contested = settled.join(keys, same, "left_semi").unionByName(news)
+        return settled.join(keys, same, "left_anti").unionByName(keep_latest(contested, self.keys, self.newest))
+
+    def _rows(self, paths: list[str]) -> DataFrame:
+        if not paths:
             return self.spark.createDataFrame([], self.schema)
-        rows = self.spark.read.schema(self.schema).parquet(*parts)
-        return keep_latest(rows, self.keys, self.newest)
+        return self.spark.read.schema(self.schema).parquet(*paths)
 
     def compact(self) -> None:
         changes = self._finished("changes")
         if changes:
             self.read().write.mode("overwrite").parquet(f"{self.root}/base/{max(changes)}")
 
-    def _parts(self) -> list[str]:
+    def _parts(self) -> tuple[list[str], list[str]]:
+        """Folders of the base and of the batches it does not contain."""
         base = max(self._finished("base"), default=None)
-        newer = [n for n in self._finished("changes") if base is None or n > base]
-        folders = [f"{self.root}/changes/{n}" for n in sorted(newer)]
-        return folders if base is None else [f"{self.root}/base/{base}", *folders]
+        newer = sorted(n for n in self._finished("changes") if base is None or n > base)
+        return ([] if base is None else [f"{self.root}/base/{base}"]), [f"{self.root}/changes/{n}" for n in newer]
 
     def _finished(self, kind: str) -> list[int]:
         """Numbers of the folders whose write was committed."""
