@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,11 +34,12 @@ def lookup(
     2. otherwise both sides are shuffled on the key, and adaptive execution may still
        pick a broadcast or split a skewed partition from the sizes it measures;
     3. where ``many`` is large enough for a single key to overload a task, the keys that
-       hold at least a hundredth of its rows (so at most a hundred) are spread over many
-       tasks by a salt, and only their rows of ``one`` are repeated, once per salt. The
-       keys are counted in ``weighed``, a stored table ``many`` was derived from, where
-       given. The salt is a hash of the row, so a task that runs again sends every row
-       where it went before.
+       hold at least a hundredth of its rows (so at most a hundred) are spread by a salt
+       over a share of the tasks equal to their share of the rows. Only their rows of
+       ``one`` are repeated, once per salt: no more rows than there are tasks. The keys
+       are counted in ``weighed``, a stored table ``many`` was derived from, where given.
+       The salt is a hash of the row, so a task that runs again sends every row where it
+       went before; rows equal in every column stay together.
     """
     if small(one, broadcast_bytes):
         return many.join(F.broadcast(one), key, how)
@@ -45,9 +48,10 @@ def lookup(
     hot = runtime.share_keys(many if weighed is None else weighed, key)
     if not hot:
         return many.join(one, key, how)
-    salts = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.col(key).isin(hot)
+    tasks = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_hot = F.col(key).isin(list(hot))
+    salts = F.create_map(*[F.lit(x) for k, part in hot.items() for x in (k, math.ceil(part * tasks) + 1)])[F.col(key)]
     salted = many.withColumn(
-        SALT, F.when(is_hot, F.pmod(F.xxhash64(*many.columns), F.lit(salts)).cast("int")).otherwise(0))
-    repeats = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        SALT, F.when(is_hot, F.pmod(F.xxhash64(*many.columns), salts).cast("int")).otherwise(0))
+    repeats = F.when(is_hot, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))
     return salted.join(one.withColumn(SALT, F.explode(repeats)), [key, SALT], how).drop(SALT)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.integrity import values_outside
-from tallyhouse.operators.lookup import lookup
+from tallyhouse.operators.lookup import lookup, small
 from tallyhouse.plans.summaries import mean
 
 
@@ -355,22 +355,50 @@ class Model:
     # -- building blocks -------------------------------------------------------------
 
     def _aggregate(self, base, bases, metrics, groups, filters) -> DataFrame:
+        """One aggregate over one base table.
+
+        Dimensions small enough to broadcast are joined first. If others are left and all
+        metrics can be computed in two steps, the rows are added up per key of those before
+        the join: a customer with a third of all sales then enters the shuffle as one row
+        per task, and the join sees customers instead of sales.
+        """
         conditions = [self._condition(f) for f in filters]
         names = {alias: self._locate(name, base, bases) for alias, name in groups.items()}
         tests = [(self._locate(n, base, bases), op, value) for n, op, value in conditions]
-        df = self.table(base)
-        for table in dict.fromkeys(t for t, _ in [*names.values(), *[place for place, _, _ in tests]] if t != base):
-            df = self._joined(df, base, table, [n for t, n in [*names.values(), *[p for p, _, _ in tests]] if t == table])
+        used: dict[str, list[str]] = {}
+        for table, name in [*names.values(), *[place for place, _, _ in tests]]:
+            used.setdefault(table, []).append(name)
+        others = {t: self._dimension(base, t, found) for t, found in used.items() if t != base}
+        late = {t: o for t, o in others.items() if not small(o)}
 
-        def column(place: tuple[str, str]) -> Column:
+        def column(place: tuple[str, str]) -> str:
             table, name = place
-            physical = LOGICAL[table].columns()[name]
-            return F.col(physical if table == base else f"{table}__{name}")
+            return LOGICAL[table].columns()[name] if table == base else f"{table}__{name}"
 
-        for place, op, value in tests:
-            df = df.filter(_COMPARE[op](column(place), value))
-        return df.groupBy(*[column(p).alias(a) for a, p in names.items()]).agg(
-            *[self._measure(base, m).alias(a) for a, m in metrics.items()])
+        def kept(df: DataFrame, now: Callable[[str], bool]) -> DataFrame:
+            for place, op, value in tests:
+                if now(place[0]):
+                    df = df.filter(_COMPARE[op](F.col(column(place)), value))
+            return df
+
+        df = self.table(base)
+        for table, other in others.items():
+            if table not in late:
+                df = lookup(df, other, relationship(base, table)[0])
+        df = kept(df, lambda table: table not in late)
+        by = [F.col(column(p)).alias(a) for a, p in names.items()]
+        if not late:
+            return df.groupBy(*by).agg(*[self._measure(base, m).alias(a) for a, m in metrics.items()])
+        in_two = not any(self._is_distinct(base, m) for m in metrics.values())
+        if in_two:
+            early = [column(p) for p in names.values() if p[0] not in late]
+            keys = dict.fromkeys([*[relationship(base, t)[0] for t in late], *early])
+            df = df.groupBy(*keys).agg(*[c for a, m in metrics.items() for c in _first_step(a, m)])
+        for table, other in late.items():
+            df = lookup(df, other, relationship(base, table)[0])
+        grouped = kept(df, lambda table: table in late).groupBy(*by)
+        return grouped.agg(*[
+            (_second_step(a, m) if in_two else self._measure(base, m)).alias(a) for a, m in metrics.items()])
 
     def _locate(self, name: str, base: str, bases: Sequence[str]) -> tuple[str, str]:
         """Where ``base`` finds a dimension: in itself if it carries the same name."""
@@ -391,17 +419,20 @@ class Model:
                 return logical.filters[item]
         raise UnknownName(item)
 
-    def _joined(self, df: DataFrame, base: str, table: str, names: Sequence[str]) -> DataFrame:
+    def _dimension(self, base: str, table: str, names: Sequence[str]) -> DataFrame:
+        """Key and wanted columns of a related table, named so that they cannot clash."""
         left, right = relationship(base, table)
         columns = LOGICAL[table].columns()
-        other = self.table(table).select(
+        return self.table(table).select(
             F.col(right).alias(left), *[F.col(columns[n]).alias(f"{table}__{n}") for n in dict.fromkeys(names)])
-        return lookup(df, other, left)
+
+    def _is_distinct(self, base: str, metric: Metric) -> bool:
+        """Whether a metric really needs distinct values."""
+        return metric.kind == "count_distinct" and (self.check_unique or metric.column not in LOGICAL[base].unique)
 
     def _measure(self, base: str, metric: Metric) -> Column:
         if metric.kind == "count_distinct":
-            once = metric.column in LOGICAL[base].unique and not self.check_unique
-            return F.count(metric.column) if once else F.countDistinct(metric.column)
+            return F.countDistinct(metric.column) if self._is_distinct(base, metric) else F.count(metric.column)
         if metric.kind == "avg":
             return mean(metric.column)
         if metric.kind == "count":
@@ -409,6 +440,21 @@ class Model:
         return F.sum(metric.column)
 
 
+def _first_step(alias: str, metric: Metric) -> list[Column]:
+    """Sum and count of a metric within one key."""
+    counted = F.count(F.col(metric.column) if metric.column else F.lit(1)).alias(f"{alias}__n")
+    return [counted, F.sum(metric.column).alias(f"{alias}__sum")] if metric.kind in ("sum", "avg") else [counted]
+
+
+def _second_step(alias: str, metric: Metric) -> Column:
+    """The metric from the sums and counts of its keys."""
+    if metric.kind == "sum":
+        return F.sum(f"{alias}__sum")
+    if metric.kind == "avg":
+        return F.sum(f"{alias}__sum").cast("double") / F.nullif(F.sum(f"{alias}__n"), F.lit(0))
+    return F.coalesce(F.sum(f"{alias}__n"), F.lit(0))
+
+
 def _single(name: str, hits: list) -> tuple:
     if not hits:
         raise UnknownName(name)

@@ -18,7 +18,7 @@ GEOGRAPHY = ["country_code", "country_name", "region_code", "region_name"]
 
 def mean(column: str) -> Column:
     """Average as the exact decimal sum over the count, unrounded."""
-    return F.sum(column).cast("double") / F.count(column)
+    return F.sum(column).cast("double") / F.nullif(F.count(column), F.lit(0))
 
 
 def _measures() -> list[Column]:

@@ -70,13 +70,14 @@ class Warehouse:
 
     def build(self) -> dict[str, DataFrame]:
         """Every table, raw to gold."""
-        runtime.fit_shuffles(self.spark, *[self.raw(n) for n in RAW_TABLES])
         return self.tables(*[f"silver_{n}" for n in RAW_TABLES], *GOLD)
 
     def _define(self, name: str) -> tuple[str, DataFrame]:
         if name.startswith("silver_"):
             raw_name = name.removeprefix("silver_")
-            return "silver", silver(self.raw(raw_name), raw_name)
+            raw = self.raw(raw_name)
+            runtime.fit_shuffles(self.spark, raw)
+            return "silver", silver(raw, raw_name)
         build, needs = GOLD[name]
         return "gold", build(*[self._input(n) for n in needs])
 

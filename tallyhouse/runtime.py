@@ -95,12 +95,13 @@ def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def share_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
-    """Values of ``key`` that hold at least ``share`` of the rows: never more than 1/share.
+def share_keys(df: DataFrame, key: str, least: float = 0.01) -> dict:
+    """Values of ``key`` that hold at least that share of the rows, with their shares.
 
-    A bounded sketch is merged across tasks, so the keys are not shuffled. The result
-    only steers how a join is spread, never what it returns.
+    There are never more than ``1 / least`` of them. A bounded sketch is merged across
+    tasks, so the keys are not shuffled. The result only steers how a join is spread,
+    never what it returns.
     """
-    most = int(1 / share)
+    most = int(1 / least)
     top, rows = df.agg(F.expr(f"approx_top_k({key}, {most}, {most * 100})"), F.count(key)).first()
-    return [entry["item"] for entry in top or [] if entry["count"] >= rows * share and entry["item"] is not None]
+    return {e["item"]: e["count"] / rows for e in top or [] if e["item"] is not None and e["count"] >= rows * least}

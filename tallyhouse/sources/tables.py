@@ -43,7 +43,7 @@ def save_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buck
     if len(keys) == 1 and runtime.may_be_skewed(df):
         hot = runtime.share_keys(df, keys[0])
         if hot:
-            raise ValueError(f"{keys[0]} has values too frequent for buckets: {hot[:5]}")
+            raise ValueError(f"{keys[0]} has values too frequent for buckets: {list(hot)[:5]}")
     (df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
      .option("path", path).saveAsTable(name))
     return df.sparkSession.table(name)

@@ -85,6 +85,22 @@ def test_questions(model):
         assert ask(model).count() > 0
 
 
+def test_large_dimensions_meet_sums(model, house, plan, monkeypatch):
+    def ask():
+        return model.query(
+            {"n": "order count", "net": "total_net_sales", "avg": "atv", "rows": Metric("count")},
+            {"tier": "dim_customer.loyalty_tier", "channel": "channel", "year": "dim_date.year"},
+            ["web_sales", ("dim_customer.gender", "=", "Male")], base="fact_sales_header")
+
+    want = sorted(ask().collect())
+    monkeypatch.setattr("tallyhouse.runtime.BROADCAST_BYTES", 0)
+    text = plan(ask())
+    assert text.count("HashAggregate") == 4  # two steps before the joins, two after
+    assert sorted(ask().collect()) == want
+    distinct = Model(house.table, check_unique=True).query({"n": "order count"}, {"tier": "dim_customer.loyalty_tier"})
+    assert sorted(distinct.collect()) == sorted(model.query({"n": "order count"}, {"tier": "dim_customer.loyalty_tier"}).collect())
+
+
 def test_large_facts_are_split_by_month(spark, house, tmp_path, monkeypatch, plan):
     monkeypatch.setattr("tallyhouse.plans.warehouse.SPLIT_BYTES", 0)
     split = Warehouse(spark, str(tmp_path), house.raw).table("fact_sales_header")
