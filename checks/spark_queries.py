@@ -21,8 +21,8 @@ from tallyhouse.functions.keys import date_key, micros_text, versioned_key
 from tallyhouse.operators import history, integrity, periods, quality
 from tallyhouse.operators.latest import keep_latest
 from tallyhouse.operators.lookup import lookup
-from tallyhouse.plans import dimensions, facts, metrics, questions, summaries
-from tallyhouse.plans.silver import BRONZE_TS, silver, valid
+from tallyhouse.plans import dimensions, facts, metrics, questions, summaries, versions
+from tallyhouse.plans.silver import BRONZE_TS, flagged, silver, valid
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.runtime import scratch_dir
 from tallyhouse.schemas import FILE_NAME, LOAD_TS, RAW_TABLES, ROW_NUMBER
@@ -727,7 +727,6 @@ def _(d):
     d.raw("sales_item").repartition(6).write.parquet(raw)
     newest = LatestTable(d.spark, f"{at}/table", spec.schema, spec.keys)
     _finish(jobs.keep_newest(jobs.read_new_rows(d.spark, raw, spec.schema, 2), newest, f"{at}/checkpoint"))
-    from tallyhouse.plans.silver import flagged
     return flagged(newest.read(), "sales_item")
 
 
@@ -745,7 +744,6 @@ def _(d):
         tables.append(load, raw)
         _finish(jobs.keep_newest(jobs.read_new_rows(d.spark, raw, spec.schema), newest, f"{at}/checkpoint"))
     newest.compact()
-    from tallyhouse.plans.silver import flagged
     return dimensions.dim_store(flagged(newest.read(), spec.name)).select(
         "store_code", "floor_area_sqft", "store_dim_key")
 
@@ -1108,6 +1106,39 @@ def _(d):
         "user_id", "event_type", "event_id", history.START, history.END, history.CURRENT)
 
 
+def _store_loads(d: Data) -> DataFrame:
+    """Every store loaded three times: the second load changes nothing, the third the area."""
+    first = d.raw("store_master")
+    loads = [first] + [first.withColumn(LOAD_TS, F.lit(day).cast("timestamp_ntz")) for day in ("2024-02-01", "2024-03-01")]
+    loads[2] = loads[2].withColumn("floor_area_sqft", F.col("floor_area_sqft") + 1)
+    return loads[0].unionByName(loads[1]).unionByName(loads[2])
+
+
+@check("ext_01_store_versions", sql("""
+    SELECT store_code, area AS floor_area_sqft, is_valid_record, starts AS effective_start_ts, ends AS effective_end_ts,
+           ends LIKE '9999%' AS is_current, sha256(store_code || starts) AS store_dim_key
+    FROM s_store_master, LATERAL (VALUES
+        (floor_area_sqft, '2024-01-01 06:00:00.250000', '2024-03-01 00:00:00.000000'),
+        (floor_area_sqft + 1, '2024-03-01 00:00:00.000000', '9999-12-31 23:59:59.000000')) AS v(area, starts, ends)"""))
+def _(d):
+    return versions.versions(_store_loads(d), "store_master").select(
+        "store_code", "floor_area_sqft", "is_valid_record", history.START, history.END, history.CURRENT, "store_dim_key")
+
+
+@check("ext_02_sales_as_of", sql("""
+    SELECT transaction_id, sha256(store_id || starts) AS store_dim_key FROM (
+        SELECT transaction_id, store_id, CASE WHEN transaction_timestamp + 10500 < DATE '2024-03-01'
+               THEN '2024-01-01 06:00:00.250000' ELSE '2024-03-01 00:00:00.000000' END AS starts
+        FROM s_sales_header WHERE transaction_timestamp + 10500 >= DATE '2024-01-01')
+    WHERE store_id IN (SELECT store_code FROM g_dim_store)"""))
+def _(d):
+    # the days of sale are moved by 10,500 days, so that they fall around the loads of the stores
+    sales = d.silver("sales_header").select(
+        "transaction_id", "store_id", F.date_add("transaction_timestamp", 10500).alias("transaction_timestamp"))
+    dated = versions.versions(_store_loads(d), "store_master")
+    return versions.sales_as_of(sales, dated, "store_master", "store_id").select("transaction_id", "store_dim_key")
+
+
 @check("ext_02_point_in_time", f"""
     SELECT p.event_id, p.user_id, p.value, h.event_type AS state, h.event_id AS state_event
     FROM (FROM events WHERE event_type = 'purchase') p

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse import runtime
 from tallyhouse.plans import dimensions, facts, summaries
+from tallyhouse.plans.comments import described
 from tallyhouse.plans.silver import silver
 from tallyhouse.schemas import RAW_TABLES
 from tallyhouse.sources.tables import replace
@@ -49,10 +50,21 @@ STORED = {"silver_sales_item"} | {
 
 
 class Warehouse:
-    """Tables of one environment under ``root``; ``raw`` gives a raw table by name."""
-
-    def __init__(self, spark: SparkSession, root: str, raw: Callable[[str], DataFrame], env: str = "dev"):
-        self.spark, self.root, self.raw = spark, f"{root.rstrip('/')}/{env}", raw
+    """Tables of one environment under ``root``; ``raw`` gives a raw table by name.
+
+    ``silver`` makes the silver table from a raw one; a job that keeps the newest rows
+    itself passes its own.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        raw: Callable[[str], DataFrame],
+        env: str = "dev",
+        silver: Callable[[DataFrame, str], DataFrame] = silver,
+    ):
+        self.spark, self.root, self.raw, self.silver = spark, f"{root.rstrip('/')}/{env}", raw, silver
         self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -62,7 +74,7 @@ class Warehouse:
             split = []
             if name in BY_MONTH and runtime.source_bytes(df) >= SPLIT_BYTES:
                 df, split = df.withColumn(MONTH, month_of(BY_MONTH[name])), [MONTH]
-            self._built[name] = replace(df, f"{self.root}/{layer}/{name}", split)
+            self._built[name] = replace(described(df), f"{self.root}/{layer}/{name}", split)
         return self._built[name]
 
     def tables(self, *names: str) -> dict[str, DataFrame]:
@@ -72,12 +84,17 @@ class Warehouse:
         """Every table, raw to gold."""
         return self.tables(*[f"silver_{n}" for n in RAW_TABLES], *GOLD)
 
+    def views(self, *names: str) -> None:
+        """Temporary views of the tables, all gold tables unless named, for use from SQL."""
+        for name in names or GOLD:
+            self.table(name).createOrReplaceTempView(name)
+
     def _define(self, name: str) -> tuple[str, DataFrame]:
         if name.startswith("silver_"):
             raw_name = name.removeprefix("silver_")
             raw = self.raw(raw_name)
             runtime.fit_shuffles(self.spark, raw)
-            return "silver", silver(raw, raw_name)
+            return "silver", self.silver(raw, raw_name)
         build, needs = GOLD[name]
         return "gold", build(*[self._input(n) for n in needs])
 
