@@ -23,6 +23,7 @@ def lookup(
     how: str = "inner",
     *,
     weighed: DataFrame | None = None,
+    grouped: bool = False,
     broadcast_bytes: int | None = None,
     skew_bytes: int | None = None,
 ) -> DataFrame:
@@ -39,11 +40,12 @@ def lookup(
        ``one`` are repeated, once per salt: no more rows than there are tasks. The keys
        are counted in ``weighed``, a stored table ``many`` was derived from, where given.
        The salt is a hash of the row, so a task that runs again sends every row where it
-       went before; rows equal in every column stay together.
+       went before; rows equal in every column stay together. ``grouped`` says that
+       ``many`` is an aggregate with few rows per key, which needs none of this.
     """
     if small(one, broadcast_bytes):
         return many.join(F.broadcast(one), key, how)
-    if not runtime.may_be_skewed(many, skew_bytes):
+    if grouped or not runtime.may_be_skewed(many, skew_bytes):
         return many.join(one, key, how)
     hot = runtime.share_keys(many if weighed is None else weighed, key)
     if not hot:

@@ -395,7 +395,7 @@ class Model:
             keys = dict.fromkeys([*[relationship(base, t)[0] for t in late], *early])
             df = df.groupBy(*keys).agg(*[c for a, m in metrics.items() for c in _first_step(a, m)])
         for table, other in late.items():
-            df = lookup(df, other, relationship(base, table)[0])
+            df = lookup(df, other, relationship(base, table)[0], grouped=in_two)
         grouped = kept(df, lambda table: table in late).groupBy(*by)
         return grouped.agg(*[
             (_second_step(a, m) if in_two else self._measure(base, m)).alias(a) for a, m in metrics.items()])

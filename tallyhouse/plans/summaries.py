@@ -44,9 +44,9 @@ def fact_sales_daily(header: DataFrame, dim_date: DataFrame, dim_store: DataFram
             "day_name", "is_weekend"]
     stores = ["store_code", "store_name", "format_code"]
     out = header.groupBy(*keys).agg(*_measures())
-    out = lookup(out, dim_date.select("date_dim_key", *days), "date_dim_key")
-    out = lookup(out, dim_store.select("store_dim_key", *stores), "store_dim_key")
-    out = lookup(out, dim_country.select("country_dim_key", *GEOGRAPHY), "country_dim_key")
+    out = lookup(out, dim_date.select("date_dim_key", *days), "date_dim_key", grouped=True)
+    out = lookup(out, dim_store.select("store_dim_key", *stores), "store_dim_key", grouped=True)
+    out = lookup(out, dim_country.select("country_dim_key", *GEOGRAPHY), "country_dim_key", grouped=True)
     return out.select("date_dim_key", *days, "country_dim_key", *GEOGRAPHY, "store_dim_key", *stores, "channel_id",
                       "currency", *_measure_names())
 
@@ -63,7 +63,7 @@ def _by_period(
         F.countDistinct("store_dim_key").alias("active_stores"),
         F.countDistinct("date_key").alias("selling_days"),
     )
-    out = lookup(out, dim_country.select("country_dim_key", *GEOGRAPHY), "country_dim_key")
+    out = lookup(out, dim_country.select("country_dim_key", *GEOGRAPHY), "country_dim_key", grouped=True)
     return out.select(*period, first, last, "country_dim_key", *GEOGRAPHY, "channel_id", "currency",
                       *_measure_names(), "active_stores", "selling_days")
 

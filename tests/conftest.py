@@ -16,6 +16,14 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="session")
+def house(spark):
+    """Stored tables over the smallest test tables, built as they are asked for."""
+    from checks.spark_queries import Data
+
+    return Data(spark, "/root/testdata/sf0.001").warehouse
+
+
 @pytest.fixture
 def plan():
     def text(df):

@@ -3,12 +3,6 @@ import pytest
 from tallyhouse.plans import questions
 from tallyhouse.plans.metrics import LOGICAL, RELATIONSHIPS, AmbiguousName, Metric, Model, UnknownName, relationship
 from tallyhouse.plans.warehouse import Warehouse
-from tallyhouse.sources.samples import SOURCES
-
-
-@pytest.fixture(scope="module")
-def house(spark, tmp_path_factory):
-    return Warehouse(spark, str(tmp_path_factory.mktemp("house")), lambda n: SOURCES[n](spark, "/root/testdata/sf0.001"))
 
 
 @pytest.fixture(scope="module")

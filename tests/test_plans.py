@@ -33,10 +33,7 @@ def test_header_fact_shuffles_the_sales_only_to_keep_the_newest(spark, plan):
     assert "Exchange hashpartitioning(customer_id#" not in text.split("BroadcastExchange")[0]
 
 
-def test_daily_summary_joins_after_grouping(spark, plan, tmp_path):
-    from tallyhouse.plans.warehouse import Warehouse
-
-    house = Warehouse(spark, str(tmp_path), Data(spark, SF).raw)
+def test_daily_summary_joins_after_grouping(house, plan):
     t = house.tables("fact_sales_header", "dim_date", "dim_store", "dim_country")
     text = plan(summaries.fact_sales_daily(*t.values()))
     assert text.index("BroadcastHashJoin") < text.index("HashAggregate")  # printed top down: joins on top of the groups
@@ -44,6 +41,29 @@ def test_daily_summary_joins_after_grouping(spark, plan, tmp_path):
     assert "transaction_number" not in scan and "payment_method" not in scan
 
 
+def test_summaries_without_broadcasts_look_for_no_frequent_keys(house, monkeypatch):
+    # the groups are small per key: counting their keys would run the whole aggregate twice
+    monkeypatch.setattr("tallyhouse.runtime.BROADCAST_BYTES", 0)
+    monkeypatch.setattr("tallyhouse.runtime.SKEW_BYTES", 0)
+    t = house.tables("fact_sales_header", "dim_date", "dim_store", "dim_country")
+    counted = []
+    monkeypatch.setattr("tallyhouse.runtime.share_keys", lambda df, key, **_: counted.append(key) or {})
+    summaries.fact_sales_daily(*t.values())
+    summaries.fact_sales_monthly(t["fact_sales_header"], t["dim_date"], t["dim_country"])
+    assert counted == ["date_dim_key"]  # sales to days, in the monthly summary
+
+
+def test_facts_with_frequent_keys_everywhere(spark, house, monkeypatch):
+    want = {n: house.table(n) for n in ("fact_sales_header", "fact_sales_item")}
+    needs = house.tables("silver_sales_header", "dim_customer", "dim_store", "dim_country", "silver_sales_item", "dim_product")
+    monkeypatch.setattr("tallyhouse.runtime.BROADCAST_BYTES", 0)
+    monkeypatch.setattr("tallyhouse.runtime.SKEW_BYTES", 0)
+    header = facts.fact_sales_header(*list(needs.values())[:4])
+    assert sorted(header.collect()) == sorted(want["fact_sales_header"].collect())
+    item = facts.fact_sales_item(needs["silver_sales_item"], want["fact_sales_header"], needs["dim_product"])
+    assert sorted(item.collect()) == sorted(want["fact_sales_item"].collect())
+
+
 def test_current_versions_are_filtered_before_the_join(spark, plan):
     df = facts.current(spark.createDataFrame([("a", True)], "k string, is_current boolean"))
     assert "Filter" in plan(df)
