@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse import runtime
 from tallyhouse.operators.ordered import chunked, neighbours
 from tallyhouse.schemas import LOAD_TS, ROW_NUMBER
 
@@ -32,9 +33,13 @@ def history(
 ) -> DataFrame:
     """One row per version of a key: reloads that change none of ``tracked`` are dropped.
 
-    A version ends where the next one of its key starts, the last one is current.
+    A version ends where the next one of its key starts, the last one is current. Copies
+    of a row are no versions; where there may be many they are dropped up front, since
+    rows equal in every column cannot be cut into chunks.
     """
     state = F.struct(*tracked)
+    if runtime.may_be_skewed(df, skew_bytes):
+        df = df.distinct()
     seen = neighbours(
         chunked(df, keys, order, skew_bytes), keys, order,
         {"__before": ("previous", state), "__known": ("previous", F.lit(True))},
@@ -64,7 +69,7 @@ def as_of(
 
     Facts and versions are put in one time order per key and the newest version is
     carried forward, so the work is linear in both: no fact meets more than one
-    version, and a hot key is cut into chunks.
+    version, and a hot key is cut into chunks. Facts are expected to carry a unique key.
     """
     version = F.struct(*columns, F.col(END).alias("__end"))
     events = versions.select(

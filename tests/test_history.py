@@ -54,6 +54,16 @@ def test_unchanged_reload_is_no_version(local):
     assert [tuple(r) for r in got] == [(1, T0 + timedelta(2), False), (3, OPEN, True)]
 
 
+@pytest.mark.parametrize("skew_bytes", [None, 0])
+def test_copies_are_no_versions(local, loads, skew_bytes):
+    rows = loads[:300] + [loads[0]] * 400
+    df = local(rows, "key string, number long, ts timestamp_ntz, state string")
+    got = history(df, ["key"], ["state"], ["ts", "number"], skew_bytes).select("key", "number", "state", START, END, CURRENT)
+    assert sorted(map(str, got.collect())) == sorted(map(str, history(
+        df.distinct(), ["key"], ["state"], ["ts", "number"]).select(*got.columns).collect()))
+    assert {tuple(r) for r in got.collect()} == versions_of(loads[:300])
+
+
 @pytest.mark.parametrize("skew_bytes", [None, 0])
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_as_of_equals_brute_force(local, loads, skew_bytes, how):
