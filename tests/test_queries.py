@@ -24,7 +24,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql()) == set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_entry(spark):
