@@ -39,19 +39,20 @@ def shards_for(total: int, each: int) -> int:
     return max(1, -(-total // each))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, rest: bool = False) -> DataFrame:
     """``_row``, ``doc_id``, ``text`` with a unique, never null ``_row`` in the order of doc_id.
 
-    Where ids are unique and not null, ``_row`` is the id. Otherwise rows are sorted by id
+    With ``rest``, also ``_rest``: all columns as they came. Where ids are unique and not null, ``_row`` is the id. Otherwise rows are sorted by id
     (null first) and text, numbered, and written once so that every later job sees the
     same numbers; equal rows get different numbers.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    whole = [F.struct(*docs.columns).alias("_rest")] if rest else []
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *whole)
     rows, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
     if rows == ids:
-        return docs.select(F.col("doc_id").alias("_row"), "doc_id", "text")
+        return docs.select(F.col("doc_id").alias("_row"), "*")
     ordered = docs.orderBy(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
-    return kept_table(ordered.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text"))
+    return kept_table(ordered.select(F.monotonically_increasing_id().alias("_row"), "*"))
 
 
 def crc_of_id(column: str = "doc_id") -> Column:

@@ -226,8 +226,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without all but one of each component; all columns stay.
 
-    The document with the smallest id stays. Wordless documents all stay. Of rows that
-    repeat a whole row, all are kept or dropped together.
+    The document with the smallest id stays. Wordless documents all stay, and so do rows
+    without an id, which no list of ids can name. Rows that repeat an id stay or go together.
     """
-    ids = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["doc_id"]), "left_anti")
+    ids = near_duplicates(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(ids, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")

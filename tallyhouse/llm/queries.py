@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import minhash_dedup
+from tallyhouse.llm import minhash_dedup, retrieval_packing, substring_dedup
 from tallyhouse.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +21,16 @@ def query(name: str):
     return add
 
 
+@query("op1_retrieval_packing")
+def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval_packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op4_superminhash_dedup")
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op5_suffix_array_dedup")
+def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removal_report(documents(spark, sf_dir))
