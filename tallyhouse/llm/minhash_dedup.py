@@ -29,8 +29,9 @@ from tallyhouse.llm.components import components
 SHINGLE = 5
 PERCENT = 85
 REGISTERS, BANDS = 120, 24  # five rows a band: a pair at 0.85 is missed once in a million
-PIVOTS = 8
-GROUP = 256  # members compared with one pivot in one group
+GROUP = 256  # members compared with one hub in one group
+BLOCK = 256  # members of one side of a block comparison
+MEETINGS = 1 << 22  # equal elements that one vectorised step of a block comparison takes
 ELEMENTS = 1 << 16  # elements of one vectorised signature step
 
 _TIMES = mix(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
@@ -155,47 +156,86 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return members.union(pivots).groupBy("pivot", "_salt").applyInArrow(_compare, "pivot long, member long, linked boolean")
 
 
-def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
-    """All components of ``classes`` (_row, n_shingles, bands) under exact similarity, and the links that were found.
-
-    Classes that share a band are candidates. In each round every unresolved bucket offers up
-    to ``PIVOTS`` members as pivots (the first round one), which are compared with the members
-    of other components and then leave the bucket. A bucket is resolved when all who remain
-    are in one component, so no link between components is ever left unlooked at, and a
-    bucket of g copies costs about g comparisons, not g * g.
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets on the left with all on the right."""
+    out = np.zeros(len(left) * len(right), np.int64)
+    _, ids = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    cut = sum(map(len, left))
+    a, b = ids[:cut], ids[cut:]
+    of_a, of_b = (np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (left, right))
+    by = np.argsort(b, kind="stable")
+    b, of_b = b[by], of_b[by]
+    lo, hi = np.searchsorted(b, a), np.searchsorted(b, a, side="right")
+    count = hi - lo
+    steps = np.cumsum(count)
+    first = 0
+    while first < len(a):  # a bounded number of meetings at a time
+        last = max(first + 1, int(np.searchsorted(steps, (steps[first - 1] if first else 0) + MEETINGS)))
+        n = count[first:last]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo[first:last], n)
+        out += np.bincount(np.repeat(of_a[first:last], n) * len(right) + of_b[at], minlength=len(out))
+        first = last
+    return out.reshape(len(left), len(right))
+
+
+def _block_links(key, table):
+    """Exact links between the labels of two blocks, as many as join them and no more."""
+    labels, sides = np.array(table.column("label").to_pylist()), np.array(table.column("side").to_pylist())
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("elements").to_pylist()]
+    a, b = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)  # side 2: a block against itself
+    found = set()
+    if len(a) and len(b):
+        common = overlaps([sets[i] for i in a], [sets[i] for i in b])
+        sizes = np.array([len(x) for x in sets])
+        alike = (100 * common >= PERCENT * (sizes[a][:, None] + sizes[b][None, :] - common)) & (labels[a][:, None] != labels[b][None, :])
+        i, j = np.nonzero(alike)
+        found = {(min(x, y), max(x, y)) for x, y in zip(labels[a[i]].tolist(), labels[b[j]].tolist())}
+    joined: dict[int, int] = {}
+
+    def root(x):
+        while x in joined:
+            x = joined[x]
+        return x
+    links = []
+    for x, y in sorted(found):
+        rx, ry = root(x), root(y)
+        if rx != ry:
+            joined[max(rx, ry)] = min(rx, ry)
+            links.append((x, y))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+
+def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
+    """Links (a, b) that join all ``classes`` (_row, n_shingles, bands) with similar sets, each checked on full sets.
+
+    Classes that share a band are candidates, candidates of candidates form a cluster. First
+    every member of a cluster is compared with its hub, the member whose buckets are fullest:
+    most clusters are joined by that, at one comparison a member however large they are.
+    Clusters that are not are cut into blocks of ``BLOCK`` members, and every pair of blocks
+    is compared in a task of its own, so that no link between members that the hub did
+    not join is left unlooked at; a task returns links that join labels, not pairs.
     """
-    buckets = classes.select(F.explode("bands").alias("band"), "_row", "n_shingles")
-    shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("band")
-    members = kept_table(buckets.join(shared, "band"))
-    pool = kept_table(members.select("_row").distinct())
-    if pool.isEmpty():
-        return None, None
-    sets = kept_table(docs.select("_row", "text").join(pool, "_row", "left_semi").mapInArrow(_set_rows, "_row long, elements binary"))
-    links, tested, roots = None, None, None
-    turn = 0
-    while True:
-        now = members.withColumn("_root", F.col("_row")) if roots is None else members.join(roots, members["_row"] == roots["id"], "left").select("band", "_row", "n_shingles", F.coalesce("root", "_row").alias("_root"))
-        many = now.groupBy("band").agg(F.min("_root").alias("_a"), F.max("_root").alias("_b")).where("_a <> _b").select("band")
-        now = kept_table(now.join(many, "band"))
-        if now.isEmpty():
-            break
-        count = PIVOTS if turn else 1
-        lot = F.pmod(F.xxhash64("_row", F.lit(turn)), F.lit(count))
-        pivots = now.groupBy("band", lot.alias("_lot")).agg(F.min(F.struct("_row", "n_shingles", "_root")).alias("p"))
-        pivots = kept_table(pivots.select("band", F.col("p._row").alias("pivot"), F.col("p.n_shingles").alias("_size"), F.col("p._root").alias("_pivot_root")))
-        pairs = now.join(pivots, "band").where("_root <> _pivot_root")
-        pairs = pairs.where(F.expr(f"100 * least(n_shingles, _size) >= {PERCENT} * greatest(n_shingles, _size)"))
-        pairs = pairs.select("pivot", F.col("_row").alias("member")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["pivot", "member"], "left_anti").join(tested.select(F.col("member").alias("pivot"), F.col("pivot").alias("member")), ["pivot", "member"], "left_anti")
-        result = kept_table(verified(kept_table(pairs), sets))
-        tested = result.select("pivot", "member") if tested is None else tested.union(result.select("pivot", "member"))
-        new = result.where("linked").select(F.col("pivot").alias("a"), F.col("member").alias("b"))
-        links = new if links is None else links.union(new)
-        roots = kept_table(components(links))
-        members = kept_table(members.join(pivots.select("band", F.col("pivot").alias("_row")), ["band", "_row"], "left_anti"))
-        turn += 1
-    return roots, links
+    buckets = classes.select(F.explode("bands").alias("band"), "_row")
+    shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_least")).where("_n > 1")
+    members = kept_table(buckets.join(shared, "band").select("_row", "_n", "_least"))
+    clusters = components(members.select(F.col("_row").alias("a"), F.col("_least").alias("b")))
+    weights = members.groupBy("_row").agg(F.sum("_n").alias("_weight"))
+    members = kept_table(weights.join(clusters, weights["_row"] == clusters["id"]).select("_row", "_weight", F.col("root").alias("cluster")))
+    if members.isEmpty():
+        return None
+    hubs = members.groupBy("cluster").agg(F.min(F.struct(-F.col("_weight"), F.col("_row").alias("hub")))["hub"].alias("hub"))
+    sets = kept_table(docs.select("_row", "text").join(members.select("_row"), "_row", "left_semi").mapInArrow(_set_rows, "_row long, elements binary"))
+    pairs = kept_table(members.join(hubs, "cluster").where("_row <> hub").select(F.col("hub").alias("pivot"), F.col("_row").alias("member")))
+    stars = kept_table(verified(pairs, sets).where("linked").select(F.col("pivot").alias("a"), F.col("member").alias("b")))
+    labels = members.join(stars.select(F.col("a").alias("_hub"), F.col("b").alias("_row")), "_row", "left").select("_row", "cluster", F.coalesce("_hub", "_row").alias("label"))
+    open_ = labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n"), F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a <> _b")
+    blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
+    rows = labels.join(open_, "cluster").select("_row", "cluster", "label", blocks.alias("_blocks"), F.pmod(F.xxhash64("_row"), blocks).cast("int").alias("_block"))
+    others = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda o: F.struct(
+        F.least(o, F.col("_block")).alias("i"), F.greatest(o, F.col("_block")).alias("j"), F.when(o == F.col("_block"), 2).otherwise(F.when(F.col("_block") < o, 0).otherwise(1)).alias("side")))
+    spread = rows.join(sets, "_row").select("cluster", "label", "elements", F.explode(others).alias("o")).select("cluster", "label", "elements", "o.i", "o.j", "o.side")
+    links = spread.groupBy("cluster", "i", "j").applyInArrow(_block_links, "a long, b long")
+    return kept_table(stars.union(links))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -207,11 +247,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = keyed(docs)
     sketches = kept_table(docs.mapInArrow(_sketches, "_row long, doc_id long, n_shingles long, set_digest binary, bands array<long>"))
     classes = kept_table(sketches.where("n_shingles > 0").groupBy("set_digest").agg(F.min("_row").alias("_row"), F.min("doc_id").alias("_id"), F.min("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")))
-    roots, links = near_duplicate_links(classes.select("_row", "n_shingles", "bands"), docs)
+    links = near_duplicate_links(classes.select("_row", "n_shingles", "bands"), docs)
     named = classes.select("set_digest", F.col("_row").alias("class_id"), "_id")
-    if roots is None:
+    if links is None:
         named = named.select("*", F.col("class_id").alias("_root"), F.lit(0).cast("long").alias("class_links"))
     else:
+        roots = components(links)
         degree = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count(F.lit(1)).alias("class_links"))
         named = named.join(roots.withColumnRenamed("id", "class_id"), "class_id", "left").join(degree.withColumnRenamed("id", "class_id"), "class_id", "left")
         named = named.select("set_digest", "class_id", "_id", F.coalesce("root", "class_id").alias("_root"), F.coalesce("class_links", F.lit(0)).alias("class_links"))

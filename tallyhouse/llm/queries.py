@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import minhash_dedup, retrieval_packing, substring_dedup
+from tallyhouse.llm import minhash_dedup, quality_rules, retrieval_packing, secret_scan, substring_dedup
 from tallyhouse.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,11 @@ def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval_packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op3_histogram_divergence")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(documents(spark, sf_dir))
+
+
 @query("op4_superminhash_dedup")
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(documents(spark, sf_dir))
@@ -34,3 +39,8 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_suffix_array_dedup")
 def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removal_report(documents(spark, sf_dir))
+
+
+@query("op8_markov_secrets")
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
