@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import minhash_dedup, quality_rules, retrieval_packing, secret_scan, substring_dedup
+from tallyhouse.llm import imatch, minhash_dedup, quality_rules, resharding, retrieval_packing, secret_scan, substring_dedup
 from tallyhouse.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,16 @@ def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removal_report(documents(spark, sf_dir))
 
 
+@query("op7_flow_resharding")
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resharding.layout(documents(spark, sf_dir))
+
+
 @query("op8_markov_secrets")
 def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir))
+
+
+@query("op9_imatch_fingerprints")
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(documents(spark, sf_dir))
