@@ -123,8 +123,8 @@ def binary_texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
 
 
-def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of documents, A-Z lower-cased: hashes, document of each, bytes, starts, ends."""
+def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of documents, A-Z lower-cased: bytes, starts, ends, and the document of each word."""
     data = _LOWER[np.frombuffer(b"\n".join(texts), np.uint8)]
     space = np.empty(len(data) + 2, bool)
     space[0] = space[-1] = True
@@ -132,8 +132,13 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     edge = np.flatnonzero(space[1:] != space[:-1])
     starts, ends = edge[::2], edge[1::2]
     borders = np.cumsum([len(t) + 1 for t in texts])
-    owner = np.searchsorted(borders, starts, side="right")
-    return span_hashes(prefix_hashes(data), starts, ends), owner, data, starts, ends
+    return data, starts, ends, np.searchsorted(borders, starts, side="right")
+
+
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of documents, and the document of each."""
+    data, starts, ends, owner = word_spans(texts)
+    return span_hashes(prefix_hashes(data), starts, ends), owner
 
 
 def crc(data) -> int:

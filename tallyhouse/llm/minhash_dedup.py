@@ -40,7 +40,7 @@ _TIMES = mix(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0xD1342543DE
 def shingle_sets(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For ranges of documents: the first document, sorted distinct hashes, and where each document's begin."""
     for first, last in passes(texts):
-        words, owner, *_ = hashed_words(texts[first:last])
+        words, owner = hashed_words(texts[first:last])
         counts = np.bincount(owner, minlength=last - first)
         begins = np.cumsum(counts) - counts
         short = np.flatnonzero((counts > 0) & (counts < SHINGLE))

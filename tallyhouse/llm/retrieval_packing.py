@@ -16,53 +16,109 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tallyhouse.llm.common import binary_texts, crc
+from tallyhouse.llm.common import binary_texts, crc, passes, prefix_hashes, span_hashes, word_spans
 
 WINDOW = 4096
 END = 2
 BLOCK_TOKENS = 1 << 21  # tokens in one index
 QUERY_TERMS = 32  # rarest terms of a seed that are looked up
 K1, B = 1.2, 0.75
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 20
+
+_STOP = np.zeros(256, bool)
+_STOP[[44, 46]] = True
+_ASCII_LETTER = np.zeros(256, bool)
+_ASCII_LETTER[97:123] = True
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long"
 
 
-class WordIds(dict):
-    """Token ids of white-space separated words as packed 16-bit numbers, filled as words are asked for.
+class WordIds:
+    """Token ids of texts, looked up word by word.
 
-    The tokenizer drops white space and never merges across it, so the ids of a text are
-    those of its words in order. Words are kept up to a bound, then forgotten.
+    The tokenizer lower-cases, drops white space and never merges across it, nor across the
+    border of letters and punctuation, so the ids of a text are those of its words in order.
+    Words are told apart by a 64-bit hash, and kept up to a bound, then forgotten.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        if self.tokenizer.get_vocab_size() > 1 << 16:
+        self.full, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.normalizer = None  # for lower-case ASCII, which normalisation leaves as it is
+        if self.full.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary need more than 16 bits")
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        self.known: dict[int, bytes] = {}
+
+    def _together(self, tokenizer, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only: as one text, of which each is a word to the tokenizer."""
+        found = tokenizer.encode(" ".join(words), add_special_tokens=False)
+        of = np.array(found.word_ids)
+        if len(of) == 0 or of[-1] + 1 != len(words):  # a letter that is more than a letter in lower case
+            return self._apart(words)
+        ids = np.array(found.ids, "<u2").tobytes()
+        cuts = (2 * np.searchsorted(of, np.arange(len(words) + 1))).tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _apart(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u2").tobytes() for e in self.full.encode_batch_fast(words, add_special_tokens=False)]
+
+    def learn(self, hashes: list[int], words: list[str]) -> None:
+        letters = [w.isalpha() for w in words]
+        ascii_ = [w.isascii() for w in words]
+        for wanted, encode in (((True, True), lambda x: self._together(self.plain, x)), ((True, False), lambda x: self._together(self.full, x)), ((False, None), self._apart)):
+            some = [i for i in range(len(words)) if letters[i] == wanted[0] and wanted[1] in (None, ascii_[i])]
+            for k in range(0, len(some), 512):
+                part = some[k : k + 512]
+                self.known.update(zip([hashes[i] for i in part], encode([words[i] for i in part])))
+
+    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each text with the end token."""
-        words = [t.split() for t in texts]
-        new = list(set().union(*words) - self.keys())
-        if len(self) + len(new) > CACHED_WORDS:
-            self.clear()
-            new = list(set().union(*words))
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.update(zip(part, (np.array(e.ids, "<u2").tobytes() for e in found)))
-        end = np.array([END], "<u2").tobytes()
-        return [np.frombuffer(b"".join([self[w] for w in ws]) + end, "<u2") for ws in words]
+        for first, last in passes(texts):
+            yield from self._encode_pass(texts[first:last])
+
+    def _encode_pass(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        data, starts, ends, owner = word_spans(texts)
+        # a full stop or comma behind a letter is a word of its own
+        cut = (ends - starts > 1) & _STOP[data[ends - 1]] & _ASCII_LETTER[data[np.maximum(ends - 2, 0)]]
+        twice = 1 + cut
+        second = np.cumsum(twice)[cut] - 1
+        starts, ends, owner, stops = np.repeat(starts, twice), np.repeat(ends, twice), np.repeat(owner, twice), ends[cut]
+        starts[second], ends[second - 1] = stops - 1, stops - 1
+        hashes, at, which = np.unique(span_hashes(prefix_hashes(data), starts, ends), return_index=True, return_inverse=True)
+        names = hashes.tolist()
+        new = [k for k, h in enumerate(names) if h not in self.known]
+        if len(self.known) + len(new) > CACHED_WORDS:
+            self.known.clear()
+            new = range(len(names))
+        block = data.tobytes()
+        self.learn([names[k] for k in new], [block[starts[at[k]] : ends[at[k]]].decode() for k in new])
+        found = [self.known[h] for h in names]
+        flat = np.frombuffer(b"".join(found), "<u2")
+        sizes = np.array([len(f) for f in found], np.int64) >> 1
+        begins = np.cumsum(sizes) - sizes
+        count = sizes[which]
+        stops = np.cumsum(count)
+        ids = flat[np.arange(count.sum()) - np.repeat(stops - count - begins[which], count)]
+        borders = np.append(0, stops)[np.searchsorted(owner, np.arange(len(texts) + 1))]
+        for text, a, b in zip(texts, borders, borders[1:]):
+            # a special token must be seen as it was written, before any change of case
+            whole = self.full.encode(text.decode(), add_special_tokens=False).ids if b"<|" in text else ids[a:b]
+            yield np.append(whole, END).astype("<u2")
+
+
+@cache
+def _word_ids(path: str) -> WordIds:
+    """One for each Python worker, which runs many tasks."""
+    return WordIds(path)
 
 
 class Index:
@@ -166,19 +222,18 @@ def _pack_block(docs: list, ids: list[np.ndarray], windows: Windows) -> None:
 
 def _packer(path: str):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, windows = WordIds(path), Windows(TaskContext.get().partitionId())
+        words, windows = _word_ids(path), Windows(TaskContext.get().partitionId())
         docs, ids, size = [], [], 0
         for batch in batches:
             names, texts = batch.column("doc_id").to_pylist(), binary_texts(batch.column("text"))
-            for i in range(0, len(texts), 256):
-                for name, found in zip(names[i : i + 256], words.encode(texts[i : i + 256])):
-                    docs.append(name)
-                    ids.append(found)
-                    size += len(found)
-                    if size >= BLOCK_TOKENS:
-                        _pack_block(docs, ids, windows)
-                        yield from windows.batches()
-                        docs, ids, size = [], [], 0
+            for name, found in zip(names, words.encode(texts)):
+                docs.append(name)
+                ids.append(found)
+                size += len(found)
+                if size >= BLOCK_TOKENS:
+                    _pack_block(docs, ids, windows)
+                    yield from windows.batches()
+                    docs, ids, size = [], [], 0
         if ids:
             _pack_block(docs, ids, windows)
         windows.finish()
