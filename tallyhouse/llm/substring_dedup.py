@@ -5,16 +5,18 @@ text is therefore filed under its smallest hashed k-mer (its anchor), which depe
 window's bytes alone: equal windows have equal anchors. Neighbouring windows mostly share an
 anchor, so a text falls into segments of about 140 bytes.
 
-1. Anchors are counted by shard; a window whose anchor occurs once cannot be repeated.
-2. Segments under repeated anchors travel to the shard of their anchor.
+1. Every segment is sent to the shard of its anchor as two hashes and a place, not as text. Of
+   equal segments the earliest stays, and the others are removed whole.
+2. Where different segments share an anchor, their windows may be equal in part: the earliest
+   of each kind is cut out of its text and sent to a suffix-array shard.
 3. Each shard builds the suffix array of its segments by induced sorting and the permuted
    common prefixes. Neighbours in the array that share 100 bytes belong to one class; all of a
    class but the earliest window are removed.
-4. Removed bytes return to their documents.
+4. Removed ranges return to their documents.
 
-What repeats within a batch is combined before each shuffle: one record goes on for each
-anchor or segment of the batch, and its other places are settled on the spot. A passage in a
-third of all documents thus sends one record a batch, not one a document.
+Equal segments of a batch are combined before the first shuffle: one record goes on, the other
+places are settled on the spot, so a passage in a third of all documents sends one record a
+batch. The different surroundings of one 24-byte anchor meet in one suffix-array task.
 
 Defined results: null text counts as empty; texts under 100 bytes lose nothing; documents
 with equal ids are ordered by text and treated as separate documents, a null id comes first;
@@ -35,16 +37,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import binary_texts, keyed, passes, prefix_hashes, shards_for, span_hashes, text_bytes
+from tallyhouse.llm.common import binary_texts, kept_table, keyed, passes, prefix_hashes, shards_for, span_hashes, text_bytes
 from tallyhouse.llm.suffix_array import permuted_prefixes, suffix_array
 
 LENGTH = 100
 GRAM = 24
-SHARD_BYTES = 32 << 20  # bytes of text for each anchor shard and each suffix-array shard
+SHARD_BYTES = 64 << 20  # bytes of text for each anchor shard
+ARRAY_BYTES = 4 << 20  # bytes of segments for each suffix array
 
 
-def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For ranges of documents: document, first window, windows and anchor of every segment.
+def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+    """For ranges of documents: document, first window, windows, anchor and hash of every segment.
 
     A segment is a longest run of windows of one document with the same anchor place. The
     smallest hash wins, of equal ones the leftmost, so the choice lies in the window's bytes.
@@ -56,7 +59,8 @@ def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
         if len(data) < LENGTH or not (sizes >= LENGTH).any():
             continue
         at = np.arange(len(data) - GRAM + 1)
-        grams = span_hashes(prefix_hashes(data), at, at + GRAM)
+        sums = prefix_hashes(data)
+        grams = span_hashes(sums, at, at + GRAM)
         keys = (grams >> np.uint64(32) << np.uint64(32)) | at.astype(np.uint64)
         blocks = np.full(-(-len(keys) // width) * width, np.iinfo(np.uint64).max, np.uint64)
         blocks[: len(keys)] = keys
@@ -74,28 +78,16 @@ def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
         fresh = np.ones(len(inside), bool)
         fresh[1:] = (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])
         cut = np.flatnonzero(fresh)
-        yield first + owner[cut], inside[cut] - begins[owner[cut]], np.diff(np.append(cut, len(inside))), grams[place[cut]]
+        count = np.diff(np.append(cut, len(inside)))
+        yield first + owner[cut], inside[cut] - begins[owner[cut]], count, grams[place[cut]], span_hashes(sums, inside[cut], inside[cut] + count + LENGTH - 1)
 
 
 def all_segments(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Segments of a whole batch, with their number within the document."""
+    """Document, start, windows, anchor and hash of the bytes of every segment of a batch."""
     parts = list(segments(texts))
     if not parts:
-        return (*(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    doc, start, count, anchor = (np.concatenate(x) for x in zip(*parts))
-    number = np.arange(len(doc)) - np.searchsorted(doc, doc, side="left")
-    return doc, start, count, anchor, number
-
-
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=1).compress
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array([pack(t) for t in binary_texts(batch.column("text"))], pa.binary())], names=["_row", "packed"])
-
-
-def _unpacked(batch: pa.RecordBatch) -> list[bytes]:
-    unpack = zstandard.ZstdDecompressor().decompress
-    return [unpack(p) for p in batch.column("packed").to_pylist()]
+        return (*(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+    return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 def _by_row(rows: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -109,92 +101,95 @@ def _by_row(rows: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndar
         yield int(rows[a]), values[a:b]
 
 
-_ANCHORS = "shard int, row long, anchors binary, owners binary, numbers binary, known binary"
+def _joined(parts: list[bytes | None], kind) -> np.ndarray:
+    return np.frombuffer(b"".join(p for p in parts if p), kind)
+
+
+def _earliest_of_each(anchor: np.ndarray, digest: np.ndarray, row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the earliest of equal segments, of the others, and whether the former share their anchor with different ones."""
+    order = np.lexsort((start, row, digest, anchor))
+    a, d = anchor[order], digest[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (a[1:] != a[:-1]) | (d[1:] != d[:-1])
+    first = order[fresh]
+    _, which, kinds = np.unique(anchor[first], return_inverse=True, return_counts=True)
+    return first, order[~fresh], kinds[which] > 1
+
+
+_PLACES = "shard int, row long, spans binary, anchors binary, digests binary, owners binary, starts binary, counts binary"
+
+
+def _batch_of(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows)) or [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
 
 
-def _anchor_messages(shards: int):
+def _spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Bytes of segments as ranges."""
+    return np.stack([start, start + count + LENGTH - 1], 1)
+
+
+def _place_messages(shards: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, _, _, anchor, number = all_segments(binary_texts(batch.column("text")))
-            rows = np.array(batch.column("_row").to_pylist(), np.int64)[doc]
-            distinct, first, which, times = np.unique(anchor, return_index=True, return_inverse=True, return_counts=True)
-            out = []
-            again = times[which] > 1  # repeated within the batch: settled here
-            for row, numbers in _by_row(rows[again], number[again]):
-                out.append((row % shards, row, None, None, numbers.astype(np.uint32).tobytes(), None))
-            shard = (distinct % np.uint64(shards)).astype(np.int64)
-            for s in np.unique(shard):
-                known = distinct[(shard == s) & (times > 1)]
-                lone = np.sort(first[(shard == s) & (times == 1)])
-                out.append((int(s), None, anchor[lone].tobytes(), rows[lone].tobytes(), number[lone].astype(np.uint32).tobytes(), known.tobytes()))
+            doc, start, count, anchor, digest = all_segments(binary_texts(batch.column("text")))
+            row = np.array(batch.column("_row").to_pylist(), np.int64)[doc]
+            first, later, _ = _earliest_of_each(anchor, digest, row, start)
+            out = [(r % shards, r, _merged(s).tobytes(), None, None, None, None, None) for r, s in _by_row(row[later], _spans(start[later], count[later]))]
+            shard = (anchor % np.uint64(shards)).astype(np.int64)
+            first = np.sort(first)  # by place again: places of a document side by side pack better
+            for s in np.unique(shard[first]):
+                f = first[shard[first] == s]
+                out.append((int(s), None, None, (anchor[f] >> np.uint64(32)).astype(np.uint32).tobytes(), digest[f].tobytes(), row[f].tobytes(), start[f].astype(np.uint32).tobytes(), count[f].astype(np.uint8).tobytes()))
             for i in range(0, len(out), 1000):
-                columns = list(zip(*out[i : i + 1000]))
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[2:])], names=["shard", "row", "anchors", "owners", "numbers", "known"])
+                yield _batch_of(_PLACES, out[i : i + 1000])
     return send
 
 
-def _joined(parts: list[bytes | None], kind) -> np.ndarray:
-    return np.frombuffer(b"".join(p for p in parts if p), kind)
+_SETTLED = "row long, spans binary, asked binary, asked_anchors binary, asked_bytes long"
 
 
-def _repeated_anchors(key, table):
-    """Places of anchors that several batches sent."""
+def _settled(key, table):
+    """Removed spans of a shard, and the segments whose text must be looked at."""
     columns = {c: table.column(c).to_pylist() for c in table.column_names}
-    sent = [i for i, r in enumerate(columns["row"]) if r is None]
-    settled = [i for i, r in enumerate(columns["row"]) if r is not None]
-    anchors = _joined([columns["anchors"][i] for i in sent], np.uint64)
-    owners = _joined([columns["owners"][i] for i in sent], np.int64)
-    numbers = _joined([columns["numbers"][i] for i in sent], np.uint32)
-    known = _joined([columns["known"][i] for i in sent], np.uint64)
-    _, which, times = np.unique(anchors, return_inverse=True, return_counts=True)
-    again = (times[which] > 1) | np.isin(anchors, known)
-    rows = [columns["row"][i] for i in settled]
-    marks = [columns["numbers"][i] for i in settled]
-    for row, found in _by_row(owners[again], numbers[again]):
-        rows.append(row)
-        marks.append(found.tobytes())
-    return pa.table({"row": pa.array(rows, pa.int64()), "marks": pa.array(marks, pa.binary())})
-
-
-_SEGMENTS = "shard int, row long, spans binary, bytes binary, sizes binary, owners binary, starts binary"
-
-
-def _segment_messages(shards: int):
+    out = [(r, s, None, None, 0) for r, s in zip(columns["row"], columns["spans"]) if r is not None]
+    anchor, digest, row, start, count = (_joined(columns[c], k) for c, k in (("anchors", np.uint32), ("digests", np.uint64), ("owners", np.int64), ("starts", np.uint32), ("counts", np.uint8)))
+    start, count = start.astype(np.int64), count.astype(np.int64)
+    first, later, mixed = _earliest_of_each(anchor, digest, row, start)
+    out += [(r, _merged(s).tobytes(), None, None, 0) for r, s in _by_row(row[later], _spans(start[later], count[later]))]
+    asked = first[mixed]
+    spans = _spans(start[asked], count[asked])
+    for r, at in _by_row(row[asked], np.arange(len(asked))):
+        out.append((r, None, spans[at].tobytes(), anchor[asked[at]].tobytes(), int((spans[at, 1] - spans[at, 0]).sum())))
+    return pa.Table.from_batches([_batch_of(_SETTLED, out)])
+
+
+_TEXTS = "shard int, bytes binary, sizes binary, owners binary, starts binary"
+
+
+def _text_messages(shards: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = _unpacked(batch)
-            marks = batch.column("marks").to_pylist()
-            owners = batch.column("_row").to_pylist()
-            doc, start, count, anchor, number = all_segments(texts)
-            borders = np.searchsorted(doc, np.arange(len(texts) + 1))
-            chosen: dict[bytes, tuple[int, int, int, int]] = {}
-            removed: dict[int, list[tuple[int, int]]] = defaultdict(list)
-            for d in range(len(texts)):
-                for m in np.unique(_joined(marks[d], np.uint32)):
-                    i = borders[d] + int(m)
-                    a, n = int(start[i]), int(count[i])
-                    _earliest(chosen, removed, texts[d][a : a + n + LENGTH - 1], (owners[d], a, n, int(anchor[i])))
-            out = defaultdict(list)
-            for data, (row, a, n, h) in chosen.items():
-                out[h % shards].append((data, row, a))
-            messages = [(row % shards, row, np.array(spans, np.int64).tobytes(), None, None, None, None) for row, spans in removed.items()]
-            for shard, found in out.items():
-                data, rows, starts = zip(*found)
-                messages.append((shard, None, None, b"".join(data), np.array([len(x) for x in data], np.uint32).tobytes(), np.array(rows, np.int64).tobytes(), np.array(starts, np.int64).tobytes()))
-            for i in range(0, len(messages), 1000):
-                columns = list(zip(*messages[i : i + 1000]))
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[2:])], names=["shard", "row", "spans", "bytes", "sizes", "owners", "starts"])
+            found = defaultdict(lambda: ([], [], [], []))
+            for row, text, spans, anchors in zip(batch.column("_row").to_pylist(), _unpacked(batch), batch.column("asked").to_pylist(), batch.column("asked_anchors").to_pylist()):
+                for (a, b), h in zip(_joined(spans, np.int64).reshape(-1, 2).tolist(), _joined(anchors, np.uint32).tolist()):
+                    for part, x in zip(found[h % shards], (text[a:b], b - a, row, a)):
+                        part.append(x)
+            yield _batch_of(_TEXTS, [(s, b"".join(data), np.array(sizes, np.uint32).tobytes(), np.array(rows, np.int64).tobytes(), np.array(starts, np.int64).tobytes()) for s, (data, sizes, rows, starts) in found.items()])
     return send
 
 
-def _earliest(chosen: dict, removed: dict, data: bytes, place: tuple) -> None:
-    """Keep the earliest place of equal bytes; every window of a later one is removed."""
-    before = chosen.get(data)
-    if before is None or place < before:
-        chosen[data] = place
-        place = before
-    if place is not None:
-        removed[place[0]].append((place[1], place[1] + len(data)))
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array([pack(t) for t in binary_texts(batch.column("text"))], pa.binary())], names=["_row", "packed"])
+
+
+def _unpacked(batch: pa.RecordBatch) -> list[bytes]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(p) for p in batch.column("packed").to_pylist()]
 
 
 def repeated_windows(contents: list[bytes], rows: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -228,39 +223,28 @@ def _merged(spans: np.ndarray) -> np.ndarray:
 
 
 def _repeated_spans(key, table):
-    """Removed spans of a shard's segments, by row."""
+    """Removed spans of a suffix-array shard, by row."""
     columns = {c: table.column(c).to_pylist() for c in table.column_names}
-    removed: dict[int, list] = defaultdict(list)
-    chosen: dict[bytes, tuple] = {}
-    for i, row in enumerate(columns["row"]):
-        if row is not None:
-            removed[row].append(np.frombuffer(columns["spans"][i], np.int64).reshape(-1, 2))
-            continue
-        data, at = columns["bytes"][i], 0
-        places = zip(np.frombuffer(columns["sizes"][i], np.uint32).tolist(), np.frombuffer(columns["owners"][i], np.int64).tolist(), np.frombuffer(columns["starts"][i], np.int64).tolist())
-        equal: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for size, owner, start in places:
-            _earliest(chosen, equal, data[at : at + size], (owner, start))
-            at += size
-        for owner, spans in equal.items():
-            removed[owner].append(np.array(spans, np.int64))
-    if chosen:
-        rows, places = repeated_windows(list(chosen), np.array([p[0] for p in chosen.values()], np.int64), np.array([p[1] for p in chosen.values()], np.int64))
-        for row, found in _by_row(rows, places):
-            removed[row].append(np.stack([found, found + LENGTH], 1))
-    spans = [_merged(np.concatenate(parts)).tobytes() for parts in removed.values()]
-    return pa.table({"row": pa.array(list(removed), pa.int64()), "spans": pa.array(spans, pa.binary())})
+    contents, out = [], []
+    for data, sizes in zip(columns["bytes"], columns["sizes"]):
+        ends = np.cumsum(np.frombuffer(sizes, np.uint32)).tolist()
+        contents += [data[a:b] for a, b in zip([0, *ends], ends)]
+    if contents:
+        rows, places = repeated_windows(contents, _joined(columns["owners"], np.int64), _joined(columns["starts"], np.int64))
+        out = [(row, _merged(np.stack([found, found + LENGTH], 1)).tobytes()) for row, found in _by_row(rows, places)]
+    return pa.Table.from_batches([_batch_of("row long, spans binary", out)])
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """``_row`` and ``spans`` (list of packed byte ranges) of keyed documents that lose bytes."""
     shards = shards_for(text_bytes(docs), SHARD_BYTES)
-    sent = docs.select("_row", "text").mapInArrow(_anchor_messages(shards), _ANCHORS)
-    marks = sent.groupBy("shard").applyInArrow(_repeated_anchors, "row long, marks binary")
-    marks = marks.groupBy(F.col("row").alias("_row")).agg(F.collect_list("marks").alias("marks"))
+    sent = docs.select("_row", "text").mapInArrow(_place_messages(shards), _PLACES)
+    settled = kept_table(sent.groupBy("shard").applyInArrow(_settled, _SETTLED))
+    asked = settled.where("asked is not null").groupBy(F.col("row").alias("_row")).agg(F.collect_list("asked").alias("asked"), F.collect_list("asked_anchors").alias("asked_anchors"))
+    shards = shards_for(settled.agg(F.sum("asked_bytes")).first()[0] or 0, ARRAY_BYTES)
     packed = docs.select("_row", "text").mapInArrow(_packed, "_row long, packed binary")
-    sent = packed.join(marks, "_row").mapInArrow(_segment_messages(shards), _SEGMENTS)
-    spans = sent.groupBy("shard").applyInArrow(_repeated_spans, "row long, spans binary")
+    texts = packed.join(asked, "_row").mapInArrow(_text_messages(shards), _TEXTS)
+    spans = texts.groupBy("shard").applyInArrow(_repeated_spans, "row long, spans binary").union(settled.where("spans is not null").select("row", "spans"))
     return spans.groupBy(F.col("row").alias("_row")).agg(F.collect_list("spans").alias("spans"))
 
 
