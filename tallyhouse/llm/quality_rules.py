@@ -82,7 +82,7 @@ def _duplicate_lines(text: Column) -> Column:
 
 def histograms(docs: DataFrame, *extra: str) -> DataFrame:
     """doc_id, text (never null), words, bare (without white space), common (counts by bin), classes (counts)."""
-    df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *extra)
+    df = docs.select(F.col("doc_id").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *extra)
     df = df.withColumns({"words": F.array_remove(F.split("text", SPACE_RUN), ""), "bare": F.regexp_replace("text", SPACE_RUN, "")})
     df = df.withColumns({"rest": F.regexp_replace("bare", r"[\p{Ll}\p{Lo}\p{M}]+", ""), "small": F.sort_array(F.filter(F.transform("words", lambda w: F.lower(w)), lambda w: w.isin(BINS)))})
     df = df.withColumn("letters", F.length("bare") - F.length("rest"))
@@ -151,10 +151,10 @@ def class_distance(classes: Column, chars: Column, reference: Reference) -> Colu
     return _distance(sum((_part(classes[i] / chars, F.lit(q)) for i, q in enumerate(reference.classes)), F.lit(0.0)))
 
 
-def judged(docs: DataFrame, references: list[Reference]) -> DataFrame:
+def judged(docs: DataFrame, references: list[Reference], *extra: str) -> DataFrame:
     """Base counts, distances to the nearest reference, and the verdict of every row."""
-    df = histograms(docs).select(
-        "doc_id", "common", "classes", F.size("words").cast("long").alias("n_words"), F.length("bare").cast("long").alias("word_chars"), F.length("text").alias("_chars"),
+    df = histograms(docs, *extra).select(
+        "doc_id", *extra, "common", "classes", F.size("words").cast("long").alias("n_words"), F.length("bare").cast("long").alias("word_chars"), F.length("text").alias("_chars"),
         (F.length("rest") - F.length(F.translate("rest", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         _duplicate_lines(F.col("text")).cast("long").alias("n_dup_lines"), _repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
     )
@@ -164,9 +164,16 @@ def judged(docs: DataFrame, references: list[Reference]) -> DataFrame:
     df = df.withColumns({"word_distance": F.when(F.col("n_words") >= MIN_WORDS, near["word_distance"]), "class_distance": F.when(F.col("_chars") >= MIN_CHARS, near["class_distance"])})
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     odd = F.coalesce(F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False)) | F.coalesce(F.col("class_distance") > MAX_CLASS_DISTANCE, F.lit(False))
-    return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~odd).alias("kept"), "word_distance", "class_distance")
+    return df.select("doc_id", *extra, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~odd).alias("kept"), "word_distance", "class_distance")
 
 
 def quality(docs: DataFrame) -> DataFrame:
     """:func:`judged` against references from ``docs`` itself."""
-    return judged(docs, language_references(docs))
+    return judged(docs.withColumn("doc_id", F.col("doc_id").cast("long")), language_references(docs))
+
+
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the rules keep; all columns stay as they are."""
+    references = language_references(docs) if "lang" in docs.columns else []
+    rows = judged(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_rest")), references, "_rest")
+    return rows.where("kept").select("_rest.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import imatch, minhash_dedup, quality_rules, resharding, retrieval_packing, secret_scan, substring_dedup
+from tallyhouse.llm import imatch, language_id, lm_scoring, minhash_dedup, piece_lattice, quality_rules, resharding, retrieval_packing, secret_scan, substring_dedup
 from tallyhouse.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,11 @@ def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval_packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op2_n_best_pieces")
+def segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_lattice.encoded(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op3_histogram_divergence")
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(documents(spark, sf_dir))
@@ -41,6 +46,11 @@ def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removal_report(documents(spark, sf_dir))
 
 
+@query("op6_subword_language")
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
 @query("op7_flow_resharding")
 def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resharding.layout(documents(spark, sf_dir))
@@ -54,3 +64,8 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_imatch_fingerprints")
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(documents(spark, sf_dir))
+
+
+@query("op10_elias_fano_lm")
+def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(documents(spark, sf_dir))
