@@ -7,8 +7,9 @@ anchor, so a text falls into segments of about 140 bytes.
 
 1. Every segment is sent to the shard of its anchor as two hashes and a place, not as text. Of
    equal segments the earliest stays, and the others are removed whole.
-2. Where different segments share an anchor, their windows may be equal in part: the earliest
-   of each kind is cut out of its text and sent to a suffix-array shard.
+2. Where different segments share an anchor, their windows may be equal in part, if they agree
+   in the 38 bytes on one side of it, which every window around it holds: the earliest of
+   each kind is cut out of its text and sent to a suffix-array shard.
 3. Each shard builds the suffix array of its segments by induced sorting and the permuted
    common prefixes. Neighbours in the array that share 100 bytes belong to one class; all of a
    class but the earliest window are removed.
@@ -42,12 +43,14 @@ from tallyhouse.llm.suffix_array import permuted_prefixes, suffix_array
 
 LENGTH = 100
 GRAM = 24
+SIDE = (LENGTH - GRAM) // 2  # a window around an anchor reaches so far on one side at least
 SHARD_BYTES = 64 << 20  # bytes of text for each anchor shard
 ARRAY_BYTES = 4 << 20  # bytes of segments for each suffix array
 
 
 def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
-    """For ranges of documents: document, first window, windows, anchor and hash of every segment.
+    """For ranges of documents: document, first window, windows, anchor and hash of every segment, and
+    hashes of the ``SIDE`` bytes left and right of the anchor, 0 where the segment has fewer.
 
     A segment is a longest run of windows of one document with the same anchor place. The
     smallest hash wins, of equal ones the leftmost, so the choice lies in the window's bytes.
@@ -79,14 +82,18 @@ def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         fresh[1:] = (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])
         cut = np.flatnonzero(fresh)
         count = np.diff(np.append(cut, len(inside)))
-        yield first + owner[cut], inside[cut] - begins[owner[cut]], count, grams[place[cut]], span_hashes(sums, inside[cut], inside[cut] + count + LENGTH - 1)
+        a, p, z = inside[cut], place[cut], inside[cut] + count + LENGTH - 1
+        left = np.where(p - a >= SIDE, span_hashes(sums, np.maximum(p - SIDE, 0), p) | np.uint64(1), np.uint64(0))
+        end = np.minimum(p + GRAM + SIDE, len(data))
+        right = np.where(z - p - GRAM >= SIDE, span_hashes(sums, np.minimum(p + GRAM, end), end) | np.uint64(1), np.uint64(0))
+        yield first + owner[cut], a - begins[owner[cut]], count, grams[p], span_hashes(sums, a, z), left, right
 
 
-def all_segments(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Document, start, windows, anchor and hash of the bytes of every segment of a batch."""
+def all_segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """What :func:`segments` gives, for a whole batch."""
     parts = list(segments(texts))
     if not parts:
-        return (*(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+        return (*(np.zeros(0, np.int64) for _ in range(3)), *(np.zeros(0, np.uint64) for _ in range(4)))
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
@@ -105,18 +112,22 @@ def _joined(parts: list[bytes | None], kind) -> np.ndarray:
     return np.frombuffer(b"".join(p for p in parts if p), kind)
 
 
-def _earliest_of_each(anchor: np.ndarray, digest: np.ndarray, row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the earliest of equal segments, of the others, and whether the former share their anchor with different ones."""
+def _earliest_of_each(anchor: np.ndarray, digest: np.ndarray, row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the earliest of equal segments, and of the others."""
     order = np.lexsort((start, row, digest, anchor))
     a, d = anchor[order], digest[order]
     fresh = np.ones(len(order), bool)
     fresh[1:] = (a[1:] != a[:-1]) | (d[1:] != d[:-1])
-    first = order[fresh]
-    _, which, kinds = np.unique(anchor[first], return_inverse=True, return_counts=True)
-    return first, order[~fresh], kinds[which] > 1
+    return order[fresh], order[~fresh]
 
 
-_PLACES = "shard int, row long, spans binary, anchors binary, digests binary, owners binary, starts binary, counts binary"
+def _repeated(anchor: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Which segments share their anchor and the bytes on one side of it with another."""
+    _, which, times = np.unique(anchor.astype(np.uint64) << np.uint64(32) | side, return_inverse=True, return_counts=True)
+    return (times[which] > 1) & (side != 0)
+
+
+_PLACES = "shard int, row long, spans binary, anchors binary, digests binary, lefts binary, rights binary, owners binary, starts binary, counts binary"
 
 
 def _batch_of(schema: str, rows: list[tuple]) -> pa.RecordBatch:
@@ -134,15 +145,15 @@ def _spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
 def _place_messages(shards: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, start, count, anchor, digest = all_segments(binary_texts(batch.column("text")))
+            doc, start, count, anchor, digest, left, right = all_segments(binary_texts(batch.column("text")))
             row = np.array(batch.column("_row").to_pylist(), np.int64)[doc]
-            first, later, _ = _earliest_of_each(anchor, digest, row, start)
-            out = [(r % shards, r, _merged(s).tobytes(), None, None, None, None, None) for r, s in _by_row(row[later], _spans(start[later], count[later]))]
+            first, later = _earliest_of_each(anchor, digest, row, start)
+            out = [(r % shards, r, _merged(s).tobytes(), *[None] * 7) for r, s in _by_row(row[later], _spans(start[later], count[later]))]
             shard = (anchor % np.uint64(shards)).astype(np.int64)
             first = np.sort(first)  # by place again: places of a document side by side pack better
             for s in np.unique(shard[first]):
                 f = first[shard[first] == s]
-                out.append((int(s), None, None, (anchor[f] >> np.uint64(32)).astype(np.uint32).tobytes(), digest[f].tobytes(), row[f].tobytes(), start[f].astype(np.uint32).tobytes(), count[f].astype(np.uint8).tobytes()))
+                out.append((int(s), None, None, (anchor[f] >> np.uint64(32)).astype(np.uint32).tobytes(), digest[f].tobytes(), *((x[f] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for x in (left, right)), row[f].tobytes(), start[f].astype(np.uint32).tobytes(), count[f].astype(np.uint8).tobytes()))
             for i in range(0, len(out), 1000):
                 yield _batch_of(_PLACES, out[i : i + 1000])
     return send
@@ -155,9 +166,10 @@ def _settled(key, table):
     """Removed spans of a shard, and the segments whose text must be looked at."""
     columns = {c: table.column(c).to_pylist() for c in table.column_names}
     out = [(r, s, None, None, 0) for r, s in zip(columns["row"], columns["spans"]) if r is not None]
-    anchor, digest, row, start, count = (_joined(columns[c], k) for c, k in (("anchors", np.uint32), ("digests", np.uint64), ("owners", np.int64), ("starts", np.uint32), ("counts", np.uint8)))
+    anchor, digest, left, right, row, start, count = (_joined(columns[c], k) for c, k in (("anchors", np.uint32), ("digests", np.uint64), ("lefts", np.uint32), ("rights", np.uint32), ("owners", np.int64), ("starts", np.uint32), ("counts", np.uint8)))
     start, count = start.astype(np.int64), count.astype(np.int64)
-    first, later, mixed = _earliest_of_each(anchor, digest, row, start)
+    first, later = _earliest_of_each(anchor, digest, row, start)
+    mixed = _repeated(anchor[first], left[first]) | _repeated(anchor[first], right[first])
     out += [(r, _merged(s).tobytes(), None, None, 0) for r, s in _by_row(row[later], _spans(start[later], count[later]))]
     asked = first[mixed]
     spans = _spans(start[asked], count[asked])

@@ -72,28 +72,46 @@ def _sweeps_by_bucket(text, smaller, starts, ends, seeds):
 
 
 def _sweeps_by_entry(text, smaller, starts, ends, seeds):
-    """The same sweeps entry by entry, for alphabets with few entries in a bucket."""
-    n = len(text)
-    symbols, is_small = text.tolist(), smaller.tolist()
-    order, heads, tails = [-1] * n, starts.tolist(), (ends - 1).tolist()
-    for i in reversed(seeds.tolist()):
-        c = symbols[i]
-        order[tails[c]] = i
-        tails[c] -= 1
-    for i in range(n):
-        j = order[i] - 1
-        if j >= 0 and not is_small[j]:
-            c = symbols[j]
-            order[heads[c]] = j
-            heads[c] += 1
-    tails = (ends - 1).tolist()
-    for i in range(n - 1, -1, -1):
-        j = order[i] - 1
-        if j >= 0 and is_small[j]:
-            c = symbols[j]
-            order[tails[c]] = j
-            tails[c] -= 1
-    order[0] = n - 1
+    """The same sweeps entry by entry, for alphabets with few entries in a bucket.
+
+    Buckets are lists that grow while they are read. Where the left neighbour of a place goes
+    in a sweep is looked up beforehand, -1 if it is not of the sweep's kind.
+    """
+    n, size = len(text), len(starts)
+    before = np.empty(n, np.int64)
+    before[0] = -1
+    before[1:] = text[:-1]
+    before_small = np.append(False, smaller[:-1])
+    to_large = np.where(before_small, -1, before).tolist()
+    to_small = np.where(before_small, before, -1).tolist()
+    large: list[list[int]] = [[] for _ in range(size)]
+    seeded: list[list[int]] = [[] for _ in range(size)]
+    for i, c in zip(seeds.tolist(), text[seeds].tolist()):
+        seeded[c].append(i)
+    for c in range(size):
+        for i in large[c]:
+            t = to_large[i]
+            if t >= 0:
+                large[t].append(i - 1)
+        for i in seeded[c]:
+            t = to_large[i]
+            if t >= 0:
+                large[t].append(i - 1)
+    small: list[list[int]] = [[] for _ in range(size)]
+    for c in range(size - 1, -1, -1):
+        for i in small[c]:
+            t = to_small[i]
+            if t >= 0:
+                small[t].append(i - 1)
+        for i in reversed(large[c]):
+            t = to_small[i]
+            if t >= 0:
+                small[t].append(i - 1)
+    small[0] = [n - 1]
+    order: list[int] = []
+    for c in range(size):
+        order += large[c]
+        order += reversed(small[c])
     return np.array(order, np.int64)
 
 
