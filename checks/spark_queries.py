@@ -6,6 +6,7 @@ both engines spell alike: decimals as DOUBLE, days and times as text, integers a
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import datetime
 from functools import partial
@@ -60,8 +61,13 @@ class Data:
             _warehouses[at] = Warehouse(self.spark, scratch_dir(self.spark), self.raw)
         return _warehouses[at]
 
+    def stored(self, name: str) -> DataFrame:
+        """A stored table; built, with what it needs, if no query has asked for it yet."""
+        self.warehouse.build(name, after=())
+        return self.warehouse.open(name)
+
     def gold(self, name: str) -> DataFrame:
-        return self.warehouse.table(name)
+        return self.stored(name)
 
     @property
     def model(self) -> metrics.Model:
@@ -257,9 +263,11 @@ def _(d):
 
 @check("src_12_create_or_replace", table("s_customer_master", _raw_columns("customer_master") + " is_valid_record"))
 def _(d):
-    path = d.folder()
-    tables.replace(d.raw("customer_master"), path)  # replaced by the next line, schema included
-    return tables.replace(d.silver("customer_master"), path).select(
+    # built twice by one warehouse, opened by another that cannot build
+    root = d.folder()
+    for _ in range(2):
+        Warehouse(d.spark, root, d.raw).build("silver_customer_master")
+    return Warehouse(d.spark, root).open("silver_customer_master").select(
         *RAW_TABLES["customer_master"].columns, "is_valid_record")
 
 
@@ -390,22 +398,30 @@ for _number, _name in enumerate(RAW_TABLES, 1):
             quality.first_broken(quality.rules_for(name)).alias("first_broken"))
 
 
-@check("dq_14_lengths", sql(
-    "SELECT 'customer_master' AS table_name, count(*) AS total_rows, "
-    "count(*) FILTER (length(loyalty_tier) > 20) AS tier_too_long, "
-    "count(*) FILTER (length(customer_number) > 20) AS number_too_long, "
-    "count(*) FILTER (length(email) > 200) AS email_too_long FROM b_customer_master"))
-def _(d):
-    spec = RAW_TABLES["customer_master"]
-    report = quality.rule_summary(d.raw(spec.name), quality.length_rules(spec.schema), spec.name)
+def _lengths_sql() -> str:
+    parts = []
+    for name, spec in RAW_TABLES.items():
+        for f in spec.schema.fields:
+            if "max_length" in f.metadata:
+                # one half of the declared length, so that there is something to find
+                most = f.metadata["max_length"] // 2
+                parts.append(f"SELECT '{name}' AS table_name, '{f.name}' AS column_name, "
+                             f"count(*) FILTER (length({f.name}) > {most}) AS too_long, count(*) AS total_rows FROM b_{name}")
+    return " UNION ALL ".join(parts)
 
-    def broken(rule: str, name: str) -> Column:
-        return F.max(F.when(F.col("rule_name") == rule, F.col("broken_rows"))).alias(name)
 
-    return report.groupBy("table_name", "total_rows").agg(
-        broken("loyalty_tier is longer than 20", "tier_too_long"),
-        broken("customer_number is longer than 20", "number_too_long"),
-        broken("email is longer than 200", "email_too_long"))
+@check("dq_14_lengths", sql(_lengths_sql()))
+def _(d):
+    parts = []
+    for name, spec in RAW_TABLES.items():
+        halved = T.StructType([
+            T.StructField(f.name, f.dataType, True, {**f.metadata, "max_length": f.metadata["max_length"] // 2})
+            for f in spec.schema.fields if "max_length" in f.metadata])
+        parts.append(quality.rule_summary(d.raw(name), quality.length_rules(halved), name))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.select("table_name", F.split("rule_name", " ")[0].alias("column_name"), F.col("broken_rows").alias("too_long"), "total_rows")
 
 
 # -- joins ------------------------------------------------------------------------------
@@ -450,6 +466,13 @@ def _(d):
                   "customer_id").select("transaction_id", "customer_dim_key")
 
 
+@check("jn_09_shuffled", ORACLES["jn_09_header_customer"])
+def _(d):
+    customers = facts.current(dimensions.dim_customer(d.silver("customer_master")))
+    return lookup(valid(d.silver("sales_header")), customers.select("customer_id", "customer_dim_key"),
+                  "customer_id", broadcast_bytes=0).select("transaction_id", "customer_dim_key")
+
+
 @check("jn_10_header_store", sql(
     "SELECT h.transaction_id, s.store_dim_key FROM s_sales_header h JOIN g_dim_store s ON h.store_id = s.store_code "
     "WHERE h.is_valid_record"))
@@ -748,39 +771,78 @@ def _(d):
         "store_code", "floor_area_sqft", "store_dim_key")
 
 
-@check("inc_03_refresh_touched_months", table("g_fact_sales_monthly", GOLD_COLUMNS["fact_sales_monthly"]))
-def _(d):
-    # the summary starts from the sales of two channels, then the third arrives as a stream of changes
-    header = d.gold("fact_sales_header").withColumn("sales_month", jobs.month_of("transaction_timestamp"))
-    days, countries = d.gold("dim_date"), d.gold("dim_country")
+def _monthly(d: Data, sales: DataFrame) -> DataFrame:
+    out = summaries.fact_sales_monthly(sales, d.gold("dim_date"), d.gold("dim_country"))
+    return out.withColumn(jobs.MONTH, F.col("year_month"))
+
+
+def _refreshed_months(d: Data, first: DataFrame, then: DataFrame, newest: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The monthly summary after two streamed deliveries of facts; ``newest`` picks the rows that count."""
     fact, summary, checkpoint = d.folder(), d.folder(), d.folder()
+    whole = lambda: newest(tables.read(d.spark, fact, first.schema))
+    for part in (first, then):
+        tables.append(part, fact)
+        _finish(jobs.refresh_touched(
+            d.spark.readStream.schema(first.schema).option("recursiveFileLookup", "true").parquet(fact), jobs.MONTH,
+            ["transaction_id"], whole, lambda sales: _monthly(d, sales), summary, checkpoint))
+    return d.spark.read.parquet(summary).select(*names(GOLD_COLUMNS["fact_sales_monthly"]))
 
-    def build(sales: DataFrame) -> DataFrame:
-        out = summaries.fact_sales_monthly(sales, days, countries)
-        return out.withColumn("sales_month", F.col("year_month"))
 
+@check("inc_03_refresh_touched_months", table("g_fact_sales_monthly", GOLD_COLUMNS["fact_sales_monthly"]))
+def _(d):
+    # the summary starts from the sales of two channels, then the third arrives
+    header = d.gold("fact_sales_header")
     late = F.col("channel_id") == "WEB"
-    tables.replace(header.filter(~late), fact, ["sales_month"])
-    whole = lambda: tables.read(d.spark, fact, header.schema)
-    tables.replace(build(whole()), summary, ["sales_month"])
-    header.filter(late).write.mode("append").partitionBy("sales_month").parquet(fact)
-    changes = d.folder()
-    header.filter(late).write.parquet(changes)
-    _finish(jobs.refresh_touched(d.spark.readStream.schema(header.schema).parquet(changes), "sales_month", whole,
-                                 build, summary, checkpoint))
-    return tables.read(d.spark, summary, build(header).schema).select(*names(GOLD_COLUMNS["fact_sales_monthly"]))
+    return _refreshed_months(d, header.filter(~late), header.filter(late), lambda rows: rows)
 
 
-@check("inc_04_freshness", sql("""
-    SELECT lag.table_name, lag.freshness, count(*) AS transactions FROM g_fact_sales_header,
-    (VALUES ('fact_sales_daily', '5 minutes'), ('fact_sales_weekly', '7 days'), ('fact_sales_monthly', '30 days'),
-            ('dim_date', 'when needed')) AS lag(table_name, freshness) GROUP BY ALL"""))
+@check("inc_03_moved_month", table("g_fact_sales_monthly", GOLD_COLUMNS["fact_sales_monthly"]))
 def _(d):
-    lags = F.array(*[
-        F.struct(F.lit(n).alias("table_name"), F.lit(jobs.trigger_for(n).get("processingTime", "when needed")).alias("freshness"))
-        for n in ("fact_sales_daily", "fact_sales_weekly", "fact_sales_monthly", "dim_date")])
-    return d.gold("fact_sales_header").agg(F.count(F.lit(1)).alias("transactions")).select(
-        F.inline(lags), "transactions")
+    # every third sale is delivered in January 1992 first and then corrected to its true day
+    header = d.gold("fact_sales_header").withColumn("delivery", F.lit(2))
+    one = d.gold("dim_date").agg(F.min_by(F.struct("date_key", "date_dim_key"), "date_key").alias("day"))
+    day = one.first()["day"]
+    moved = F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == 0
+    wrong = header.filter(moved).withColumns({
+        "transaction_timestamp": F.lit(day["date_key"]), "date_dim_key": F.lit(day["date_dim_key"]), "delivery": F.lit(1)})
+    wrong = wrong.withColumn(jobs.MONTH, jobs.month_of("transaction_timestamp"))
+    first = header.filter(~moved).unionByName(wrong)
+    return _refreshed_months(d, first, header.filter(moved), lambda rows: keep_latest(rows, ["transaction_id"], ["delivery"]))
+
+
+@check("inc_04_freshness", table("g_fact_sales_daily", GOLD_COLUMNS["fact_sales_daily"]))
+def _(d):
+    # a job with the trigger of the daily summary writes it for every batch of new sales
+    header, target, arrived, checkpoint = d.gold("fact_sales_header"), d.folder(), d.folder(), d.folder()
+    days, stores, countries = (d.gold(n) for n in ("dim_date", "dim_store", "dim_country"))
+
+    def refresh() -> None:
+        tables.replace(summaries.fact_sales_daily(tables.read(d.spark, arrived, header.schema), days, stores, countries), target)
+
+    tables.append(header, arrived)
+    changes = d.spark.readStream.schema(header.schema).option("recursiveFileLookup", "true").parquet(arrived)
+    query = jobs.keep_fresh("fact_sales_daily", changes, refresh, checkpoint)
+    try:
+        until = time.time() + 120
+        while not query.recentProgress and query.isActive and time.time() < until:
+            time.sleep(0.1)  # the first batch runs at once, the next one when the trigger says so
+    finally:
+        query.stop()
+    return d.spark.read.parquet(target).select(*names(GOLD_COLUMNS["fact_sales_daily"]))
+
+
+@check("inc_05_batch_then_stream", table("b_sales_header", _raw_columns("sales_header")))
+def _(d):
+    # a batch load, an incremental one and another batch fill one raw table
+    spec, target, checkpoint, landed = RAW_TABLES["sales_header"], d.folder(), d.folder(), [d.folder() for _ in range(3)]
+    rows = d.raw(spec.name).select(*spec.columns)
+    part = F.pmod(F.xxhash64("transaction_id"), F.lit(3))
+    for i, folder in enumerate(landed):
+        rows.filter(part == i).write.option("header", "true").csv(folder)
+    landing.load(d.spark, spec, landed[0], target)
+    _finish(jobs.load_new_files(d.spark, spec, landed[1], target, checkpoint))
+    landing.load(d.spark, spec, landed[2], target)
+    return tables.read(d.spark, target, spec.schema).select(*spec.columns)
 
 
 @check("inc_05_new_files_only", table("b_sales_header", _raw_columns("sales_header")))
@@ -920,14 +982,43 @@ def _(d):
     return integrity.key_violations(d.source("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@check("cst_02_header_references", sql(f"""
-    SELECT store_id AS missing_key, count(*) AS orphan_rows FROM s_sales_header WHERE store_id IS NOT NULL
-    AND store_id NOT IN (SELECT store_code FROM g_dim_store) GROUP BY store_id"""))
+# Parents that lost rows: what the damaged copies keep, as SQL that both engines read.
+_LEFT = {"dim_customer": "customer_id NOT LIKE '%7'", "dim_store": "store_code NOT LIKE '%3'", "dim_country": "country_code NOT LIKE '%1'",
+         "dim_date": "date_key >= DATE '1993-01-01'", "dim_product": "sku_code NOT LIKE '%5'", "fact_sales_header": "transaction_id NOT LIKE '%9'"}
+
+
+def _damaged_sql(ref: integrity.Reference) -> str:
+    return (f"SELECT '{ref.name}' AS reference, count(*) AS orphan_rows FROM g_{ref.table} WHERE {ref.column} NOT IN "
+            f"(SELECT {ref.column} FROM g_{ref.parent} WHERE {_LEFT[ref.parent]})")
+
+
+for _query, _table in (("cst_02_header_references", "fact_sales_header"), ("cst_03_item_references", "fact_sales_item")):
+    @check(_query, sql(" UNION ALL ".join(_damaged_sql(r) for r in integrity.REFERENCES if r.table == _table)))
+    def _(d, child=_table):
+        refs = [r for r in integrity.REFERENCES if r.table == child]
+        return integrity.orphan_rows(d.gold(child), {r.name: (r.column, d.gold(r.parent).filter(_LEFT[r.parent]), r.column) for r in refs})
+
+
+@check("cst_04_damaged_report", sql(" UNION ALL ".join(
+    [f"SELECT '{k.table}' AS table_name, '{k.name}' AS constraint_name, 'PRIMARY KEY' AS constraint_type, "
+     + (f"count(*) FILTER ({_LEFT[k.table]}) AS violations FROM g_{k.table}" if k.table == "dim_store" else f"0 AS violations FROM (SELECT 1)")
+     for k in integrity.KEYS]
+    + [_damaged_sql(r).replace(f"'{r.name}' AS reference, count(*) AS orphan_rows",
+                               f"'{r.table}' AS table_name, '{r.name}' AS constraint_name, 'FOREIGN KEY' AS constraint_type, "
+                               + ("2 * " if r.table == "dim_store" else "") + "count(*) AS violations")
+       if r.parent in ("dim_store", "dim_date") else
+       f"SELECT '{r.table}' AS table_name, '{r.name}' AS constraint_name, 'FOREIGN KEY' AS constraint_type, 0 AS violations"
+       for r in integrity.REFERENCES])))
 def _(d):
-    return integrity.orphans(d.warehouse.table("silver_sales_header"), d.gold("dim_store"), "store_id", "store_code")
+    # every store that is left is stored twice; stores and days that are gone leave sales behind
+    tables_ = {n: d.gold(n) for n in sorted({k.table for k in integrity.KEYS})}
+    stores = tables_["dim_store"].filter(_LEFT["dim_store"])
+    tables_["dim_store"] = stores.unionByName(stores)
+    tables_["dim_date"] = tables_["dim_date"].filter(_LEFT["dim_date"])
+    return integrity.constraint_report(tables_)
 
 
-@check("cst_03_item_references", sql(f"""
+@check("cst_03_missing_articles", sql("""
     SELECT sku_code AS missing_key, count(*) AS orphan_rows FROM s_sales_item
     WHERE sku_code NOT IN (SELECT sku_code FROM g_dim_product) GROUP BY sku_code"""))
 def _(d):
@@ -1051,6 +1142,13 @@ for _number, (_logical, _name, _metric) in enumerate(_METRICS, 1):
         return d.model.query([name], [by])
 
 
+@check("met_11_late_join", sql("""
+    SELECT c.loyalty_tier, CAST(sum(f.net_total) AS DOUBLE) AS total_net_sales FROM g_fact_sales_header f
+    JOIN g_dim_customer c USING (customer_dim_key) GROUP BY 1"""))
+def _(d):
+    return d.model.query(["total_net_sales"], ["loyalty_tier"], broadcast_bytes=0)
+
+
 _VQ = {
     "vq_01_total_sales_by_region": (questions.total_sales_by_region, """
         SELECT n.region_name AS region, CAST(sum(f.net_total) AS DOUBLE) AS total_sales FROM g_fact_sales_header f
@@ -1106,6 +1204,12 @@ def _(d):
         "user_id", "event_type", "event_id", history.START, history.END, history.CURRENT)
 
 
+@check("ext_01_history_chunked", ORACLES["ext_01_history"])
+def _(d):
+    return history.history(d.source("events"), ["user_id"], ["event_type"], ["ts", "event_id"], skew_bytes=0).select(
+        "user_id", "event_type", "event_id", history.START, history.END, history.CURRENT)
+
+
 def _store_loads(d: Data) -> DataFrame:
     """Every store loaded three times: the second load changes nothing, the third the area."""
     first = d.raw("store_master")
@@ -1153,6 +1257,42 @@ def _(d):
     return history.as_of(bought, versions, "user_id", "ts", ["state", "state_event"]).drop("ts")
 
 
+@check("ext_02_as_of_chunked", ORACLES["ext_02_point_in_time"])
+def _(d):
+    events = d.source("events")
+    held = history.history(events.filter("event_type <> 'purchase'"), ["user_id"], ["event_type"], ["ts", "event_id"], 0)
+    held = held.select("user_id", F.col("event_type").alias("state"), F.col("event_id").alias("state_event"),
+                       history.START, history.END)
+    bought = events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts", "value")
+    return history.as_of(bought, held, "user_id", "ts", ["state", "state_event"], skew_bytes=0).drop("ts")
+
+
+def _twice_in_one_load(d: Data) -> DataFrame:
+    """Every store twice in one load, the second row one square foot larger and further down in the file."""
+    first = d.raw("store_master")
+    later = first.withColumns({"floor_area_sqft": F.col("floor_area_sqft") + 1, ROW_NUMBER: F.col(ROW_NUMBER) + 1_000_000})
+    return later.unionByName(first)
+
+
+@check("ext_01_same_load_versions", sql("""
+    SELECT store_code, floor_area_sqft + 1 AS floor_area_sqft, '2024-01-01 06:00:00.250000' AS effective_start_ts, true AS is_current,
+           0 AS repeated_keys FROM s_store_master"""))
+def _(d):
+    dated = versions.versions(_twice_in_one_load(d), "store_master")
+    repeated = integrity.key_violations(dated, ["store_dim_key"]).first()["repeated_keys"]
+    return dated.select("store_code", "floor_area_sqft", history.START, history.CURRENT, F.lit(repeated).alias("repeated_keys"))
+
+
+@check("ext_02_same_load_as_of", sql("""
+    SELECT transaction_id, store_id FROM s_sales_header WHERE transaction_timestamp + 10500 >= DATE '2024-01-01'
+    AND store_id IN (SELECT store_code FROM g_dim_store)"""))
+def _(d):
+    sales = d.silver("sales_header").select(
+        "transaction_id", "store_id", F.date_add("transaction_timestamp", 10500).alias("transaction_timestamp"))
+    dated = versions.versions(_twice_in_one_load(d), "store_master")
+    return versions.sales_as_of(sales, dated, "store_master", "store_id").select("transaction_id", "store_id")
+
+
 _SERIES = "country_code, channel_id, currency"
 
 
@@ -1193,16 +1333,18 @@ def _(d):
 @check("ext_04_dropped_rows", sql(" UNION ALL ".join(f"""
     SELECT '{label}' AS reference, count(DISTINCT k) FILTER (k IS NOT NULL) AS orphan_keys,
            count(k) AS orphan_rows, count(*) - count(k) AS null_rows
-    FROM (SELECT {column} AS k FROM s_{child} WHERE is_valid_record IS NOT NULL
-          AND ({column} IS NULL OR {column} NOT IN (SELECT {parent_column} FROM g_{parent})))"""
+    FROM (SELECT {column} AS k FROM {child}
+          WHERE ({column} IS NULL OR {column} NOT IN (SELECT {parent_column} FROM g_{parent})))"""
     for label, child, column, parent, parent_column in (
-        ("header to customer", "sales_header", "customer_id", "dim_customer", "customer_id"),
-        ("header to store", "sales_header", "store_id", "dim_store", "store_code"),
-        ("item to header", "sales_item", "transaction_id", "fact_sales_header", "transaction_id"),
-        ("item to product", "sales_item", "sku_code", "dim_product", "sku_code")))))
+        ("store to country", "g_dim_store", "country_code", "dim_country", "country_code"),
+        ("header to customer", "(FROM s_sales_header WHERE is_valid_record)", "customer_id", "dim_customer", "customer_id"),
+        ("header to store", "(FROM s_sales_header WHERE is_valid_record)", "store_id", "dim_store", "store_code"),
+        ("item to header", "(FROM s_sales_item WHERE is_valid_record)", "transaction_id", "fact_sales_header", "transaction_id"),
+        ("item to product", "(FROM s_sales_item WHERE is_valid_record)", "sku_code", "dim_product", "sku_code")))))
 def _(d):
-    header, item = d.warehouse.table("silver_sales_header"), d.warehouse.table("silver_sales_item")
+    header, item = valid(d.stored("silver_sales_header")), valid(d.stored("silver_sales_item"))
     parts = [
+        integrity.orphan_summary(d.gold("dim_store"), d.gold("dim_country"), "country_code", "country_code", "store to country"),
         integrity.orphan_summary(header, d.gold("dim_customer"), "customer_id", "customer_id", "header to customer"),
         integrity.orphan_summary(header, d.gold("dim_store"), "store_id", "store_code", "header to store"),
         integrity.orphan_summary(item, d.gold("fact_sales_header"), "transaction_id", "transaction_id", "item to header"),

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse import runtime
+from tallyhouse.operators.latest import keep_latest
 from tallyhouse.operators.ordered import chunked, neighbours
-from tallyhouse.schemas import LOAD_TS, ROW_NUMBER
+from tallyhouse.schemas import FILE_NAME, LOAD_TS, ROW_NUMBER
 
 START, END, CURRENT = "effective_start_ts", "effective_end_ts", "is_current"
 
@@ -28,18 +28,17 @@ def history(
     df: DataFrame,
     keys: Sequence[str],
     tracked: Sequence[str],
-    order: Sequence[str] = (LOAD_TS, ROW_NUMBER),
+    order: Sequence[str] = (LOAD_TS, ROW_NUMBER, FILE_NAME),
     skew_bytes: int | None = None,
 ) -> DataFrame:
     """One row per version of a key: reloads that change none of ``tracked`` are dropped.
 
-    A version ends where the next one of its key starts, the last one is current. Copies
-    of a row are no versions; where there may be many they are dropped up front, since
-    rows equal in every column cannot be cut into chunks.
+    A version ends where the next one of its key starts, the last one is current. Of rows
+    with one key and one time (the first column of ``order``) the last counts, as everywhere;
+    so no version is empty, and copies, which map tasks drop first, are no versions.
     """
     state = F.struct(*tracked)
-    if runtime.may_be_skewed(df, skew_bytes):
-        df = df.distinct()
+    df = keep_latest(df, [*keys, order[0]], order[1:] or order)
     seen = neighbours(
         chunked(df, keys, order, skew_bytes), keys, order,
         {"__before": ("previous", state), "__known": ("previous", F.lit(True))},
@@ -70,14 +69,16 @@ def as_of(
     Facts and versions are put in one time order per key and the newest version is
     carried forward, so the work is linear in both: no fact meets more than one
     version, and a hot key is cut into chunks. Facts are expected to carry a unique key.
+    Of versions that start together the one that ends last holds.
     """
     version = F.struct(*columns, F.col(END).alias("__end"))
     events = versions.select(
-        F.col(key), F.col(START).alias("__at"), F.lit(0).alias("__kind"), version.alias("__version"))
+        F.col(key), F.col(START).alias("__at"), F.lit(0).alias("__kind"), F.col(END).alias("__until"),
+        version.alias("__version"))
     wanted = facts.select(
         F.col(key), F.col(at).alias("__at"), F.lit(1).alias("__kind"), F.struct(*facts.columns).alias("__fact"))
     both = events.unionByName(wanted, allowMissingColumns=True)
-    order = ["__at", "__kind"]
+    order = ["__at", "__kind", "__until"]
     cut = chunked(both, [key], order, skew_bytes, spread=[F.xxhash64("__fact")])
     carried = neighbours(cut, [key], order, {"__held": ("carried", F.col("__version"))})
     found = carried.filter("__kind = 1").withColumn(

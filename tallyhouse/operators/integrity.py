@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.lookup import small
+
 
 @dataclass(frozen=True)
 class Key:
@@ -75,8 +77,33 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     return used.join(known, "missing_key", "left_anti")
 
 
+def orphan_rows(child: DataFrame, references: Mapping[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """``reference`` and ``orphan_rows`` of several references of one table: column, parent, column there.
+
+    Parents small enough to broadcast are looked up in one scan of the child; a larger one
+    is met by the child's keys, counted before.
+    """
+    near = {n: r for n, r in references.items() if small(r[1])}
+    lines = [
+        orphans(child, parent, column, other).agg(F.coalesce(F.sum("orphan_rows"), F.lit(0)).alias("orphan_rows"))
+        .select(F.lit(name).alias("reference"), "orphan_rows")
+        for name, (column, parent, other) in references.items() if name not in near]
+    if near:
+        df = child.select(*dict.fromkeys(column for column, _, _ in near.values()))
+        for i, (column, parent, other) in enumerate(near.values()):
+            known = parent.select(F.col(other).alias(f"__key_{i}")).distinct()
+            df = df.join(F.broadcast(known), F.col(column) == F.col(f"__key_{i}"), "left")
+        counts = df.agg(*[F.count_if(F.col(column).isNotNull() & F.col(f"__key_{i}").isNull()).alias(f"__{i}") for i, (column, _, _) in enumerate(near.values())])
+        pairs = F.array(*[F.struct(F.lit(n).alias("reference"), F.col(f"__{i}").alias("orphan_rows")) for i, n in enumerate(near)])
+        lines.append(counts.select(F.inline(pairs)))
+    return reduce(DataFrame.unionByName, lines)
+
+
 def orphan_summary(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, label: str) -> DataFrame:
-    """One row: how many rows an inner join on this reference drops, NULL references included."""
+    """One row: how many rows an inner join on this reference drops, NULL references included.
+
+    ``child`` holds the rows that reach the join: for a fact, the valid ones.
+    """
     missing = orphans(child, parent, child_key, parent_key).agg(
         F.count(F.lit(1)).alias("orphan_keys"), F.coalesce(F.sum("orphan_rows"), F.lit(0)).alias("orphan_rows"))
     nulls = child.filter(F.col(child_key).isNull()).agg(F.count(F.lit(1)).alias("null_rows"))
@@ -104,9 +131,9 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
         lines.append(bad.select(
             F.lit(key.table).alias("table_name"), F.lit(key.name).alias("constraint_name"),
             F.lit("PRIMARY KEY").alias("constraint_type"), (F.col("null_rows") + F.col("surplus_rows")).alias("violations")))
-    for ref in REFERENCES:
-        bad = orphans(tables[ref.table], tables[ref.parent], ref.column, ref.column)
-        lines.append(bad.agg(F.coalesce(F.sum("orphan_rows"), F.lit(0)).alias("violations")).select(
-            F.lit(ref.table).alias("table_name"), F.lit(ref.name).alias("constraint_name"),
-            F.lit("FOREIGN KEY").alias("constraint_type"), "violations"))
+    for table in dict.fromkeys(r.table for r in REFERENCES):
+        found = orphan_rows(tables[table], {r.name: (r.column, tables[r.parent], r.column) for r in REFERENCES if r.table == table})
+        lines.append(found.select(
+            F.lit(table).alias("table_name"), F.col("reference").alias("constraint_name"),
+            F.lit("FOREIGN KEY").alias("constraint_type"), F.col("orphan_rows").alias("violations")))
     return reduce(DataFrame.unionByName, lines).orderBy("table_name", "constraint_type", "constraint_name")

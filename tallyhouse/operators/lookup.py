@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import runtime
 
-SALT = "__salt"
-
 
 def small(df: DataFrame, limit: int | None = None) -> bool:
     return runtime.source_bytes(df) <= (runtime.BROADCAST_BYTES if limit is None else limit)
@@ -22,38 +18,13 @@ def lookup(
     key: str,
     how: str = "inner",
     *,
-    weighed: DataFrame | None = None,
-    grouped: bool = False,
     broadcast_bytes: int | None = None,
-    skew_bytes: int | None = None,
 ) -> DataFrame:
     """Join ``many`` to ``one`` on ``key``; ``one`` holds each key at most once.
 
-    Three ways, all with the same result:
-
-    1. ``one`` is read from few bytes: it is broadcast and ``many`` is not shuffled.
-    2. otherwise both sides are shuffled on the key, and adaptive execution may still
-       pick a broadcast or split a skewed partition from the sizes it measures;
-    3. where ``many`` is large enough for a single key to overload a task, the keys that
-       hold at least a hundredth of its rows (so at most a hundred) are spread by a salt
-       over a share of the tasks equal to their share of the rows. Only their rows of
-       ``one`` are repeated, once per salt: no more rows than there are tasks. The keys
-       are counted in ``weighed``, a stored table ``many`` was derived from, where given.
-       The salt is a hash of the row, so a task that runs again sends every row where it
-       went before; rows equal in every column stay together. ``grouped`` says that
-       ``many`` is an aggregate with few rows per key, which needs none of this.
+    If ``one`` is read from few bytes it is broadcast and ``many`` is not shuffled; Spark's
+    own estimate multiplies the sizes of joined tables and would miss that. Otherwise both
+    sides are shuffled on the key, and adaptive execution picks a broadcast or splits the
+    partition of a hot key from the sizes it measures.
     """
-    if small(one, broadcast_bytes):
-        return many.join(F.broadcast(one), key, how)
-    if grouped or not runtime.may_be_skewed(many, skew_bytes):
-        return many.join(one, key, how)
-    hot = runtime.share_keys(many if weighed is None else weighed, key)
-    if not hot:
-        return many.join(one, key, how)
-    tasks = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.col(key).isin(list(hot))
-    salts = F.create_map(*[F.lit(x) for k, part in hot.items() for x in (k, math.ceil(part * tasks) + 1)])[F.col(key)]
-    salted = many.withColumn(
-        SALT, F.when(is_hot, F.pmod(F.xxhash64(*many.columns), salts).cast("int")).otherwise(0))
-    repeats = F.when(is_hot, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))
-    return salted.join(one.withColumn(SALT, F.explode(repeats)), [key, SALT], how).drop(SALT)
+    return many.join(F.broadcast(one) if small(one, broadcast_bytes) else one, key, how)

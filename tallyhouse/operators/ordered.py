@@ -65,7 +65,7 @@ def neighbours(
 
     far = _beyond_chunk(df, keys, order, values, packed)
     same = [F.col(f"n.{CHUNK}") == F.col(f"f.{CHUNK}"), *[F.col(f"n.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]]
-    joined = near.alias("n").join(F.broadcast(far.alias("f")), reduce(lambda a, b: a & b, same), "left")
+    joined = near.alias("n").join(far.alias("f"), reduce(lambda a, b: a & b, same), "left")
     return joined.select(
         *[F.col(f"n.{c}") for c in df.columns],
         *[F.coalesce(F.col(f"n.__{n}"), F.col(f"f.{n}"))["v"].alias(n) for n in values],

@@ -26,11 +26,15 @@ def load_all(
     env: str = "dev",
     load_ts: datetime | None = None,
     only: Iterable[str] = RAW_TABLES,
+    load: str | None = None,
 ) -> None:
-    """Append the landed file of every raw table, found under ``folder`` by its usual path."""
+    """Append the landed file of every raw table, found under ``folder`` by its usual path.
+
+    A run that names its ``load`` and is repeated replaces what it loaded before.
+    """
     for name in only:
         spec = RAW_TABLES[name]
-        landing.load(spark, spec, f"{folder}/{spec.file}", raw_path(root, env, name), load_ts, root=folder)
+        landing.load(spark, spec, f"{folder}/{spec.file}", raw_path(root, env, name), load_ts, root=folder, load=load)
 
 
 def raw_path(root: str, env: str, name: str) -> str:
@@ -38,29 +42,41 @@ def raw_path(root: str, env: str, name: str) -> str:
 
 
 def warehouse(spark: SparkSession, root: str, env: str = "dev") -> Warehouse:
-    """Silver and gold over the raw tables stored under ``root``."""
+    """Silver and gold over the raw tables stored under ``root``; ``build`` makes them, ``open`` reads them."""
     return Warehouse(spark, root, lambda n: tables.read(spark, raw_path(root, env, n), RAW_TABLES[n].schema), env)
 
 
+COMPACT_AFTER = 8  # pending batches of a table that are folded into its base
+
+
 def refresh(spark: SparkSession, folder: str, root: str, env: str = "dev") -> Warehouse:
-    """One incremental run: load new files, fold them into the newest rows, rebuild gold.
+    """One incremental run: load new files, fold them into the newest rows, rebuild what depends on them.
 
     Files are taken from the folder of each table, ``<group>/<table>/*.csv``. Silver is
-    kept by stream checkpoints and is not computed again from all of the raw rows.
+    kept by stream checkpoints and is not computed again from all of the raw rows. A run
+    that finds nothing new writes no table.
     """
     base = f"{root.rstrip('/')}/{env}"
     newest: dict[str, LatestTable] = {}
+    changed = []
     for name, spec in RAW_TABLES.items():
         jobs.load_new_files(spark, spec, f"{folder}/{spec.folder}/{name}", raw_path(root, env, name),
                             f"{base}/checkpoints/load/{name}", root=folder).awaitTermination()
         newest[name] = LatestTable(spark, f"{base}/newest/{name}", spec.schema, spec.keys)
+        before = newest[name].pending()
         jobs.keep_newest(jobs.read_new_rows(spark, raw_path(root, env, name), spec.schema), newest[name],
                          f"{base}/checkpoints/newest/{name}").awaitTermination()
+        if newest[name].pending() != before:
+            changed.append(name)
+        newest[name].compact(COMPACT_AFTER)
 
     def silver(_: DataFrame, name: str) -> DataFrame:
         return flagged(newest[name].read(), name)
 
-    return Warehouse(spark, root, lambda n: newest[n].read(), env, silver=silver)
+    house = Warehouse(spark, root, lambda n: newest[n].read(), env, silver=silver)
+    if changed:
+        house.build(after=changed)
+    return house
 
 
 if __name__ == "__main__":

@@ -40,9 +40,9 @@ def fact_sales_header(
         sales = sales.filter("date_key is not null").withColumn("date_dim_key", date_key("date_key"))
     else:
         sales = lookup(sales, dim_date.select("date_key", "date_dim_key"), "date_key")
-    sales = lookup(sales, stores_with_country(dim_store, dim_country), "store_id", weighed=sales_header)
+    sales = lookup(sales, stores_with_country(dim_store, dim_country), "store_id")
     customers = current(dim_customer).select("customer_id", "customer_dim_key")
-    sales = lookup(sales, customers, "customer_id", weighed=sales_header)
+    sales = lookup(sales, customers, "customer_id")
     return sales.select(
         versioned_key(BRONZE_TS, "transaction_id").alias("fact_sales_header_key"), "customer_dim_key",
         "store_dim_key", "country_dim_key", "date_dim_key", "transaction_id", "transaction_number",
@@ -58,8 +58,8 @@ INHERITED = ["fact_sales_header_key", "customer_dim_key", "store_dim_key", "coun
 def fact_sales_item(sales_item: DataFrame, header: DataFrame, dim_product: DataFrame) -> DataFrame:
     """One row per valid line whose transaction is in the header fact and whose article is known."""
     articles = current(dim_product).select("sku_code", "product_dim_key")
-    lines = lookup(valid(sales_item), articles, "sku_code", weighed=sales_item)
-    lines = lookup(lines, header.select("transaction_id", *INHERITED), "transaction_id", weighed=sales_item)
+    lines = lookup(valid(sales_item), articles, "sku_code")
+    lines = lookup(lines, header.select("transaction_id", *INHERITED), "transaction_id")
     return lines.select(
         versioned_key(BRONZE_TS, "transaction_line_id").alias("fact_sales_item_key"), "fact_sales_header_key",
         "customer_dim_key", "product_dim_key", "store_dim_key", "country_dim_key", "date_dim_key",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators.integrity import values_outside
 from tallyhouse.operators.lookup import lookup, small
 from tallyhouse.plans.summaries import mean
+from tallyhouse.streaming.jobs import MONTH, month_of
 
 
 class UnknownName(KeyError):
@@ -249,12 +250,12 @@ def reachable(base: str) -> list[str]:
 class Model:
     """Questions over gold tables; ``table`` gives a gold table by name.
 
-    With ``check_unique`` the metrics count distinct values even where a column is known
-    to hold each value once.
+    Distinct counts count distinct values. With ``assume_unique`` columns that hold each
+    value once in tables built here are counted plainly, which any other tables may not allow.
     """
 
-    def __init__(self, table: Callable[[str], DataFrame], check_unique: bool = False):
-        self.table, self.check_unique = table, check_unique
+    def __init__(self, table: Callable[[str], DataFrame], assume_unique: bool = False):
+        self.table, self.assume_unique = table, assume_unique
 
     # -- names ---------------------------------------------------------------------
 
@@ -297,6 +298,7 @@ class Model:
         order_by: Sequence[str] = (),
         limit: int | None = None,
         base: str | None = None,
+        broadcast_bytes: int | None = None,
     ) -> DataFrame:
         """Metrics grouped by dimensions.
 
@@ -315,7 +317,7 @@ class Model:
             else:
                 table, _, found = self.find_metric(metric)
             per_base.setdefault(table, {})[alias] = found
-        parts = [self._aggregate(t, list(per_base), found, groups, filters) for t, found in per_base.items()]
+        parts = [self._aggregate(t, list(per_base), found, groups, filters, broadcast_bytes) for t, found in per_base.items()]
         out = parts[0]
         if len(parts) > 1:
             for part in parts[1:]:
@@ -354,7 +356,7 @@ class Model:
 
     # -- building blocks -------------------------------------------------------------
 
-    def _aggregate(self, base, bases, metrics, groups, filters) -> DataFrame:
+    def _aggregate(self, base, bases, metrics, groups, filters, broadcast_bytes) -> DataFrame:
         """One aggregate over one base table.
 
         Dimensions small enough to broadcast are joined first. If others are left and all
@@ -369,7 +371,7 @@ class Model:
         for table, name in [*names.values(), *[place for place, _, _ in tests]]:
             used.setdefault(table, []).append(name)
         others = {t: self._dimension(base, t, found) for t, found in used.items() if t != base}
-        late = {t: o for t, o in others.items() if not small(o)}
+        late = {t: o for t, o in others.items() if not small(o, broadcast_bytes)}
 
         def column(place: tuple[str, str]) -> str:
             table, name = place
@@ -381,10 +383,10 @@ class Model:
                     df = df.filter(_COMPARE[op](F.col(column(place)), value))
             return df
 
-        df = self.table(base)
+        df = self._in_months(base, tests)
         for table, other in others.items():
             if table not in late:
-                df = lookup(df, other, relationship(base, table)[0])
+                df = lookup(df, other, relationship(base, table)[0], broadcast_bytes=broadcast_bytes)
         df = kept(df, lambda table: table not in late)
         by = [F.col(column(p)).alias(a) for a, p in names.items()]
         if not late:
@@ -395,11 +397,28 @@ class Model:
             keys = dict.fromkeys([*[relationship(base, t)[0] for t in late], *early])
             df = df.groupBy(*keys).agg(*[c for a, m in metrics.items() for c in _first_step(a, m)])
         for table, other in late.items():
-            df = lookup(df, other, relationship(base, table)[0], grouped=in_two)
+            df = lookup(df, other, relationship(base, table)[0], broadcast_bytes=broadcast_bytes)
         grouped = kept(df, lambda table: table in late).groupBy(*by)
         return grouped.agg(*[
             (_second_step(a, m) if in_two else self._measure(base, m)).alias(a) for a, m in metrics.items()])
 
+    def _in_months(self, base: str, tests: Sequence[tuple[tuple[str, str], str, object]]) -> DataFrame:
+        """The base table, cut down to the months that conditions on its time leave.
+
+        The months that a condition on the days allows are looked up in the date dimension,
+        a row a day, and become a condition on the column that the table is split by.
+        """
+        df = self.table(base)
+        days = [(LOGICAL["dim_date"].columns()[n], op, v) for (t, n), op, v in tests if t == "dim_date"]
+        own = [("date_key", op, v) for (t, n), op, v in tests if t == base and LOGICAL[base].columns()[n] == "transaction_timestamp"]
+        if MONTH not in df.columns or not days + own:
+            return df
+        allowed = self.table("dim_date")
+        for column, op, value in days + own:
+            allowed = allowed.filter(_COMPARE[op](F.col(column), value))
+        months = [r[0] for r in allowed.select(month_of("date_key")).distinct().collect()]
+        return df.filter(F.col(MONTH).isin(months))
+
     def _locate(self, name: str, base: str, bases: Sequence[str]) -> tuple[str, str]:
         """Where ``base`` finds a dimension: in itself if it carries the same name."""
         table, column = self.find_column(name, bases)
@@ -428,7 +447,7 @@ class Model:
 
     def _is_distinct(self, base: str, metric: Metric) -> bool:
         """Whether a metric really needs distinct values."""
-        return metric.kind == "count_distinct" and (self.check_unique or metric.column not in LOGICAL[base].unique)
+        return metric.kind == "count_distinct" and not (self.assume_unique and metric.column in LOGICAL[base].unique)
 
     def _measure(self, base: str, metric: Metric) -> Column:
         if metric.kind == "count_distinct":

@@ -1,7 +1,7 @@
 """Daily, weekly and monthly summaries of the transaction fact.
 
 Sales are grouped by keys alone; the descriptive columns are joined to the groups, which
-are few, instead of to every sale. Distinct counts do not add up over periods, so each
+are few, instead of to every sale. Distinct customers do not add up over periods, so each
 summary counts them from the fact.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.functions.calendar import iso_year
 from tallyhouse.operators.lookup import lookup
@@ -44,9 +45,9 @@ def fact_sales_daily(header: DataFrame, dim_date: DataFrame, dim_store: DataFram
             "day_name", "is_weekend"]
     stores = ["store_code", "store_name", "format_code"]
     out = header.groupBy(*keys).agg(*_measures())
-    out = lookup(out, dim_date.select("date_dim_key", *days), "date_dim_key", grouped=True)
-    out = lookup(out, dim_store.select("store_dim_key", *stores), "store_dim_key", grouped=True)
-    out = lookup(out, dim_country.select("country_dim_key", *GEOGRAPHY), "country_dim_key", grouped=True)
+    out = lookup(out, dim_date.select("date_dim_key", *days), "date_dim_key")
+    out = lookup(out, dim_store.select("store_dim_key", *stores), "store_dim_key")
+    out = lookup(out, dim_country.select("country_dim_key", *GEOGRAPHY), "country_dim_key")
     return out.select("date_dim_key", *days, "country_dim_key", *GEOGRAPHY, "store_dim_key", *stores, "channel_id",
                       "currency", *_measure_names())
 
@@ -54,20 +55,44 @@ def fact_sales_daily(header: DataFrame, dim_date: DataFrame, dim_store: DataFram
 def _by_period(
     header: DataFrame, dim_date: DataFrame, dim_country: DataFrame, period: list[str], first: str, last: str
 ) -> DataFrame:
-    dated = lookup(header, dim_date.select("date_dim_key", "date_key", *period), "date_dim_key")
-    keys = [*period, "country_dim_key", "channel_id", "currency"]
-    out = dated.groupBy(*keys).agg(
-        F.min("date_key").alias(first),
-        F.max("date_key").alias(last),
-        *_measures(),
-        F.countDistinct("store_dim_key").alias("active_stores"),
-        F.countDistinct("date_key").alias("selling_days"),
-    )
-    out = lookup(out, dim_country.select("country_dim_key", *GEOGRAPHY), "country_dim_key", grouped=True)
+    """Sums of a period from daily groups of the sales, customers from the distinct ones of each day.
+
+    Each distinct count is a count of groups, so no row is repeated for it: stores are the
+    groups of the first step, days are bits of the day of the month (a period, also a week of
+    a calendar year, has each such day once at most), customers are groups of their own.
+    """
+    place = ["country_dim_key", "channel_id", "currency"]
+    days = dim_date.select("date_dim_key", "date_key", *period)
+    daily = header.groupBy("date_dim_key", "store_dim_key", *place).agg(
+        F.count(F.lit(1)).alias("transaction_count"), F.sum("gross_amount").alias("total_gross_amount"),
+        F.sum("total_discount").alias("total_discount"), F.sum("total_tax").alias("total_tax"),
+        F.sum("net_total").alias("total_net_sales"), F.count("net_total").alias("__counted"))
+    sums = [c for c in daily.columns if c not in ("date_dim_key", "store_dim_key", *place)]
+    day = F.expr("shiftleft(1L, dayofmonth(date_key))")
+    stores = lookup(daily, days, "date_dim_key").groupBy(*period, *place, "store_dim_key").agg(
+        *[F.sum(c).alias(c) for c in sums], F.min("date_key").alias(first), F.max("date_key").alias(last),
+        F.bit_or(day).alias("__days"))
+    bought = header.select("date_dim_key", *place, "customer_dim_key").distinct()
+    customers = lookup(bought, days, "date_dim_key").select(*period, *place, "customer_dim_key").distinct()
+    both = stores.unionByName(customers, allowMissingColumns=True)
+    out = both.groupBy(*period, *place).agg(
+        F.min(first).alias(first), F.max(last).alias(last), *[F.sum(c).alias(c) for c in sums],
+        F.count("customer_dim_key").alias("unique_customers"), F.count("store_dim_key").alias("active_stores"),
+        F.bit_count(F.bit_or("__days")).cast("long").alias("selling_days"))
+    out = out.withColumn("avg_transaction_value", F.col("total_net_sales").cast("double") / F.nullif(F.col("__counted"), F.lit(0)))
+    widths = {f.name: f.dataType for f in header.schema.fields}
+    amounts = {"total_gross_amount": "gross_amount", "total_discount": "total_discount", "total_tax": "total_tax", "total_net_sales": "net_total"}
+    out = out.withColumns({c: F.col(c).cast(_summed(widths[source])) for c, source in amounts.items()})
+    out = lookup(out, dim_country.select("country_dim_key", *GEOGRAPHY), "country_dim_key")
     return out.select(*period, first, last, "country_dim_key", *GEOGRAPHY, "channel_id", "currency",
                       *_measure_names(), "active_stores", "selling_days")
 
 
+def _summed(kind: T.DataType) -> T.DataType:
+    """The type of one sum over a column of this type; sums of sums are as wide."""
+    return T.DecimalType(min(38, kind.precision + 10), kind.scale) if isinstance(kind, T.DecimalType) else kind
+
+
 def fact_sales_weekly(
     header: DataFrame, dim_date: DataFrame, dim_country: DataFrame, iso: bool = False
 ) -> DataFrame:

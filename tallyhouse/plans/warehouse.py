@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse import runtime
 from tallyhouse.plans import dimensions, facts, summaries
 from tallyhouse.plans.comments import described
 from tallyhouse.plans.silver import silver
+from tallyhouse.runtime import fitted_shuffles
 from tallyhouse.schemas import RAW_TABLES
-from tallyhouse.sources.tables import replace
-from tallyhouse.streaming.jobs import month_of
+from tallyhouse.sources.tables import committed, remove, replace
+from tallyhouse.streaming.jobs import MONTH, month_of
 
 # Gold table -> how it is built and from which tables.
 GOLD: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
@@ -34,12 +35,15 @@ GOLD: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "fact_sales_monthly": (summaries.fact_sales_monthly, ("fact_sales_header", "dim_date", "dim_country")),
 }
 
-# The two facts grow with the data: large ones are split by month, so that a refresh
-# rewrites the months it touches and time filters skip the others. A small one would only
-# fall into tiny files.
+# Layout of the stored facts, at every size: split by month, so that questions about a time
+# skip the other months. The column is part of the stored table. Partitions are rebalanced
+# on writing, so small months share a task and a large one is split.
 BY_MONTH = {"fact_sales_header": "transaction_timestamp", "fact_sales_item": "transaction_timestamp"}
-MONTH = "sales_month"
-SPLIT_BYTES = 10 * runtime.GB
+KEPT_VERSIONS = 2  # a reader that opened the last version may go on reading it
+
+
+class NotBuilt(LookupError):
+    """A table that was never built under this root."""
 
 
 # Silver tables that are stored before gold reads them: those of several readers, and the
@@ -50,56 +54,94 @@ STORED = {"silver_sales_item"} | {
 
 
 class Warehouse:
-    """Tables of one environment under ``root``; ``raw`` gives a raw table by name.
+    """Tables of one environment under ``root``.
 
-    ``silver`` makes the silver table from a raw one; a job that keeps the newest rows
-    itself passes its own.
+    ``open`` reads a stored table and never writes. ``build`` writes tables into new folders,
+    one numbered folder a version; a version counts once its write was committed, and those
+    who opened an older one go on reading that.
+
+    ``raw`` gives a raw table by name, ``silver`` makes the silver table from it; a job that
+    keeps the newest rows itself passes its own. Both are needed for building only.
     """
 
     def __init__(
         self,
         spark: SparkSession,
         root: str,
-        raw: Callable[[str], DataFrame],
+        raw: Callable[[str], DataFrame] | None = None,
         env: str = "dev",
         silver: Callable[[DataFrame, str], DataFrame] = silver,
     ):
         self.spark, self.root, self.raw, self.silver = spark, f"{root.rstrip('/')}/{env}", raw, silver
-        self._built: dict[str, DataFrame] = {}
 
-    def table(self, name: str) -> DataFrame:
-        """A silver or gold table, built together with what it needs when first asked for."""
-        if name not in self._built:
-            layer, df = self._define(name)
-            split = []
-            if name in BY_MONTH and runtime.source_bytes(df) >= SPLIT_BYTES:
-                df, split = df.withColumn(MONTH, month_of(BY_MONTH[name])), [MONTH]
-            self._built[name] = replace(described(df), f"{self.root}/{layer}/{name}", split)
-        return self._built[name]
+    def open(self, name: str) -> DataFrame:
+        """The newest stored version of a silver or gold table."""
+        found = committed(self.spark, self._folder(name))
+        if not found:
+            raise NotBuilt(f"{name} was not built under {self.root}")
+        return self.spark.read.parquet(f"{self._folder(name)}/{max(found)}")
 
-    def tables(self, *names: str) -> dict[str, DataFrame]:
-        return {n: self.table(n) for n in names}
+    table = open
 
-    def build(self) -> dict[str, DataFrame]:
-        """Every table, raw to gold."""
-        return self.tables(*[f"silver_{n}" for n in RAW_TABLES], *GOLD)
+    def tables(self, *names: str) -> dict[str, DataFrame]:
+        return {n: self.open(n) for n in names}
 
     def views(self, *names: str) -> None:
-        """Temporary views of the tables, all gold tables unless named, for use from SQL."""
+        """Temporary views of the stored tables, all gold tables unless named, for use from SQL."""
         for name in names or GOLD:
-            self.table(name).createOrReplaceTempView(name)
-
-    def _define(self, name: str) -> tuple[str, DataFrame]:
+            self.open(name).createOrReplaceTempView(name)
+
+    def build(self, *names: str, after: Iterable[str] | None = None) -> dict[str, DataFrame]:
+        """Build the named tables, all unless named, and what they need, each once.
+
+        With ``after``, names of raw tables that have new rows, only the tables that depend
+        on one of them are written; the others are opened.
+        """
+        names = names or (*[f"silver_{n}" for n in RAW_TABLES], *GOLD)
+        changed = None if after is None else {f"silver_{n}" for n in after}
+        built: dict[str, DataFrame] = {}
+        return {n: self._build(n, built, changed) for n in names}
+
+    def _build(self, name: str, built: dict[str, DataFrame], changed: set[str] | None) -> DataFrame:
+        if name in built:
+            return built[name]
+        if changed is not None and not needs(name) & changed and committed(self.spark, self._folder(name)):
+            built[name] = self.open(name)
+            return built[name]
+        with self._sources(name, built, changed) as df:
+            split = []
+            if name in BY_MONTH:
+                df, split = df.withColumn(MONTH, month_of(BY_MONTH[name])), [MONTH]
+            folder = self._folder(name)
+            version = max(committed(self.spark, folder), default=0) + 1
+            built[name] = replace(described(df), f"{folder}/{version}", split)
+        remove(self.spark, *[f"{folder}/{n}" for n in committed(self.spark, folder) if n <= version - KEPT_VERSIONS])
+        return built[name]
+
+    @contextmanager
+    def _sources(self, name: str, built: dict[str, DataFrame], changed: set[str] | None) -> Iterator[DataFrame]:
         if name.startswith("silver_"):
             raw_name = name.removeprefix("silver_")
             raw = self.raw(raw_name)
-            runtime.fit_shuffles(self.spark, raw)
-            return "silver", self.silver(raw, raw_name)
-        build, needs = GOLD[name]
-        return "gold", build(*[self._input(n) for n in needs])
-
-    def _input(self, name: str) -> DataFrame:
+            with fitted_shuffles(self.spark, raw):
+                yield self.silver(raw, raw_name)
+            return
+        define, sources = GOLD[name]
+        inputs = [self._input(n, built, changed) for n in sources]
+        with fitted_shuffles(self.spark, *inputs):
+            yield define(*inputs)
+
+    def _input(self, name: str, built: dict[str, DataFrame], changed: set[str] | None) -> DataFrame:
         """A silver table that only one gold table reads becomes part of that table's plan."""
-        if name.startswith("silver_") and name not in STORED and name not in self._built:
-            return self._define(name)[1]
-        return self.table(name)
+        if name.startswith("silver_") and name not in STORED and name not in built:
+            raw_name = name.removeprefix("silver_")
+            return self.silver(self.raw(raw_name), raw_name)
+        return self._build(name, built, changed)
+
+    def _folder(self, name: str) -> str:
+        return f"{self.root}/{'silver' if name.startswith('silver_') else 'gold'}/{name}"
+
+
+def needs(name: str) -> set[str]:
+    """A table and all tables it is made from."""
+    return {name}.union(*[needs(n) for n in GOLD.get(name, (None, ()))[1]])

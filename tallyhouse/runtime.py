@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 MB = 1 << 20
 GB = 1 << 30
@@ -50,6 +53,7 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="tallyhouse-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -63,11 +67,8 @@ def source_bytes(df: DataFrame) -> int:
 
 
 def may_be_skewed(df: DataFrame, limit: int | None = None) -> bool:
-    """Whether the sources of ``df`` are large enough for one key to overload a task.
-
-    In-memory rows without statistics are left to adaptive execution.
-    """
-    return (SKEW_BYTES if limit is None else limit) <= source_bytes(df) < UNKNOWN_BYTES
+    """Whether the sources of ``df`` are large enough for one key to overload a task; unknown sizes may be."""
+    return (SKEW_BYTES if limit is None else limit) <= source_bytes(df)
 
 
 def pieces(df: DataFrame, size: int = 128 * MB) -> int:
@@ -76,17 +77,22 @@ def pieces(df: DataFrame, size: int = 128 * MB) -> int:
     return -(-total // size) if total < UNKNOWN_BYTES else 1
 
 
-def fit_shuffles(spark: SparkSession, *inputs: DataFrame, piece: int = 128 * MB) -> int:
-    """Let shuffles start with one partition per 128 MB of the inputs, if that is more than set.
+@contextmanager
+def fitted_shuffles(spark: SparkSession, *inputs: DataFrame, piece: int = 128 * MB) -> Iterator[int]:
+    """For one write, let shuffles start with one partition per 128 MB of the inputs, if that is more than set.
 
     Adaptive execution merges small partitions but never splits those of an aggregate or
-    a window, so the starting number has to suit the largest input.
+    a window, so the starting number has to suit the largest input. The caller's setting
+    is put back.
     """
-    wanted = max(pieces(df, piece) for df in inputs)
-    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > now:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return max(wanted, now)
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    number = max([int(before), *(pieces(df, piece) for df in inputs)])
+    spark.conf.set(name, str(number))
+    try:
+        yield number
+    finally:
+        spark.conf.set(name, before)
 
 
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -94,15 +100,3 @@ def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     path = path or scratch_dir(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def share_keys(df: DataFrame, key: str, least: float = 0.01) -> dict:
-    """Values of ``key`` that hold at least that share of the rows, with their shares.
-
-    There are never more than ``1 / least`` of them. A bounded sketch is merged across
-    tasks, so the keys are not shuffled. The result only steers how a join is spread,
-    never what it returns.
-    """
-    most = int(1 / least)
-    top, rows = df.agg(F.expr(f"approx_top_k({key}, {most}, {most * 100})"), F.count(key)).first()
-    return {e["item"]: e["count"] / rows for e in top or [] if e["item"] is not None and e["count"] >= rows * least}

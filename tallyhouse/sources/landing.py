@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse import runtime
-from tallyhouse.operators.lookup import small
 from tallyhouse.schemas import FILE_NAME, LOAD_TS, ROW_NUMBER, RawTable
 from tallyhouse.sources.tables import append
 
@@ -52,7 +50,8 @@ def file_schema(spec: RawTable) -> T.StructType:
 
 def with_origin(df: DataFrame, spec: RawTable, root: str) -> DataFrame:
     """The loaded columns, the file a row came from and the split of the file it was in."""
-    path = F.col("_metadata.file_path")
+    # the path is an encoded URI; a plus sign stands for itself there, which url_decode does not know
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return df.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in spec.loaded],
         F.substring_index(path, f"{root.rstrip('/')}/", -1).alias(FILE_NAME),
@@ -74,19 +73,18 @@ def read_by_position(
 def number_rows(df: DataFrame, spec: RawTable, load_ts: datetime | None = None) -> DataFrame:
     """Raw table rows with file name, row number in the file and load time.
 
-    The parsed rows are written once with a sequence that grows within each file split.
-    A table with one line per split then gives the number of rows before it, so no file,
-    however large, passes through one task.
+    A first pass over the files, which reads no column, counts the rows of each file split;
+    splits are cut the same way in every pass. The rows of the splits before a row and its
+    place in its own give its number, so no file, however large, passes through one task,
+    and nothing is written in between.
     """
     stamp = F.lit(load_ts) if load_ts else F.current_timestamp()
-    parsed = runtime.stored(df.select(
-        "*", F.monotonically_increasing_id().alias(SEQUENCE), stamp.cast("timestamp_ntz").alias(LOAD_TS)))
+    parsed = df.select("*", F.monotonically_increasing_id().alias(SEQUENCE))
     before = Window.partitionBy(FILE_NAME).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     splits = parsed.groupBy(FILE_NAME, BLOCK).agg(
         F.min(SEQUENCE).alias("__first"), F.count(F.lit(1)).alias("__rows"))
-    splits = runtime.stored(splits.select(
-        FILE_NAME, BLOCK, "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before")))
-    numbered = parsed.join(F.broadcast(splits) if small(splits) else splits, [FILE_NAME, BLOCK])
+    splits = splits.select(FILE_NAME, BLOCK, "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
+    numbered = parsed.withColumn(LOAD_TS, stamp.cast("timestamp_ntz")).join(splits, [FILE_NAME, BLOCK])
     number = F.col(SEQUENCE) - F.col("__first") + F.col("__before") + 1
     audit = {FILE_NAME: F.col(FILE_NAME), ROW_NUMBER: number, LOAD_TS: F.col(LOAD_TS)}
     return numbered.select(*[
@@ -102,6 +100,7 @@ def load(
     load_ts: datetime | None = None,
     root: str = "",
     multiline: bool = False,
+    load: str | None = None,
 ) -> None:
     """Append the rows of the files at ``path`` to the raw table at ``target``."""
-    append(number_rows(read_by_position(spark, spec, path, root, multiline), spec, load_ts), target)
+    append(number_rows(read_by_position(spark, spec, path, root, multiline), spec, load_ts), target, load)

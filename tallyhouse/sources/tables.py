@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse import runtime
+# Every load of an append-only table keeps a folder of its own, whoever writes it.
+LOAD = "load"
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append(df: DataFrame, path: str, load: str | None = None) -> None:
+    """Add rows to an append-only table; a load that is named again replaces itself."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{LOAD}={load or uuid.uuid4().hex}")
 
 
 def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -36,14 +39,9 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
 def save_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
     """Catalog table hashed and sorted on ``keys``: joins on the keys need no shuffle.
 
-    A key value that holds a large share of the rows would fill one bucket and keep one
-    task busy on every read, so a large table with such a value is refused; a plain table
-    and :func:`~tallyhouse.operators.lookup.lookup` take it.
+    All rows of a key value lie in one bucket. Where a value may hold a large share of the
+    rows, a plain table and adaptive execution's split of skewed partitions serve better.
     """
-    if len(keys) == 1 and runtime.may_be_skewed(df):
-        hot = runtime.share_keys(df, keys[0])
-        if hot:
-            raise ValueError(f"{keys[0]} has values too frequent for buckets: {list(hot)[:5]}")
     (df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
      .option("path", path).saveAsTable(name))
     return df.sparkSession.table(name)
@@ -53,5 +51,28 @@ def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def committed(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the folders below ``path`` whose write was committed."""
+    found = _matching(spark, f"{path}/*/_SUCCESS")
+    return sorted(int(p.getParent().getName()) for p in found)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders with all that is in them."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    return bool(_matching(spark, path))
+
+
+def _matching(spark: SparkSession, pattern: str) -> list:
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return [status.getPath() for status in found or []]
+
+
 def _balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns]) if columns else df

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +13,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyhouse.schemas import RawTable
 from tallyhouse.sources.landing import CSV, file_schema, number_rows, with_origin
-from tallyhouse.sources.tables import replace_partitions
+from tallyhouse.sources.tables import LOAD, exists, remove, replace_partitions
 from tallyhouse.streaming.latest_table import LatestTable
 
 # How old the result may be (fixed values). Tables without an entry are refreshed when
 # a table that needs them is.
+MONTH = "sales_month"
 FRESHNESS = {"fact_sales_daily": "5 minutes", "fact_sales_weekly": "7 days", "fact_sales_monthly": "30 days"}
 
 
@@ -43,7 +46,7 @@ def load_new_files(
         files = files.option("maxFilesPerTrigger", files_per_batch)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        number_rows(batch, spec).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        number_rows(batch, spec).write.mode("overwrite").parquet(f"{target}/{LOAD}=batch-{batch_id}")
 
     rows = with_origin(files.csv(folder), spec, root)
     return (rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -71,6 +74,7 @@ def keep_newest(
 def refresh_touched(
     changes: DataFrame,
     partition: str,
+    keys: Sequence[str],
     whole: Callable[[], DataFrame],
     build: Callable[[DataFrame], DataFrame],
     path: str,
@@ -80,19 +84,44 @@ def refresh_touched(
     """Rebuild the partitions of a derived table that a stream of changes touches.
 
     ``whole()`` is the current input and ``build`` the full definition of the table, both
-    with the column ``partition``. The touched values, at most one per partition of the
-    table, become a filter on the scan of the input, and only those partitions of the
-    result are replaced.
+    with the column ``partition``, which is a month or as coarse. ``keys`` identify a row of
+    the input. Where each key lies is kept beside the table; a row that moved to another
+    partition touches the one it left as well, and a partition that lost its last row goes.
     """
+    spark, placed = changes.sparkSession, f"{path.rstrip('/')}__placed"
 
     def write(batch: DataFrame, _: int) -> None:
-        touched = [row[0] for row in batch.select(partition).distinct().collect()]
-        if touched:
-            replace_partitions(build(whole().filter(F.col(partition).isin(touched))), path, [partition])
+        touched = batch.select(partition).distinct()
+        known = exists(spark, placed)
+        if known:
+            moved = batch.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+            places = spark.read.schema(whole().select(*keys, partition).schema).parquet(placed)
+            touched = touched.union(places.join(moved, same, "left_semi").select(partition)).distinct()
+        found = [row[0] for row in touched.collect()]  # one row a partition of the table
+        if not found:
+            return
+        now = whole() if not known else whole().filter(F.col(partition).isin(found))
+        replace_partitions(build(now), path, [partition])
+        replace_partitions(now.select(*keys, partition), placed, [partition])
+        left = {row[0] for row in now.select(partition).distinct().collect()}
+        remove(spark, *[f"{at}/{partition}={value}" for value in found if value not in left for at in (path, placed)])
 
     return (changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def keep_fresh(
+    table: str, changes: DataFrame, refresh: Callable[[], object], checkpoint: str, trigger: dict[str, object] | None = None
+) -> StreamingQuery:
+    """Run ``refresh`` for every batch of ``changes``, as often as ``table`` has to be fresh."""
+    def write(batch: DataFrame, _: int) -> None:
+        if not batch.isEmpty():
+            refresh()
+
+    return (changes.writeStream.queryName(f"fresh_{table}").foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or trigger_for(table))).start())
+
+
 def month_of(day: str) -> Column:
     return F.date_format(day, "yyyy-MM")

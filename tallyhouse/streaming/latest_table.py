@@ -3,7 +3,7 @@
 Each batch is appended as its own folder and the newest row is picked on reading. A
 batch that is written again after a failure replaces its own folder, and picking the
 newest row gives the same answer in any order, so restarts neither lose nor repeat
-anything. ``compact`` folds the batches into one base from time to time.
+anything. ``compact`` folds the batches into one base from time to time and removes them.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from tallyhouse.operators.latest import keep_latest
 from tallyhouse.operators.lookup import small
-from tallyhouse.schemas import LOAD_TS, ROW_NUMBER
+from tallyhouse.schemas import FILE_NAME, LOAD_TS, ROW_NUMBER
+from tallyhouse.sources.tables import committed, remove
 
 
 @dataclass
@@ -28,7 +29,7 @@ class LatestTable:
     root: str
     schema: T.StructType
     keys: Sequence[str]
-    newest: Sequence[str] = (LOAD_TS, ROW_NUMBER)
+    newest: Sequence[str] = (LOAD_TS, ROW_NUMBER, FILE_NAME)
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         """Sink for ``foreachBatch``."""
@@ -57,19 +58,27 @@ class LatestTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def compact(self) -> None:
-        changes = self._finished("changes")
-        if changes:
-            self.read().write.mode("overwrite").parquet(f"{self.root}/base/{max(changes)}")
+    def pending(self) -> list[int]:
+        """Numbers of the batches that the base does not contain."""
+        base = max(committed(self.spark, f"{self.root}/base"), default=None)
+        return [n for n in committed(self.spark, f"{self.root}/changes") if base is None or n > base]
+
+    def compact(self, least: int = 1) -> None:
+        """Fold the pending batches into a new base, if there are ``least`` of them.
+
+        What the base before this one contained is removed; those who opened the table just
+        before still find their files.
+        """
+        pending = self.pending()
+        if len(pending) < max(1, least):
+            return
+        bases = committed(self.spark, f"{self.root}/base")
+        self.read().write.mode("overwrite").parquet(f"{self.root}/base/{max(pending)}")
+        settled = max(bases, default=-1)
+        remove(self.spark, *[f"{self.root}/base/{n}" for n in bases if n < settled],
+               *[f"{self.root}/changes/{n}" for n in committed(self.spark, f"{self.root}/changes") if n <= settled])
 
     def _parts(self) -> tuple[list[str], list[str]]:
         """Folders of the base and of the batches it does not contain."""
-        base = max(self._finished("base"), default=None)
-        newer = sorted(n for n in self._finished("changes") if base is None or n > base)
-        return ([] if base is None else [f"{self.root}/base/{base}"]), [f"{self.root}/changes/{n}" for n in newer]
-
-    def _finished(self, kind: str) -> list[int]:
-        """Numbers of the folders whose write was committed."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}/*/_SUCCESS")
-        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
-        return [int(status.getPath().getParent().getName()) for status in found or []]
+        base = max(committed(self.spark, f"{self.root}/base"), default=None)
+        return ([] if base is None else [f"{self.root}/base/{base}"]), [f"{self.root}/changes/{n}" for n in self.pending()]

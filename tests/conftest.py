@@ -18,10 +18,12 @@ def spark():
 
 @pytest.fixture(scope="session")
 def house(spark):
-    """Stored tables over the smallest test tables, built as they are asked for."""
+    """Stored tables over the smallest test tables."""
     from checks.spark_queries import Data
 
-    return Data(spark, "/root/testdata/sf0.001").warehouse
+    built = Data(spark, "/root/testdata/sf0.001").warehouse
+    built.build(after=())
+    return built
 
 
 @pytest.fixture

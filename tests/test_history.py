@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.history import CURRENT, END, START, as_of, history
+from tallyhouse.operators.integrity import key_violations
 from tallyhouse.operators.ordered import CHUNK, chunked, neighbours
 
 T0, OPEN = datetime(2024, 1, 1), datetime(9999, 12, 31, 23, 59, 59)
@@ -13,7 +14,8 @@ T0, OPEN = datetime(2024, 1, 1), datetime(9999, 12, 31, 23, 59, 59)
 def versions_of(rows):
     """Brute force: rows are (key, number, ts, state)."""
     out, by_key = set(), {}
-    for row in sorted(rows, key=lambda r: (r[2], r[1])):
+    last_of = {(r[0], r[2]): r for r in sorted(rows, key=lambda r: r[1])}  # one row counts for a key and a time
+    for row in sorted(last_of.values(), key=lambda r: r[2]):
         kept = by_key.setdefault(row[0], [])
         if not kept or kept[-1][3] != row[3]:
             kept.append(row)
@@ -69,7 +71,8 @@ def test_copies_are_no_versions(local, loads, skew_bytes):
 def test_as_of_equals_brute_force(local, loads, skew_bytes, how):
     df = local(loads, "key string, number long, ts timestamp_ntz, state string")
     dated = history(df, ["key"], ["state"], ["ts", "number"])
-    versions = dated.groupBy("key", START).agg(F.max("number").alias("version"), F.max_by(END, "number").alias(END))
+    versions = dated.select("key", START, F.col("number").alias("version"), END)
+    assert key_violations(versions, ["key", START]).first()["repeated_keys"] == 0
     r = Random(9)
     facts = [("hot" if i % 2 else f"k{r.randrange(45)}", i, T0 + timedelta(minutes=r.randrange(-30, 430))) for i in range(900)]
     got = as_of(local(facts, "key string, fact long, at timestamp_ntz"), versions, "key", "at",
@@ -99,3 +102,15 @@ def test_neighbours_with_null_values(local, skew_bytes):
             want.add((key, n, v, series[i - 1][2] if i else None,
                       series[i + 1][2] if i + 1 < len(series) else None, held))
     assert {tuple(r) for r in got.select("key", "n", "v", "before", "after", "held").collect()} == want
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_two_rows_of_one_load(local, turned):
+    rows = [("k", 1, T0, "x"), ("k", 2, T0, "y")]
+    df = local(rows[::-1] if turned else rows, "key string, number long, ts timestamp_ntz, state string")
+    dated = history(df, ["key"], ["state"], ["ts", "number"])
+    assert [(r.number, r[START], r[END]) for r in dated.collect()] == [(2, T0, OPEN)]
+    # versions from elsewhere may start together: the one that ends last holds
+    given = local([("k", T0, T0, 1), ("k", T0, OPEN, 2)][:: -1 if turned else 1], f"key string, {START} timestamp_ntz, {END} timestamp_ntz, version long")
+    facts = local([("k", T0 + timedelta(1))], "key string, at timestamp_ntz")
+    assert [r.version for r in as_of(facts, given, "key", "at", ["version"]).collect()] == [2]

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse import runtime
 from tallyhouse.operators.lookup import lookup
-from tallyhouse.runtime import share_keys, stored
+from tallyhouse.runtime import stored
 
 
 @pytest.fixture(scope="module")
@@ -23,27 +23,11 @@ def test_all_ways_agree(sides, plan, how):
     many, one = sides
     small = lookup(many, one, "key", how)
     plain = lookup(many, one, "key", how, broadcast_bytes=0)
-    split = lookup(many, one, "key", how, broadcast_bytes=0, skew_bytes=0)
     want = sorted(many.join(one, "key", how).collect(), key=str)
-    for df in (small, plain, split):
+    for df in (small, plain):
         assert sorted(df.collect(), key=str) == want
     assert "BroadcastHashJoin" in plan(small)
-    assert "__salt" in plan(split) and "__salt" not in plan(plain)
-
-
-def test_frequent_keys(sides):
-    many, _ = sides
-    shares = share_keys(many, "key")
-    assert list(shares) == ["hot"] and 0.3 < shares["hot"] < 0.4
-    assert share_keys(many.filter("key <> 'hot'"), "key") == {}
-
-
-def test_integer_keys_and_weighed_table(spark):
-    many = spark.range(1000).select(F.when(F.col("id") < 400, 7).otherwise(F.col("id")).alias("k"), "id")
-    one = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
-    assert share_keys(many, "k") == {7: 0.4}
-    got = lookup(many.filter("id > 10"), one, "k", weighed=many, broadcast_bytes=0, skew_bytes=0)
-    assert got.count() == 989 and got.filter("k = 7").count() == 389
+    assert "Broadcast" not in plan(lookup(many, one.hint("merge"), "key", how, broadcast_bytes=0))
 
 
 def test_size_of_sources(spark, tmp_path):
@@ -55,15 +39,21 @@ def test_size_of_sources(spark, tmp_path):
     assert runtime.source_bytes(df.groupBy("h").count()) == once
 
 
-def test_shuffles_fit_the_input(spark, tmp_path):
+def test_shuffles_fit_the_input_for_one_write(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(100_000).write.parquet(path)
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert runtime.fit_shuffles(spark, spark.read.parquet(path)) == int(before)
-        assert runtime.fit_shuffles(spark, spark.read.parquet(path), piece=1024) > 100
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with runtime.fitted_shuffles(spark, spark.read.parquet(path)) as number:
+        assert number == int(before)
+    with pytest.raises(KeyError), runtime.fitted_shuffles(spark, spark.read.parquet(path), piece=1024) as number:
+        assert number > 100 and int(spark.conf.get("spark.sql.shuffle.partitions")) == number
+        raise KeyError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_unknown_sizes_may_be_large(spark):
+    assert runtime.may_be_skewed(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "n long"))
+    assert not runtime.may_be_skewed(spark.range(10))
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):

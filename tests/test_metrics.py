@@ -1,8 +1,12 @@
+from datetime import date
+from pathlib import Path
+
 import pytest
+from pyspark.sql import functions as F
 
 from tallyhouse.plans import questions
 from tallyhouse.plans.metrics import LOGICAL, RELATIONSHIPS, AmbiguousName, Metric, Model, UnknownName, relationship
-from tallyhouse.plans.warehouse import Warehouse
+from tallyhouse.plans.warehouse import NotBuilt, Warehouse
 
 
 @pytest.fixture(scope="module")
@@ -45,12 +49,16 @@ def test_two_facts_do_not_multiply(model, house):
         assert row.total_units_sold == items.groupBy().sum("quantity").first()[0]
 
 
-def test_known_uniqueness_gives_the_distinct_count(model, house, plan):
-    checked = Model(house.table, check_unique=True)
-    quick = model.query(["total_transactions"], ["channel"])
-    assert sorted(quick.collect()) == sorted(checked.query(["total_transactions"], ["channel"]).collect())
-    assert "distinct" not in plan(quick)
-    assert "distinct" in plan(checked.query(["total_transactions"], ["channel"]))
+def test_distinct_unless_uniqueness_is_assumed(model, house, plan):
+    quick = Model(house.table, assume_unique=True).query(["total_transactions"], ["channel"])
+    exact = model.query(["total_transactions"], ["channel"])
+    assert sorted(quick.collect()) == sorted(exact.collect())
+    assert "distinct" not in plan(quick) and "distinct" in plan(exact)
+
+    def repeated(name):
+        return house.table(name).unionByName(house.table(name))
+
+    assert Model(repeated).query(["total_transactions"]).first()[0] == house.table("fact_sales_header").count()
 
 
 def test_filters_order_limit_and_totals(model, house):
@@ -91,21 +99,64 @@ def test_large_dimensions_meet_sums(model, house, plan, monkeypatch):
     text = plan(ask())
     assert text.count("HashAggregate") == 4  # two steps before the joins, two after
     assert sorted(ask().collect()) == want
-    distinct = Model(house.table, check_unique=True).query({"n": "order count"}, {"tier": "dim_customer.loyalty_tier"})
-    assert sorted(distinct.collect()) == sorted(model.query({"n": "order count"}, {"tier": "dim_customer.loyalty_tier"}).collect())
 
 
-def test_large_facts_are_split_by_month(spark, house, tmp_path, monkeypatch, plan):
-    monkeypatch.setattr("tallyhouse.plans.warehouse.SPLIT_BYTES", 0)
-    split = Warehouse(spark, str(tmp_path), house.raw).table("fact_sales_header")
-    march = split.filter("sales_month = '1996-03'")
-    assert "PartitionFilters: [isnotnull(sales_month" in plan(march)
-    assert march.count() == house.table("fact_sales_header").filter("transaction_timestamp between '1996-03-01' and '1996-03-31'").count()
-    assert sorted(split.drop("sales_month").collect()) == sorted(house.table("fact_sales_header").collect())
+@pytest.mark.parametrize("condition", [
+    ("dim_date.year", "=", 1996), ("dim_date.month", "=", 3), ("dim_date.year_quarter", "=", "1996-Q2"),
+    ("dim_date.date", "between", (date(1996, 3, 1), date(1996, 3, 15))),
+    ("fact_sales_header.transaction_date", ">=", date(1998, 1, 1))])
+def test_conditions_on_time_skip_months(model, house, plan, condition):
+    asked = model.query(["total_net_sales", "total_transactions"], ["channel"], [condition])
+    scan = next(line for line in plan(asked).splitlines() if "FileScan" in line and "net_total" in line)
+    assert "PartitionFilters: [" in scan and "sales_month" in scan.partition("PartitionFilters: ")[2].partition("]")[0]
+    days = house.table("dim_date").withColumnsRenamed({})
+    column = {"dim_date.year": "year_number", "dim_date.month": "month_number", "dim_date.year_quarter": "year_quarter"}.get(condition[0], "date_key")
+    test = {"=": lambda c: c == condition[2], ">=": lambda c: c >= condition[2], "between": lambda c: c.between(*condition[2])}[condition[1]]
+    kept = house.table("fact_sales_header").join(days.filter(test(F.col(column))).select("date_dim_key"), "date_dim_key")
+    want = {r.channel_id: (r.net, r.n) for r in kept.groupBy("channel_id").agg(F.sum("net_total").alias("net"), F.count(F.lit(1)).alias("n")).collect()}
+    assert {r.channel: (r.total_net_sales, r.total_transactions) for r in asked.collect()} == want and want
+
+
+def files_of(root):
+    return {p: p.stat().st_mtime_ns for p in Path(root).rglob("*") if p.is_file()}
+
+
+def test_opening_never_writes(spark, house):
+    root = house.root.removesuffix("/dev")
+    before = files_of(root)
+    other = Warehouse(spark, root)
+    assert Model(other.open).query(["total_net_sales"], ["channel"]).count() > 0
+    other.views()
+    assert files_of(root) == before
+    with pytest.raises(NotBuilt):
+        other.open("no_such_table")
+
+
+def test_a_new_build_leaves_open_readers_alone(spark, house, tmp_path):
+    mine = Warehouse(spark, str(tmp_path), house.raw)
+    mine.build("dim_store")
+    opened = Warehouse(spark, str(tmp_path)).open("dim_store")
+    mine.build("dim_store")
+    assert opened.count() == mine.open("dim_store").count() > 0
+    assert [p.name for p in sorted((tmp_path / "dev" / "gold" / "dim_store").iterdir())] == ["1", "2"]
+    for _ in range(2):
+        mine.build("dim_store")
+    assert len(list((tmp_path / "dev" / "gold" / "dim_store").iterdir())) == 2
+
+
+def test_only_what_depends_on_a_change_is_built_again(spark, house, tmp_path):
+    mine = Warehouse(spark, str(tmp_path), house.raw)
+    mine.build("dim_store", "dim_country", "dim_customer")
+    before = files_of(tmp_path)
+    mine.build("dim_store", "dim_country", "dim_customer", after=())
+    assert files_of(tmp_path) == before
+    mine.build("dim_store", "dim_country", "dim_customer", after=["store_master"])
+    new = set(files_of(tmp_path)) - set(before)
+    assert new and all("dim_store" in str(p) for p in new)
 
 
 def test_whole_build(house):
-    tables = house.build()
+    tables = house.build(after=())
     assert len(tables) == 24
     daily = tables["fact_sales_daily"].groupBy().sum("transaction_count").first()[0]
     assert daily == tables["fact_sales_header"].count()

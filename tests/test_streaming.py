@@ -91,24 +91,48 @@ def test_new_files_only_with_row_numbers(spark, local, tmp_path):
 
 
 def test_only_touched_partitions_are_rebuilt(spark, local, tmp_path):
-    fact, out, changes = (str(tmp_path / n) for n in ("fact", "out", "changes"))
-    schema = "n long, month string"
-    first = local([(1, "01"), (2, "02")], schema)
-    tables.replace(first, fact, ["month"])
+    fact, out = str(tmp_path / "fact"), str(tmp_path / "out")
+    schema = "id long, delivery long, n long, month string"
 
     def build(df):
         return df.groupBy("month").agg(F.sum("n").alias("n")).select("n", "month")
 
-    tables.replace(build(first), out, ["month"])
-    untouched = {p.name for p in (tmp_path / "out" / "month=01").iterdir()}
-    new = local([(40, "02"), (5, "03")], schema)
-    new.write.mode("append").partitionBy("month").parquet(fact)
-    new.write.parquet(changes)
-    jobs.refresh_touched(spark.readStream.schema(schema).parquet(changes), "month",
-                         lambda: tables.read(spark, fact, first.schema), build, out, str(tmp_path / "c")).awaitTermination()
-    got = {(r.month, r.n) for r in tables.read(spark, out, first.schema).collect()}
-    assert got == {("01", 1), ("02", 42), ("03", 5)}
-    assert {p.name for p in (tmp_path / "out" / "month=01").iterdir()} == untouched
+    def whole():
+        return keep_latest(tables.read(spark, fact, first.schema), ["id"], ["delivery"])
+
+    def run(rows):
+        tables.append(rows, fact)
+        changes = spark.readStream.schema(first.schema).option("recursiveFileLookup", "true").parquet(fact)
+        jobs.refresh_touched(changes, "month", ["id"], whole, build, out, str(tmp_path / "c")).awaitTermination()
+        return {(r.month, r.n) for r in tables.read(spark, out, T._parse_datatype_string("n long, month string")).collect()}
+
+    first = local([(1, 1, 10, "01"), (2, 1, 5, "01"), (3, 1, 7, "03"), (4, 1, 1, "04")], schema)
+    assert run(first) == {("01", 15), ("03", 7), ("04", 1)}
+    untouched = {p.name for p in (tmp_path / "out" / "month=04").iterdir()}
+    # one sale moves to another month, one leaves its month empty, one is new
+    second = local([(1, 2, 11, "02"), (3, 2, 7, "02"), (9, 1, 2, "05")], schema)
+    assert run(second) == {("01", 5), ("02", 18), ("04", 1), ("05", 2)}
+    assert {p.name for p in (tmp_path / "out" / "month=04").iterdir()} == untouched
+
+
+def test_pending_batches_are_folded_and_removed(spark, local, tmp_path):
+    rows, parts = batches(local)
+    t = table(spark, tmp_path)
+    for i, part in enumerate(parts):
+        t.write_batch(part, i)
+        t.compact(least=2)
+    assert t.pending() == [] and tables.committed(spark, f"{t.root}/base") == [1, 3]
+    assert tables.committed(spark, f"{t.root}/changes") == [2, 3]  # what the base before contained is gone
+    assert sorted(t.read().collect(), key=str) == newest(local, rows)
+
+
+def test_a_job_keeps_a_table_fresh(spark, local, tmp_path):
+    raw, seen = str(tmp_path / "raw"), []
+    tables.append(local([(1,)], "n long"), raw)
+    rows = spark.readStream.schema("n long").option("recursiveFileLookup", "true").parquet(raw)
+    jobs.keep_fresh("dim_store", rows, lambda: seen.append(1), str(tmp_path / "c")).awaitTermination()
+    jobs.keep_fresh("dim_store", rows, lambda: seen.append(2), str(tmp_path / "c")).awaitTermination()
+    assert seen == [1]
 
 
 def test_triggers():
