@@ -74,7 +74,7 @@ _SYMBOL = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _powers: dict[str, np.ndarray] = {}
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``n`` of them."""
     if not _powers or len(_powers["up"]) < n:
         size = max(n, PASS_BYTES + 4096)
@@ -87,7 +87,7 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Running polynomial sums over bytes; slices of them give hashes of substrings."""
-    up, _ = _tables(len(data) + 1)
+    up, _ = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_SYMBOL[data] * up[: len(data)], out=sums[1:])
     return sums
@@ -95,7 +95,7 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
 
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the bytes [start, end); equal bytes have equal hashes."""
-    _, down = _tables(len(sums))
+    _, down = powers(len(sums))
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 

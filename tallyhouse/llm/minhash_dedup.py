@@ -271,4 +271,4 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     without an id, which no list of ids can name. Rows that repeat an id stay or go together.
     """
     ids = near_duplicates(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(ids, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(ids, docs["doc_id"].cast("long") == ids["_gone"], "left_anti")

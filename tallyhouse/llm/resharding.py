@@ -12,7 +12,8 @@ driver, rows within a block by a window. No shard is ever sorted by one task.
 
 Defined results: null text has no bytes and counts 8, the size of its id. Equal rows are
 placed one by one. Null ids are allowed. An empty table gives an empty result and no moves.
-Other columns are ignored by the placement and kept by the rewrite.
+Other columns are ignored by the placement and kept by the rewrite, but for one named shard,
+which the layout's takes the place of.
 """
 
 from __future__ import annotations
@@ -153,6 +154,6 @@ def rewrite(docs: DataFrame, path: str, shards: int = SHARDS) -> list[int]:
     affected = sorted({r[0] for r in moved.select("shard").union(moved.select("old_shard")).distinct().collect()})
     if affected:
         new = rows.select("_row", "_rest").join(placed.where(F.col("shard").isin(affected)).select("_row", "shard"), "_row")
-        out = new.select("_rest.*", "shard").repartition("shard")
+        out = new.select(*[F.col("_rest")[c].alias(c) for c in docs.columns if c != "shard"], "shard").repartition("shard")
         out.write.partitionBy("shard").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     return affected

@@ -85,7 +85,7 @@ def labelled_strings(docs: DataFrame) -> DataFrame:
     """
     ids = docs.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct().orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_DOCUMENTS)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    some = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi").select(text.alias("text"))
+    some = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi").select(text.alias("text"))
     values = some.withColumn("values", _values(F.col("text")))
     plain = F.when(F.size("values") == 0, F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0)))
     strings = F.concat(
