@@ -45,7 +45,7 @@ LENGTH = 100
 GRAM = 24
 SIDE = (LENGTH - GRAM) // 2  # a window around an anchor reaches so far on one side at least
 SHARD_BYTES = 64 << 20  # bytes of text for each anchor shard
-ARRAY_BYTES = 4 << 20  # bytes of segments for each suffix array
+ARRAY_BYTES = 1 << 20  # bytes of segments for each suffix array
 
 
 def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
