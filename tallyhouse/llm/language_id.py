@@ -31,7 +31,7 @@ BUCKETS = 1 << 16
 DIMENSIONS = 16
 PER_LANGUAGE = 800  # training documents of a language, those with the smallest hashed ids
 BROADCAST_LANGUAGES = 1000  # up to so many languages the ids of the sample are broadcast
-EPOCHS, RATE = 6, 2.0
+EPOCHS, LEAST_STEPS, RATE = 6, 8000, 2.0
 CROP = 40  # subwords of the shortest crop that training sees
 KEPT_BACK = 5  # one in so many sampled documents calibrates
 PRECISION = 0.995  # of the accepted predictions on those
@@ -134,8 +134,9 @@ def train(docs: DataFrame, seed: int = 7) -> Model:
     rng = np.random.default_rng(seed)
     embeddings = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS))
     weights, bias = np.zeros((len(languages), DIMENSIONS)), np.zeros(len(languages))
-    steps, step = EPOCHS * len(shown), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-LEAST_STEPS // len(shown)))  # a small sample is gone through more often
+    steps, step = epochs * len(shown), 0
+    for _ in range(epochs):
         for k in rng.permutation(len(shown)):
             label, buckets, counts = shown[k]
             buckets, counts = cropped(buckets, counts, rng)

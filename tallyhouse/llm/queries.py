@@ -7,11 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import imatch, language_id, lm_scoring, minhash_dedup, piece_lattice, quality_rules, resharding, retrieval_packing, secret_scan, substring_dedup
+from tallyhouse.llm import imatch, language_id, lm_scoring, minhash_dedup, oracles, piece_lattice, quality_rules, resharding, retrieval_packing, secret_scan, substring_dedup
 from tallyhouse.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_histogram_divergence": oracles.QUALITY,
+    "op4_superminhash_dedup": oracles.NEAR_DUPLICATES,
+    "op5_suffix_array_dedup": oracles.REPEATED_STRINGS,
+}
 
 
 def query(name: str):
@@ -33,12 +37,12 @@ def segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_histogram_divergence")
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality(documents(spark, sf_dir))
+    return quality_rules.quality(documents(spark, sf_dir)).drop("word_distance", "class_distance")
 
 
 @query("op4_superminhash_dedup")
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_duplicates(documents(spark, sf_dir))
+    return minhash_dedup.near_duplicates(documents(spark, sf_dir)).drop("class_links")
 
 
 @query("op5_suffix_array_dedup")
