@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks import oracle
+from checks import answers, oracle
 from checks.oracle import AVERAGE, FLAWS, KEYS, columns, key, sql, table
 from tallyhouse.functions import calendar as cal
 from tallyhouse.functions.keys import date_key, micros_text, versioned_key
@@ -1034,59 +1034,61 @@ def _(d):
 
 # -- metrics ----------------------------------------------------------------------------
 
-@check("sem_01_logical_tables", sql(" UNION ALL ".join(
-    f"SELECT '{n}' AS logical_table, count(*) AS rows FROM g_{n}" for n in metrics.LOGICAL)))
-def _(d):
-    parts = [d.model.rows(n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("logical_table"), "rows")
-             for n in metrics.LOGICAL]
+def _stacked(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
-def _logical_sql(name: str, kinds: dict[str, str], marks: dict[str, str]) -> str:
+@check("sem_01_logical_tables", sql(" UNION ALL ".join(
+    f"SELECT '{n}' AS logical_table, count(*) AS rows FROM g_{n}" for n in answers.COLUMNS)))
+def _(d):
+    return _stacked([d.model.rows(n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("logical_table"), "rows")
+                     for n in metrics.LOGICAL])
+
+
+def _logical_sql(name: str, text: str) -> str:
     cast = {"d": "CAST({0} AS VARCHAR)", "n": "CAST({0} AS DOUBLE)", "i": "CAST({0} AS BIGINT)", "": "{0}"}
-    items = ", ".join(f"{cast[marks.get(c, '')].format(c)} AS \"{n}\"" for n, c in kinds.items())
-    return f"SELECT {items} FROM g_{name}"
+    items = []
+    for item in text.split():
+        logical, _, column = item.partition("=")
+        column, _, mark = column.partition(":")
+        items.append(f"{cast[mark].format(column)} AS \"{logical}\"")
+    return f"SELECT {', '.join(items)} FROM g_{name}"
 
 
-for _name, _logical in metrics.LOGICAL.items():
-    _marks = {item.partition(":")[0]: item.partition(":")[2] for item in GOLD_COLUMNS[_name].split()}
-    for _sem, _kinds in (("sem_02_dimensions", _logical.dimensions), ("sem_03_times", _logical.times),
-                         ("sem_04_row_facts", _logical.facts)):
-        if _kinds:
-            @check(f"{_sem}_{_name}", sql(_logical_sql(_name, _kinds, _marks)))
-            def _(d, name=_name, kinds=tuple(_kinds)):
-                return d.model.rows(name, kinds)
+for _name, _by_kind in answers.COLUMNS.items():
+    for _kind, _text in _by_kind.items():
+        _number = {"dimensions": "02", "times": "03", "row_facts": "04"}[_kind]
+
+        @check(f"sem_{_number}_{_kind}_{_name}", sql(_logical_sql(_name, _text)))
+        def _(d, name=_name, kind={"row_facts": "facts"}.get(_kind, _kind)):
+            return d.model.rows(name, tuple(getattr(metrics.LOGICAL[name], kind)))
 
 
 @check("sem_06_undeclared_values", sql(" UNION ALL ".join(
-    f"SELECT '{t.name}' AS table_name, '{n}' AS dimension, {t.dimensions[n]} AS value, count(*) AS rows "
-    f"FROM g_{t.name} WHERE {t.dimensions[n]} NOT IN ({', '.join(repr(v) for v in allowed)}) GROUP BY {t.dimensions[n]}"
-    for t in metrics.LOGICAL.values() for n, allowed in t.values.items())))
+    f"SELECT '{table_}' AS table_name, '{n}' AS dimension, {column} AS value, count(*) AS rows "
+    f"FROM g_{table_} WHERE {column} NOT IN ({', '.join(repr(v) for v in allowed)}) GROUP BY {column}"
+    for table_, n, column, allowed in answers.VALUES)))
 def _(d):
     return d.model.undeclared_values()
 
 
 @check("sem_07_logical_keys", sql(" UNION ALL ".join(
-    f"SELECT '{t.name}' AS logical_table, count(*) AS rows, count(*) AS keys FROM g_{t.name}"
-    for t in metrics.LOGICAL.values())))
+    f"SELECT '{n}' AS logical_table, count(*) AS rows, count(DISTINCT {column}) AS keys FROM g_{n}"
+    for n, (_, column) in answers.KEYS.items())))
 def _(d):
-    parts = [d.model.rows(t.name, [t.key]).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(t.key).alias("keys"))
-             .select(F.lit(t.name).alias("logical_table"), "rows", "keys") for t in metrics.LOGICAL.values()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
+    return _stacked([
+        d.model.rows(t.name, [t.key]).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(t.key).alias("keys"))
+        .select(F.lit(t.name).alias("logical_table"), "rows", "keys") for t in metrics.LOGICAL.values()])
 
-for _link, _source, _source_name, _target, _target_name in metrics.RELATIONSHIPS:
-    _left, _right = metrics.relationship(_source, _target)
 
-    @check(f"sem_08_{_link}", sql(
-        f"SELECT count(*) AS matched FROM g_{_source} a JOIN g_{_target} b ON a.{_left} = b.{_right}"))
-    def _(d, source=_source, target=_target, left=_left, right=_right):
+for _link, (_source, _target, _on) in answers.LINKS.items():
+    @check(f"sem_08_{_link}", sql(f"SELECT count(*) AS matched FROM g_{_source} a JOIN g_{_target} b ON a.{_on} = b.{_on}"))
+    def _(d, link=_link):
+        source, target = next((s, t) for n, s, _, t, _ in metrics.RELATIONSHIPS if n == link)
+        left, right = metrics.relationship(source, target)
         other = d.gold(target).select(F.col(right).alias(left))
         return lookup(d.gold(source).select(left), other, left).agg(F.count(F.lit(1)).alias("matched"))
 
@@ -1118,26 +1120,8 @@ def _(d):
                          [("dim_date.year", "between", (1996, 1999)), ("store_format", "in", ("MALL", "MINI"))])
 
 
-# metric -> dimension it is grouped by, SQL of the metric, join that brings the dimension
-_BY = {
-    "dim_customer": ("customer_segment", "customer_segment", ""),
-    "dim_product": ("category_name", "category_name", ""),
-    "dim_store": ("store_format", "format_code", ""),
-    "dim_country": ("region_name", "region_name", ""),
-    "fact_sales_header": ("year_quarter", "year_quarter", "JOIN g_dim_date USING (date_dim_key)"),
-    "fact_sales_item": ("price_tier", "price_tier", "JOIN g_dim_product USING (product_dim_key)"),
-}
-_AS_SQL = {
-    "sum": "CAST(sum({0}) AS DOUBLE)", "avg": AVERAGE, "count": "count(*)", "count_distinct": "count(DISTINCT {0})"}
-_METRICS = [(t, n, m) for t in metrics.LOGICAL.values() for n, m in t.metrics.items()]
-
-for _number, (_logical, _name, _metric) in enumerate(_METRICS, 1):
-    _shown, _column, _using = _BY[_logical.name]
-    _integral = _metric.kind == "sum" and _metric.column in ("quantity", "floor_area_sqft", "annual_rent_usd")
-    _value = f"CAST(sum({_metric.column}) AS BIGINT)" if _integral else _AS_SQL[_metric.kind].format(_metric.column)
-
-    @check(f"met_{_number:02d}_{_name}", sql(
-        f"SELECT {_column} AS {_shown}, {_value} AS {_name} FROM g_{_logical.name} {_using} GROUP BY {_column}"))
+for _number, (_name, (_shown, _column, _value, _from)) in enumerate(answers.METRICS.items(), 1):
+    @check(f"met_{_number:02d}_{_name}", sql(f"SELECT {_column} AS {_shown}, {_value} AS {_name} FROM {_from} GROUP BY {_column}"))
     def _(d, name=_name, by=_shown):
         return d.model.query([name], [by])
 

@@ -11,16 +11,21 @@ from checks.spark_queries import ORACLES, QUERIES
 SF = "/root/testdata/sf0.001"
 SOME = ["src_04_prefix_load", "src_06_row_numbers", "load_04_country_master", "flt_09_window_filter",
         "jn_13_item_header_bucketed", "win_02_keep_latest_pair", "inc_01_keep_latest_stream",
-        "inc_03_refresh_touched_months", "inc_05_new_files_only", "slv_10_store_master", "dim_01_country", "dim_02_product",
+        "inc_03_moved_month", "inc_04_freshness", "inc_05_batch_then_stream", "slv_10_store_master", "dim_01_country", "dim_02_product",
         "dim_05_date", "brg_01_product_country", "fct_01_sales_header", "fct_02_sales_item", "agf_01_daily",
         "agf_02_weekly", "agf_03_monthly", "cst_04_report", "sem_06_undeclared_values", "sem_10_two_facts",
         "met_12_average_transaction_value", "vq_01_total_sales_by_region", "vq_02_top_10_products", "vq_05_top_stores",
-        "ext_01_history", "ext_02_point_in_time", "ext_03_month_over_month", "ext_04_dropped_rows"]
+        "ext_01_history", "ext_01_same_load_versions", "ext_02_same_load_as_of", "ext_02_point_in_time", "ext_03_month_over_month", "ext_04_dropped_rows"]
+
+
+# The smallest test tables hold nothing these would report.
+MAY_BE_EMPTY = {"cst_03_missing_articles"}
 
 
 @pytest.mark.parametrize("name", list(QUERIES) if os.environ.get("ALL_QUERIES") else SOME)
 def test_query_equals_sql(spark, name):
-    assert compare(spark, connect(SF), name, SF) in (None, "no rows")
+    found = compare(spark, connect(SF), name, SF)
+    assert found is None or found == "no rows" and name in MAY_BE_EMPTY
 
 
 def test_every_query_has_sql():
