@@ -30,6 +30,7 @@ COMMON_WORDS = {
     "es": "de la que el en y a los se del las un por con no una su para es al",
 }
 BINS = sorted({w for line in COMMON_WORDS.values() for w in line.split()})
+LONGEST_BIN = max(map(len, BINS))
 CLASSES = ["lower", "upper", "digit", "space", "point", "sign"]
 
 MIN_WORDS, MAX_WORD_DISTANCE = 200, 0.30
@@ -84,7 +85,7 @@ def histograms(docs: DataFrame, *extra: str) -> DataFrame:
     """doc_id, text (never null), words, bare (without white space), common (counts by bin), classes (counts)."""
     df = docs.select(F.col("doc_id").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *extra)
     df = df.withColumns({"words": F.array_remove(F.split("text", SPACE_RUN), ""), "bare": F.regexp_replace("text", SPACE_RUN, "")})
-    df = df.withColumns({"rest": F.regexp_replace("bare", r"[\p{Ll}\p{Lo}\p{M}]+", ""), "small": F.sort_array(F.filter(F.transform("words", lambda w: F.lower(w)), lambda w: w.isin(BINS)))})
+    df = df.withColumns({"rest": F.regexp_replace("bare", r"[\p{Ll}\p{Lo}\p{M}]+", ""), "small": F.sort_array(F.filter(F.transform(F.filter("words", lambda w: F.length(w) <= LONGEST_BIN), lambda w: F.lower(w)), lambda w: w.isin(BINS)))})
     df = df.withColumn("letters", F.length("bare") - F.length("rest"))
     upper = F.length(F.regexp_replace("rest", r"[^\p{Lu}\p{Lt}]+", ""))
     digit = F.length(F.regexp_replace("rest", r"[^\p{N}]+", ""))
@@ -128,22 +129,18 @@ def _distance(parts: Column) -> Column:
     return F.sqrt(F.greatest(parts, F.lit(0.0)) / 2)
 
 
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+def word_distance(common: Column, counted: Column, words: Column, reference: Reference) -> Column:
+    """Jensen-Shannon distance of common-word shares; bins the text lacks add half their reference share.
 
-
-def word_distance(common: Column, words: Column, reference: Reference) -> Column:
-    """Jensen-Shannon distance of common-word shares; bins the text lacks add half their reference share."""
+    ``counted`` is the number of common words in all bins of the text.
+    """
     shares = F.lit(reference.words)
 
-    def of(found):
-        def seen(c):
-            return F.get(shares, c["bin"])
-        p = 1 - _sum(F.transform(found, lambda c: c["n"] / words))
-        q = F.lit(1.0 - sum(reference.words))
-        lacking = F.lit(sum(reference.words)) - _sum(F.transform(found, seen))
-        return _sum(F.transform(found, lambda c: _part(c["n"] / words, seen(c)))) + _part(F.greatest(p, F.lit(0.0)), q) + lacking
-    return _distance(let(common, of))
+    def add(total, c):
+        # what the bin adds, instead of the whole reference share it would add if the text lacked it
+        return let(F.struct((c["n"] / words).alias("p"), F.get(shares, c["bin"]).alias("q")), lambda s: total + _part(s["p"], s["q"]) - s["q"])
+    others = _part(F.greatest(1 - counted / words, F.lit(0.0)), F.lit(1.0 - sum(reference.words)))
+    return _distance(F.aggregate(common, F.lit(sum(reference.words)), add) + others)
 
 
 def class_distance(classes: Column, chars: Column, reference: Reference) -> Column:
@@ -154,12 +151,12 @@ def class_distance(classes: Column, chars: Column, reference: Reference) -> Colu
 def judged(docs: DataFrame, references: list[Reference], *extra: str) -> DataFrame:
     """Base counts, distances to the nearest reference, and the verdict of every row."""
     df = histograms(docs, *extra).select(
-        "doc_id", *extra, "common", "classes", F.size("words").cast("long").alias("n_words"), F.length("bare").cast("long").alias("word_chars"), F.length("text").alias("_chars"),
+        "doc_id", *extra, "common", "classes", F.size("small").cast("double").alias("_counted"), F.size("words").cast("long").alias("n_words"), F.length("bare").cast("long").alias("word_chars"), F.length("text").alias("_chars"),
         (F.length("rest") - F.length(F.translate("rest", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         _duplicate_lines(F.col("text")).cast("long").alias("n_dup_lines"), _repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
     )
     words, chars = F.col("n_words").cast("double"), F.col("_chars").cast("double")
-    near = {"word_distance": [word_distance(F.col("common"), words, r) for r in references], "class_distance": [class_distance(F.col("classes"), chars, r) for r in references]}
+    near = {"word_distance": [word_distance(F.col("common"), F.col("_counted"), words, r) for r in references], "class_distance": [class_distance(F.col("classes"), chars, r) for r in references]}
     near = {k: F.least(*v) if len(v) > 1 else v[0] if v else F.lit(None).cast("double") for k, v in near.items()}
     df = df.withColumns({"word_distance": F.when(F.col("n_words") >= MIN_WORDS, near["word_distance"]), "class_distance": F.when(F.col("_chars") >= MIN_CHARS, near["class_distance"])})
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
