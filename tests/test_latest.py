@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators.latest import keep_latest
 from tallyhouse.plans.silver import silver, valid
+from tallyhouse.schemas import LOAD_TS, ROW_NUMBER
 
 D1, D2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
 
@@ -50,6 +51,12 @@ def test_keeping_twice_changes_nothing(raw):
 
 def test_map_side_limit_comes_before_the_shuffle(spark, plan):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("__load_ts"), F.col("id").alias("__row_number"))
-    text = plan(keep_latest(df, ["k"]))
+    text = plan(keep_latest(df, ["k"], [LOAD_TS, ROW_NUMBER]))
     assert "WindowGroupLimit" in text and "Partial" in text
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
+
+
+def test_equal_numbers_of_two_files_are_settled_by_the_file_name(raw):
+    rows = [region("A", name, __file_name=file) for name, file in (("x", "a.csv"), ("z", "c.csv"), ("y", "b.csv"))]
+    for turned in (rows, rows[::-1]):
+        assert [r.region_name for r in keep_latest(raw("region_master", *turned), ["region_code"]).collect()] == ["z"]
