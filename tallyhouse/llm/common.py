@@ -105,11 +105,11 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
-def passes(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of documents that one numpy pass takes."""
+def passes(texts: list[bytes], limit: int = PASS_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of documents of about ``limit`` bytes, one document at least."""
     first, size = 0, 0
     for i, t in enumerate(texts):
-        if size and size + len(t) > PASS_BYTES:
+        if size and size + len(t) > limit:
             yield first, i
             first, size = i, 0
         size += len(t) + 1

@@ -15,9 +15,9 @@ anchor, so a text falls into segments of about 140 bytes.
    class but the earliest window are removed.
 4. Removed ranges return to their documents.
 
-Equal segments of a batch are combined before the first shuffle: one record goes on, the other
-places are settled on the spot, so a passage in a third of all documents sends one record a
-batch. The different surroundings of one 24-byte anchor meet in one suffix-array task.
+Equal segments of some megabytes of text are combined before the first shuffle: one record goes
+on, the other places are settled on the spot, so a passage in a third of all documents sends
+one record for so much text. The different surroundings of one 24-byte anchor meet in one suffix-array task.
 
 Defined results: null text counts as empty; texts under 100 bytes lose nothing; documents
 with equal ids are ordered by text and treated as separate documents, a null id comes first;
@@ -45,6 +45,7 @@ LENGTH = 100
 GRAM = 24
 SIDE = (LENGTH - GRAM) // 2  # a window around an anchor reaches so far on one side at least
 SHARD_BYTES = 64 << 20  # bytes of text for each anchor shard
+MESSAGE_BYTES = 8 << 20  # bytes of text whose equal segments are combined before the shuffle
 ARRAY_BYTES = 1 << 20  # bytes of segments for each suffix array
 
 
@@ -145,20 +146,28 @@ def _spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
 def _place_messages(shards: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, start, count, anchor, digest, left, right = all_segments(binary_texts(batch.column("text")))
-            row = np.array(batch.column("_row").to_pylist(), np.int64)[doc]
-            first, later = _earliest_of_each(anchor, digest, row, start)
-            out = [(r % shards, r, _merged(s).tobytes(), *[None] * 7) for r, s in _by_row(row[later], _spans(start[later], count[later]))]
-            shard = (anchor % np.uint64(shards)).astype(np.int64)
-            first = np.sort(first)  # by place again: places of a document side by side pack better
-            for s in np.unique(shard[first]):
-                f = first[shard[first] == s]
-                out.append((int(s), None, None, (anchor[f] >> np.uint64(32)).astype(np.uint32).tobytes(), digest[f].tobytes(), *((x[f] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for x in (left, right)), row[f].tobytes(), start[f].astype(np.uint32).tobytes(), count[f].astype(np.uint8).tobytes()))
-            for i in range(0, len(out), 1000):
-                yield _batch_of(_PLACES, out[i : i + 1000])
+            texts, rows = binary_texts(batch.column("text")), np.array(batch.column("_row").to_pylist(), np.int64)
+            for a, b in passes(texts, MESSAGE_BYTES):
+                out = _places(texts[a:b], rows[a:b], shards)
+                for i in range(0, len(out), 1000):
+                    yield _batch_of(_PLACES, out[i : i + 1000])
     return send
 
 
+def _places(texts: list[bytes], rows: np.ndarray, shards: int) -> list[tuple]:
+    """Messages of some documents: spans of segments that repeat among them, and one place of each other segment."""
+    doc, start, count, anchor, digest, left, right = all_segments(texts)
+    row = rows[doc]
+    first, later = _earliest_of_each(anchor, digest, row, start)
+    out = [(r % shards, r, _merged(s).tobytes(), *[None] * 7) for r, s in _by_row(row[later], _spans(start[later], count[later]))]
+    shard = (anchor % np.uint64(shards)).astype(np.int64)
+    first = np.sort(first)  # by place again: places of a document side by side pack better
+    for s in np.unique(shard[first]):
+        f = first[shard[first] == s]
+        out.append((int(s), None, None, (anchor[f] >> np.uint64(32)).astype(np.uint32).tobytes(), digest[f].tobytes(), *((x[f] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for x in (left, right)), row[f].tobytes(), start[f].astype(np.uint32).tobytes(), count[f].astype(np.uint8).tobytes()))
+    return out
+
+
 _SETTLED = "row long, spans binary, asked binary, asked_anchors binary, asked_bytes long"
 
 
