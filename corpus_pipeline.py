@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyhouse.llm import minhash_dedup, quality_rules, retrieval_packing, secret_scan, substring_dedup
 from tallyhouse.llm.common import documents, kept_table
