@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks import answers, oracle
+from checks import answers
 from checks.oracle import AVERAGE, FLAWS, KEYS, columns, key, sql, table
 from tallyhouse.functions import calendar as cal
 from tallyhouse.functions.keys import date_key, micros_text, versioned_key
