@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences, in five stages.
 
 1. Quality rules reject documents whose histograms lie far from every known language.
-2. Near-duplicate groups are thinned to the document with the smallest id.
+2. Near-duplicate groups, linked from a likeness of 0.8 on, are thinned to the document with the smallest id.
 3. 100-byte strings that start earlier elsewhere are cut out.
 4. Secrets are replaced by a mark.
 5. What is left is packed into sequences of at most 4096 tokens.

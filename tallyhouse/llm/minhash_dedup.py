@@ -28,7 +28,10 @@ from tallyhouse.llm.components import components
 
 SHINGLE = 5
 PERCENT = 85
-REGISTERS, BANDS = 120, 24  # five rows a band: a pair at 0.85 is missed once in a million
+STAGE_PERCENT = 80  # what the stage of the pipeline takes as alike
+ROWS = 5  # registers of a band
+REGISTERS, BANDS = 120, 24  # a pair at 0.85 is missed once in a million
+STAGE_BANDS = 35  # and so is a pair at 0.80
 GROUP = 256  # members compared with one hub in one group
 BLOCK = 256  # members of one side of a block comparison
 MEETINGS = 1 << 22  # equal elements that one vectorised step of a block comparison takes
@@ -59,38 +62,38 @@ def shingle_sets(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarr
         yield first, hashes, np.searchsorted(of, np.arange(last - first + 1))
 
 
-def _draw(elements: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray]:
+def _draw(elements: np.ndarray, j: int, registers: int) -> tuple[np.ndarray, np.ndarray]:
     """The j-th step of each element: a fraction below 1 and the place to swap with, from j on."""
     bits = mix(elements + np.uint64((j + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
-    return (bits >> np.uint64(11)).astype(np.float64) / 9007199254740992.0, (j + (bits & np.uint64(0x7FFFFFFF)) % np.uint64(REGISTERS - j)).astype(np.int64)
+    return (bits >> np.uint64(11)).astype(np.float64) / 9007199254740992.0, (j + (bits & np.uint64(0x7FFFFFFF)) % np.uint64(registers - j)).astype(np.int64)
 
 
-def signatures(hashes: np.ndarray, borders: np.ndarray) -> np.ndarray:
+def signatures(hashes: np.ndarray, borders: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
     """SuperMinHash values, one row of registers a document; rows of empty sets are infinite."""
     docs = len(borders) - 1
-    out = np.full((docs, REGISTERS), np.inf)
+    out = np.full((docs, registers), np.inf)
     first = 0
     while first < docs:  # a step takes whole documents, one at least
         last = max(first + 1, int(np.searchsorted(borders, borders[first] + ELEMENTS, side="right")) - 1)
         elements = hashes[borders[first] : borders[last]]
         owner = np.repeat(np.arange(first, last), np.diff(borders[first : last + 1]))
         order: np.ndarray | None = None
-        for j in range(REGISTERS):
+        for j in range(registers):
             if not len(elements):
                 break
-            fraction, at = _draw(elements, j)
+            fraction, at = _draw(elements, j, registers)
             if order is None:
                 place, swapped = at, at
             else:
                 line = np.arange(len(elements))
                 place = order[line, at].astype(np.int64)
                 order[line, at] = order[:, j]
-            np.minimum.at(out.reshape(-1), owner * REGISTERS + place, j + fraction)
+            np.minimum.at(out.reshape(-1), owner * registers + place, j + fraction)
             open_ = out[first:last].max(axis=1) >= j + 1  # a later rank can still lower a register
             stay = open_[owner - first]
             if order is None:
                 elements, owner, swapped = elements[stay], owner[stay], swapped[stay]
-                order = np.broadcast_to(np.arange(REGISTERS, dtype=np.uint8), (len(elements), REGISTERS)).copy()
+                order = np.broadcast_to(np.arange(registers, dtype=np.uint8), (len(elements), registers)).copy()
                 order[np.arange(len(elements)), swapped] = 0
             else:
                 elements, owner, order = elements[stay], owner[stay], order[stay]
@@ -100,26 +103,28 @@ def signatures(hashes: np.ndarray, borders: np.ndarray) -> np.ndarray:
 
 def band_keys(values: np.ndarray) -> np.ndarray:
     """One 64-bit key for each band of each row of signatures."""
-    rows = REGISTERS // BANDS
-    bits = values.view(np.uint64).reshape(len(values), BANDS, rows)
-    keys = np.broadcast_to(mix(np.arange(1, BANDS + 1, dtype=np.uint64)), (len(values), BANDS)).copy()
-    for r in range(rows):
+    bands = values.shape[1] // ROWS
+    bits = values.view(np.uint64).reshape(len(values), bands, ROWS)
+    keys = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64)), (len(values), bands)).copy()
+    for r in range(ROWS):
         keys = mix(keys * np.uint64(31) + bits[:, :, r])
     return keys.view(np.int64)
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for first, hashes, borders in shingle_sets(binary_texts(batch.column("text"))):
-            n = len(borders) - 1
-            keys = band_keys(signatures(hashes, borders))
-            sizes = np.diff(borders)
-            digests = [blake2b(hashes[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(borders, borders[1:])]
-            bands = [k if s else None for k, s in zip(keys, sizes)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_row").slice(first, n), batch.column("doc_id").slice(first, n), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["_row", "doc_id", "n_shingles", "set_digest", "bands"],
-            )
+def _sketches(registers: int):
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, hashes, borders in shingle_sets(binary_texts(batch.column("text"))):
+                n = len(borders) - 1
+                keys = band_keys(signatures(hashes, borders, registers))
+                sizes = np.diff(borders)
+                digests = [blake2b(hashes[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(borders, borders[1:])]
+                bands = [k if s else None for k, s in zip(keys, sizes)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("_row").slice(first, n), batch.column("doc_id").slice(first, n), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                    names=["_row", "doc_id", "n_shingles", "set_digest", "bands"],
+                )
+    return sketch
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,22 +134,24 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("_row").slice(first, len(sets)), pa.array(sets, pa.binary())], names=["_row", "elements"])
 
 
-def _compare(key, table):
-    """Exact overlaps of one pivot's set with those of some members."""
-    rows, sets, pivots = (table.column(c).to_pylist() for c in ("member", "elements", "is_pivot"))
-    at = pivots.index(True)
-    pivot = np.frombuffer(sets[at], np.uint64)
-    found = []
-    for row, data, is_pivot in zip(rows, sets, pivots):
-        if not is_pivot:
-            other = np.frombuffer(data, np.uint64)
-            common = len(np.intersect1d(pivot, other, assume_unique=True))
-            found.append((rows[at], row, 100 * common >= PERCENT * (len(pivot) + len(other) - common)))
-    return pa.table({"pivot": pa.array([f[0] for f in found], pa.int64()), "member": pa.array([f[1] for f in found], pa.int64()), "linked": pa.array([f[2] for f in found], pa.bool_())})
+def _compare(percent: int):
+    def compare(key, table):
+        """Exact overlaps of one pivot's set with those of some members."""
+        rows, sets, pivots = (table.column(c).to_pylist() for c in ("member", "elements", "is_pivot"))
+        at = pivots.index(True)
+        pivot = np.frombuffer(sets[at], np.uint64)
+        found = []
+        for row, data, is_pivot in zip(rows, sets, pivots):
+            if not is_pivot:
+                other = np.frombuffer(data, np.uint64)
+                common = len(np.intersect1d(pivot, other, assume_unique=True))
+                found.append((rows[at], row, 100 * common >= percent * (len(pivot) + len(other) - common)))
+        return pa.table({"pivot": pa.array([f[0] for f in found], pa.int64()), "member": pa.array([f[1] for f in found], pa.int64()), "linked": pa.array([f[2] for f in found], pa.bool_())})
+    return compare
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (pivot, member) with ``linked``: whether the full sets are similar enough.
+def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``pairs`` (pivot, member) with ``linked``: whether the full sets are alike by ``percent`` or more.
 
     A pivot's members are spread over groups of about ``GROUP`` rows, to each of which the
     pivot's set is sent, so a pivot of very many members fills no task.
@@ -153,7 +160,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     salted = pairs.join(counts, "pivot").withColumn("_salt", F.pmod(F.xxhash64("member"), F.ceil(F.col("_n") / GROUP)))
     members = salted.join(sets, F.col("member") == F.col("_row")).select("pivot", "_salt", "member", "elements", F.lit(False).alias("is_pivot"))
     pivots = salted.select("pivot", "_salt").distinct().join(sets, F.col("pivot") == F.col("_row")).select("pivot", "_salt", F.col("pivot").alias("member"), "elements", F.lit(True).alias("is_pivot"))
-    return members.union(pivots).groupBy("pivot", "_salt").applyInArrow(_compare, "pivot long, member long, linked boolean")
+    return members.union(pivots).groupBy("pivot", "_salt").applyInArrow(_compare(percent), "pivot long, member long, linked boolean")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -178,34 +185,36 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out.reshape(len(left), len(right))
 
 
-def _block_links(key, table):
-    """Exact links between the labels of two blocks, as many as join them and no more."""
-    labels, sides = np.array(table.column("label").to_pylist()), np.array(table.column("side").to_pylist())
-    sets = [np.frombuffer(x, np.uint64) for x in table.column("elements").to_pylist()]
-    a, b = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)  # side 2: a block against itself
-    found = set()
-    if len(a) and len(b):
-        common = overlaps([sets[i] for i in a], [sets[i] for i in b])
-        sizes = np.array([len(x) for x in sets])
-        alike = (100 * common >= PERCENT * (sizes[a][:, None] + sizes[b][None, :] - common)) & (labels[a][:, None] != labels[b][None, :])
-        i, j = np.nonzero(alike)
-        found = {(min(x, y), max(x, y)) for x, y in zip(labels[a[i]].tolist(), labels[b[j]].tolist())}
-    joined: dict[int, int] = {}
-
-    def root(x):
-        while x in joined:
-            x = joined[x]
-        return x
-    links = []
-    for x, y in sorted(found):
-        rx, ry = root(x), root(y)
-        if rx != ry:
-            joined[max(rx, ry)] = min(rx, ry)
-            links.append((x, y))
-    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
-
-
-def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
+def _block_links(percent: int):
+    def links_of(key, table):
+        """Exact links between the labels of two blocks, as many as join them and no more."""
+        labels, sides = np.array(table.column("label").to_pylist()), np.array(table.column("side").to_pylist())
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("elements").to_pylist()]
+        a, b = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)  # side 2: a block against itself
+        found = set()
+        if len(a) and len(b):
+            common = overlaps([sets[i] for i in a], [sets[i] for i in b])
+            sizes = np.array([len(x) for x in sets])
+            alike = (100 * common >= percent * (sizes[a][:, None] + sizes[b][None, :] - common)) & (labels[a][:, None] != labels[b][None, :])
+            i, j = np.nonzero(alike)
+            found = {(min(x, y), max(x, y)) for x, y in zip(labels[a[i]].tolist(), labels[b[j]].tolist())}
+        joined: dict[int, int] = {}
+
+        def root(x):
+            while x in joined:
+                x = joined[x]
+            return x
+        links = []
+        for x, y in sorted(found):
+            rx, ry = root(x), root(y)
+            if rx != ry:
+                joined[max(rx, ry)] = min(rx, ry)
+                links.append((x, y))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+    return links_of
+
+
+def near_duplicate_links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame | None:
     """Links (a, b) that join all ``classes`` (_row, n_shingles, bands) with similar sets, each checked on full sets.
 
     Classes that share a band are candidates, candidates of candidates form a cluster. First
@@ -226,7 +235,7 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame | Non
     hubs = members.groupBy("cluster").agg(F.min(F.struct(-F.col("_weight"), F.col("_row").alias("hub")))["hub"].alias("hub"))
     sets = kept_table(docs.select("_row", "text").join(members.select("_row"), "_row", "left_semi").mapInArrow(_set_rows, "_row long, elements binary"))
     pairs = kept_table(members.join(hubs, "cluster").where("_row <> hub").select(F.col("hub").alias("pivot"), F.col("_row").alias("member")))
-    stars = kept_table(verified(pairs, sets).where("linked").select(F.col("pivot").alias("a"), F.col("member").alias("b")))
+    stars = kept_table(verified(pairs, sets, percent).where("linked").select(F.col("pivot").alias("a"), F.col("member").alias("b")))
     labels = members.join(stars.select(F.col("a").alias("_hub"), F.col("b").alias("_row")), "_row", "left").select("_row", "cluster", F.coalesce("_hub", "_row").alias("label"))
     open_ = labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n"), F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a <> _b")
     blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
@@ -234,20 +243,20 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame | Non
     others = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda o: F.struct(
         F.least(o, F.col("_block")).alias("i"), F.greatest(o, F.col("_block")).alias("j"), F.when(o == F.col("_block"), 2).otherwise(F.when(F.col("_block") < o, 0).otherwise(1)).alias("side")))
     spread = rows.join(sets, "_row").select("cluster", "label", "elements", F.explode(others).alias("o")).select("cluster", "label", "elements", "o.i", "o.j", "o.side")
-    links = spread.groupBy("cluster", "i", "j").applyInArrow(_block_links, "a long, b long")
+    links = spread.groupBy("cluster", "i", "j").applyInArrow(_block_links(percent), "a long, b long")
     return kept_table(stars.union(links))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``class_id``, ``class_links`` of every row.
 
     ``class_id`` is the smallest row key with the same set, ``class_links`` the number of
     verified links of that class that joined components.
     """
     docs = keyed(docs)
-    sketches = kept_table(docs.mapInArrow(_sketches, "_row long, doc_id long, n_shingles long, set_digest binary, bands array<long>"))
+    sketches = kept_table(docs.mapInArrow(_sketches(bands * ROWS), "_row long, doc_id long, n_shingles long, set_digest binary, bands array<long>"))
     classes = kept_table(sketches.where("n_shingles > 0").groupBy("set_digest").agg(F.min("_row").alias("_row"), F.min("doc_id").alias("_id"), F.min("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")))
-    links = near_duplicate_links(classes.select("_row", "n_shingles", "bands"), docs)
+    links = near_duplicate_links(classes.select("_row", "n_shingles", "bands"), docs, percent)
     named = classes.select("set_digest", F.col("_row").alias("class_id"), "_id")
     if links is None:
         named = named.select("*", F.col("class_id").alias("_root"), F.lit(0).cast("long").alias("class_links"))
@@ -265,10 +274,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without all but one of each component; all columns stay.
+    """The rows of ``docs`` without all but one of each component at ``STAGE_PERCENT``; all columns stay.
 
     The document with the smallest id stays. Wordless documents all stay, and so do rows
     without an id, which no list of ids can name. Rows that repeat an id stay or go together.
     """
-    ids = near_duplicates(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
+    ids = near_duplicates(docs, STAGE_PERCENT, STAGE_BANDS).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(ids, docs["doc_id"].cast("long") == ids["_gone"], "left_anti")

@@ -227,6 +227,27 @@ def test_loose_clusters_lose_no_link(spark, monkeypatch):
     assert got == roots and 1 <= len(set(roots.values())) < 40
 
 
+def test_the_stage_links_from_four_fifths_on(spark):
+    # one word of 100 to 140 in the middle replaced: 5 shingles of each side differ, a likeness of 0.80 to 0.88; two words: less
+    rows, wanted = [], set()
+    for g in range(300):
+        n, edits = 49 + g % 40, 1 + g % 3 // 2
+        words = [f"g{g}w{i}" for i in range(n)]
+        other = words.copy()
+        for k in range(edits):
+            other[10 + 10 * k] = f"x{g}y{k}"
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(other))]
+        a, b = ({tuple(w[i : i + 5]) for i in range(n - 4)} for w in (words, other))
+        if 100 * len(a & b) >= 80 * len(a | b):
+            wanted.add(2 * g + 1)
+    exact = sum(1 for g in range(300) if g % 40 == 0 and g % 3 < 2)  # 40 of 50 shingles
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in minhash_dedup.drop_near_duplicates(df).collect()}
+    assert {i for i, _ in rows} - got == wanted and exact and 0 < len(wanted) < 300
+    at_85 = {r.doc_id for r in minhash_dedup.near_duplicates(df).where("not kept").collect()}
+    assert at_85 < wanted
+
+
 def test_signatures_are_unbiased_and_early_stopping_changes_nothing(monkeypatch):
     rng = np.random.default_rng(2)
     for share in (0.3, 0.85):
