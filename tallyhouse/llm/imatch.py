@@ -6,14 +6,15 @@ lexicon terms are sorted and hashed, once for every subset of the lexicon; a sub
 term by a hash, with probability 1, 1/8, 1/64, 1/256 or 1/1024, so that texts of every length
 have subsets that hold only a few of their terms and survive an edit elsewhere.
 
-Frequencies are counted over all documents, by hashed term. The table of buckets has a fixed
+Frequencies are counted over all distinct texts, by hashed term, so exact copies count once. The table of buckets has a fixed
 size whatever the vocabulary, and the band a lower end that is a share of the documents:
 rare terms that fall into one bucket add up to (rare terms of a mean document) / buckets of
 the documents, some thousandths of a percent, at any number of documents. The lexicon is
 therefore a bit map of constant size, a constant of the plan; nothing is joined.
 
-Defined results: null text counts as empty. A text without lexicon terms hashes all of its
-terms as its first subset, so equal texts always have equal fingerprints. The likeness at one
+Defined results: null text counts as empty. A text with fewer than one lexicon term in ``FEW``
+of its terms, as in a large group of near copies whose shared terms are all too common, takes
+the same subsets of all of its terms instead. The likeness at one
 probability is the share of equal hashes among the subsets that at least one of two texts has
 terms in; the likeness of two texts is the largest of these, and 1 if there are none. Rows with equal or null ids are ordered by text, null ids first. A single
 row is its own next document. An empty table gives an empty result; other columns are ignored.
@@ -24,11 +25,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import keyed, text_bytes
+from tallyhouse.llm.common import kept_table, keyed, text_bytes
 from tallyhouse.llm.quality_rules import SPACE_RUN, let
 
 BUCKETS = 1 << 18
 LEAST_SHARE, MOST_SHARE = 0.002, 0.2  # document frequency of lexicon terms
+FEW = 8  # texts with a smaller share of lexicon terms hash all of their terms
 SCALES = {1: 1, 8: 3, 64: 8, 256: 12, 1024: 12}  # one in so many terms: number of such subsets
 SUBSETS = [every for every, number in SCALES.items() for _ in range(number)]
 BLOCK_BYTES = 32 << 20
@@ -43,9 +45,12 @@ def _terms(text: Column) -> Column:
 
 def lexicon(docs: DataFrame) -> bytes:
     """Bit map, seven bits a byte, of the buckets whose document frequency lies in the band."""
-    terms = docs.select(F.explode(_terms(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("bucket"))
-    total = docs.count()
-    frequency = terms.groupBy("bucket").count()
+    texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("_name", F.xxhash64("text"))
+    copies = kept_table(texts.groupBy("_name").agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1"))  # narrow; broadcast where it is small
+    total = docs.count() - (copies.agg(F.sum(F.col("_copies") - 1)).first()[0] or 0)
+    share = 1 / F.coalesce("_copies", F.lit(1))
+    terms = texts.join(copies, "_name", "left").select(share.alias("_share"), F.explode(_terms(F.col("text"))).alias("bucket"))
+    frequency = terms.groupBy("bucket").agg(F.round(F.sum("_share")).alias("count"))
     chosen = frequency.where((F.col("count") >= LEAST_SHARE * total) & (F.col("count") <= MOST_SHARE * total) & (F.col("count") > 1))
     bits = bytearray(BUCKETS // 7 + 1)
     for (bucket,) in chosen.select("bucket").collect():
@@ -72,8 +77,8 @@ def fingerprint(text: Column, bits: bytes) -> Column:
     def of(found):
         def hashes(terms):
             return F.array(*[let(subset(terms, k, every), hashed) for k, every in enumerate(SUBSETS)])
-        none = F.array(hashed(found), *[F.lit("-")] * (len(SUBSETS) - 1))
-        return let(F.filter(found, listed), lambda terms: F.when(F.size(terms) == 0, none).otherwise(hashes(terms)))
+        enough = let(F.filter(found, listed), lambda terms: F.when(F.size(terms) * FEW < F.size(found), found).otherwise(terms))
+        return let(enough, hashes)
     return F.array_join(let(_terms(text), of), ".")
 
 

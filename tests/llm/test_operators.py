@@ -418,6 +418,26 @@ def test_only_terms_of_the_band_count(spark):
     assert all((got[i] == got[j]) == (i % 5 == j % 5) for i in range(20) for j in range(20))
 
 
+def test_near_copies_in_a_large_group_stay_alike(spark):
+    shared = " ".join(f"shared{i}" for i in range(60))
+    rows = [(i, f"{shared} own{i} pair{i // 2}") for i in range(40)]
+    rows += [(i, " ".join(f"other{(7 * i + 3 * k) % 90}" for k in range(30))) for i in range(40, 120)]
+    got = {r.doc_id: r for r in imatch.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # pairs are in the lexicon, the shared words are not; half of an edited copy is the text of the next one
+    assert min(got[i].near_next for i in range(39)) > 0.5 and min(got[i].near_edited for i in range(39)) > 0.3
+    assert got[39].near_next < 0.2
+
+
+def test_exact_copies_count_once_in_the_lexicon(spark):
+    rows = [(i, "a text of which there are many copies") for i in range(50)] + [(50, "a text of which there are some copies"), (51, None), (52, "")]
+    rows += [(i, " ".join(f"other{(7 * i + 3 * k) % 90}" for k in range(8))) for i in range(53, 110)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bits = imatch.lexicon(df)
+    assert bits == imatch.lexicon(df.na.fill("").dropDuplicates(["text"])) and any(bits)
+    buckets = df.where("doc_id = 0").select(imatch._terms(F.col("text"))).first()[0]
+    assert sum(bits[b // 7] >> b % 7 & 1 for b in buckets) == 7  # all words but the one in which the other text differs
+
+
 # -- 10 scores ----------------------------------------------------------------------------
 
 def test_elias_fano_access_and_search():
