@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,7 +78,7 @@ _powers: dict[str, np.ndarray] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``n`` of them."""
     if not _powers or len(_powers["up"]) < n:
-        size = max(n, PASS_BYTES + 4096)
+        size = max(n + n // 4, 1 << 18)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
@@ -123,6 +124,20 @@ def binary_texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
 
 
+def text_ranges(column: pa.Array, limit: int) -> Iterator[tuple[int, list[bytes]]]:
+    """The first row and the texts of ranges of about ``limit`` bytes; only one range at a time is held as objects."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    first, size = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if size and size + n > limit:
+            yield first, binary_texts(column.slice(first, i - first))
+            first, size = i, 0
+        size += n + 1
+    if first < len(column):
+        yield first, binary_texts(column.slice(first))
+
+
 def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of documents, A-Z lower-cased: bytes, starts, ends, and the document of each word."""
     data = _LOWER[np.frombuffer(b"\n".join(texts), np.uint8)]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import binary_texts, hashed_words, kept_table, keyed, mix, passes
+from tallyhouse.llm.common import hashed_words, kept_table, keyed, mix, passes, text_ranges
 from tallyhouse.llm.components import components
 
 SHINGLE = 5
@@ -36,13 +36,15 @@ GROUP = 256  # members compared with one hub in one group
 BLOCK = 256  # members of one side of a block comparison
 MEETINGS = 1 << 22  # equal elements that one vectorised step of a block comparison takes
 ELEMENTS = 1 << 16  # elements of one vectorised signature step
+STEP_BYTES = 1 << 19  # bytes of text of one vectorised shingle step
+HELD_BYTES = 1 << 22  # bytes of text held as objects at a time
 
 _TIMES = mix(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 
 
 def shingle_sets(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For ranges of documents: the first document, sorted distinct hashes, and where each document's begin."""
-    for first, last in passes(texts):
+    for first, last in passes(texts, STEP_BYTES):
         words, owner = hashed_words(texts[first:last])
         counts = np.bincount(owner, minlength=last - first)
         begins = np.cumsum(counts) - counts
@@ -62,6 +64,13 @@ def shingle_sets(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarr
         yield first, hashes, np.searchsorted(of, np.arange(last - first + 1))
 
 
+def _sets_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """:func:`shingle_sets` over a column of texts."""
+    for begin, texts in text_ranges(column, HELD_BYTES):
+        for first, hashes, borders in shingle_sets(texts):
+            yield begin + first, hashes, borders
+
+
 def _draw(elements: np.ndarray, j: int, registers: int) -> tuple[np.ndarray, np.ndarray]:
     """The j-th step of each element: a fraction below 1 and the place to swap with, from j on."""
     bits = mix(elements + np.uint64((j + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
@@ -114,7 +123,7 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 def _sketches(registers: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, hashes, borders in shingle_sets(binary_texts(batch.column("text"))):
+            for first, hashes, borders in _sets_of(batch.column("text")):
                 n = len(borders) - 1
                 keys = band_keys(signatures(hashes, borders, registers))
                 sizes = np.diff(borders)
@@ -129,7 +138,7 @@ def _sketches(registers: int):
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, hashes, borders in shingle_sets(binary_texts(batch.column("text"))):
+        for first, hashes, borders in _sets_of(batch.column("text")):
             sets = [hashes[a:b].tobytes() for a, b in zip(borders, borders[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("_row").slice(first, len(sets)), pa.array(sets, pa.binary())], names=["_row", "elements"])
 
@@ -247,27 +256,36 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame, percent: int = PER
     return kept_table(stars.union(links))
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``class_id``, ``class_links`` of every row.
+def _grouped(docs: DataFrame, percent: int, bands: int) -> DataFrame:
+    """Keyed documents with ``n_shingles``, ``class_id``, ``class_links``, ``component_id`` and ``_first``.
 
-    ``class_id`` is the smallest row key with the same set, ``class_links`` the number of
-    verified links of that class that joined components.
+    ``_first`` is the row of the component that comes first: the smallest id, rows without
+    one last. Wordless rows have neither class nor component.
     """
-    docs = keyed(docs)
     sketches = kept_table(docs.mapInArrow(_sketches(bands * ROWS), "_row long, doc_id long, n_shingles long, set_digest binary, bands array<long>"))
-    classes = kept_table(sketches.where("n_shingles > 0").groupBy("set_digest").agg(F.min("_row").alias("_row"), F.min("doc_id").alias("_id"), F.min("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "_row"))
+    classes = kept_table(sketches.where("n_shingles > 0").groupBy("set_digest").agg(F.min("_row").alias("_row"), F.min("doc_id").alias("_id"), first.alias("_first"), F.min("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")))
     links = near_duplicate_links(classes.select("_row", "n_shingles", "bands"), docs, percent)
-    named = classes.select("set_digest", F.col("_row").alias("class_id"), "_id")
+    named = classes.select("set_digest", F.col("_row").alias("class_id"), "_id", "_first")
     if links is None:
         named = named.select("*", F.col("class_id").alias("_root"), F.lit(0).cast("long").alias("class_links"))
     else:
         roots = components(links)
         degree = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count(F.lit(1)).alias("class_links"))
         named = named.join(roots.withColumnRenamed("id", "class_id"), "class_id", "left").join(degree.withColumnRenamed("id", "class_id"), "class_id", "left")
-        named = named.select("set_digest", "class_id", "_id", F.coalesce("root", "class_id").alias("_root"), F.coalesce("class_links", F.lit(0)).alias("class_links"))
-    least = named.groupBy("_root").agg(F.min("_id").alias("component_id"))
-    named = named.join(least, "_root").select("set_digest", "class_id", "component_id", "class_links")
-    out = sketches.select("doc_id", "n_shingles", "set_digest").join(named, "set_digest", "left")
+        named = named.select("set_digest", "class_id", "_id", "_first", F.coalesce("root", "class_id").alias("_root"), F.coalesce("class_links", F.lit(0)).alias("class_links"))
+    least = named.groupBy("_root").agg(F.min("_id").alias("component_id"), F.min("_first")["_row"].alias("_first"))
+    named = named.drop("_first").join(least, "_root").select("set_digest", "class_id", "component_id", "class_links", "_first")
+    return sketches.select("_row", "doc_id", "n_shingles", "set_digest").join(named, "set_digest", "left")
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``class_id``, ``class_links`` of every row.
+
+    ``class_id`` is the smallest row key with the same set, ``class_links`` the number of
+    verified links of that class that joined components.
+    """
+    out = _grouped(keyed(docs), percent, bands)
     alone = F.col("n_shingles") == 0
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "class_id", F.coalesce("class_links", F.lit(0)).alias("class_links"))
@@ -276,8 +294,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS)
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without all but one of each component at ``STAGE_PERCENT``; all columns stay.
 
-    The document with the smallest id stays. Wordless documents all stay, and so do rows
-    without an id, which no list of ids can name. Rows that repeat an id stay or go together.
+    The row with the smallest id stays, whether or not ids are null or repeat; a row without
+    an id stays only where no member has one. Of rows that repeat the smallest id the one
+    with the smallest text stays. Wordless documents all stay.
     """
-    ids = near_duplicates(docs, STAGE_PERCENT, STAGE_BANDS).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(ids, docs["doc_id"].cast("long") == ids["_gone"], "left_anti")
+    rows = keyed(docs, rest=True)
+    gone = _grouped(rows.drop("_rest"), STAGE_PERCENT, STAGE_BANDS).where("_row <> _first").select("_row")
+    return rows.join(gone, "_row", "left_anti").select("_rest.*")

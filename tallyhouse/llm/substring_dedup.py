@@ -38,13 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import binary_texts, kept_table, keyed, passes, prefix_hashes, shards_for, span_hashes, text_bytes
+from tallyhouse.llm.common import binary_texts, kept_table, keyed, passes, prefix_hashes, shards_for, span_hashes, text_bytes, text_ranges
 from tallyhouse.llm.suffix_array import permuted_prefixes, suffix_array
 
 LENGTH = 100
 GRAM = 24
 SIDE = (LENGTH - GRAM) // 2  # a window around an anchor reaches so far on one side at least
-SHARD_BYTES = 64 << 20  # bytes of text for each anchor shard
+SHARD_BYTES = 32 << 20  # bytes of text for each anchor shard
+STEP_BYTES = 1 << 18  # bytes of text that one numpy pass looks at
 MESSAGE_BYTES = 8 << 20  # bytes of text whose equal segments are combined before the shuffle
 ARRAY_BYTES = 1 << 20  # bytes of segments for each suffix array
 
@@ -55,27 +56,34 @@ def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
 
     A segment is a longest run of windows of one document with the same anchor place. The
     smallest hash wins, of equal ones the leftmost, so the choice lies in the window's bytes.
+    A long text is taken in parts that overlap by a window less one byte; a segment at a border
+    falls in two, which meet others like any different segments of one anchor.
     """
     width = LENGTH - GRAM + 1
-    for first, last in passes(texts):
-        sizes = np.array([len(t) for t in texts[first:last]])
-        data = np.frombuffer(b"".join(texts[first:last]), np.uint8)
+    parts = [(i, at, t[at : at + STEP_BYTES + LENGTH - 1] if len(t) > STEP_BYTES else t) for i, t in enumerate(texts) for at in range(0, max(1, len(t) - LENGTH + 1), STEP_BYTES)]
+    document, offset, pieces = (list(x) for x in zip(*parts)) if parts else ([], [], [])
+    document, offset = np.array(document, np.int64), np.array(offset, np.int64)
+    for first, last in passes(pieces, STEP_BYTES):
+        sizes = np.array([len(t) for t in pieces[first:last]])
+        data = np.frombuffer(b"".join(pieces[first:last]), np.uint8)
         if len(data) < LENGTH or not (sizes >= LENGTH).any():
             continue
-        at = np.arange(len(data) - GRAM + 1)
         sums = prefix_hashes(data)
+        at = np.arange(len(data) - GRAM + 1)
         grams = span_hashes(sums, at, at + GRAM)
-        keys = (grams >> np.uint64(32) << np.uint64(32)) | at.astype(np.uint64)
-        blocks = np.full(-(-len(keys) // width) * width, np.iinfo(np.uint64).max, np.uint64)
-        blocks[: len(keys)] = keys
+        blocks = np.full(-(-len(grams) // width) * width, np.iinfo(np.uint64).max, np.uint64)
+        blocks[: len(grams)] = (grams >> np.uint64(32) << np.uint64(32)) | at.astype(np.uint64)
+        del at
         blocks = blocks.reshape(-1, width)
-        forward = np.minimum.accumulate(blocks, axis=1).reshape(-1)
-        backward = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
         windows = len(data) - LENGTH + 1
-        place = (np.minimum(backward[:windows], forward[width - 1 : width - 1 + windows]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        forward = np.minimum.accumulate(blocks, axis=1).reshape(-1)[width - 1 : width - 1 + windows]
+        backward = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)[:windows]
+        del blocks
+        place = (np.minimum(backward, forward) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        del forward, backward
         begins = np.cumsum(sizes) - sizes
-        owner = np.repeat(np.arange(len(sizes)), sizes)[:windows]
-        inside = np.flatnonzero(np.arange(windows) + LENGTH <= (begins + sizes)[owner])
+        owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[:windows]
+        inside = np.flatnonzero(np.arange(windows) + LENGTH <= (begins + sizes)[owner]).astype(np.uint32)
         if not len(inside):
             continue
         owner, place = owner[inside], place[inside]
@@ -83,11 +91,13 @@ def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         fresh[1:] = (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])
         cut = np.flatnonzero(fresh)
         count = np.diff(np.append(cut, len(inside)))
-        a, p, z = inside[cut], place[cut], inside[cut] + count + LENGTH - 1
+        a, p, of = inside[cut].astype(np.int64), place[cut].astype(np.int64), owner[cut].astype(np.int64)
+        del inside, owner, place, fresh
+        z = a + count + LENGTH - 1
         left = np.where(p - a >= SIDE, span_hashes(sums, np.maximum(p - SIDE, 0), p) | np.uint64(1), np.uint64(0))
         end = np.minimum(p + GRAM + SIDE, len(data))
         right = np.where(z - p - GRAM >= SIDE, span_hashes(sums, np.minimum(p + GRAM, end), end) | np.uint64(1), np.uint64(0))
-        yield first + owner[cut], a - begins[owner[cut]], count, grams[p], span_hashes(sums, a, z), left, right
+        yield document[first + of], a - begins[of] + offset[first + of], count, grams[p], span_hashes(sums, a, z), left, right
 
 
 def all_segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
@@ -146,9 +156,9 @@ def _spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
 def _place_messages(shards: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, rows = binary_texts(batch.column("text")), np.array(batch.column("_row").to_pylist(), np.int64)
-            for a, b in passes(texts, MESSAGE_BYTES):
-                out = _places(texts[a:b], rows[a:b], shards)
+            rows = np.array(batch.column("_row").to_pylist(), np.int64)
+            for first, texts in text_ranges(batch.column("text"), MESSAGE_BYTES):
+                out = _places(texts, rows[first : first + len(texts)], shards)
                 for i in range(0, len(out), 1000):
                     yield _batch_of(_PLACES, out[i : i + 1000])
     return send
@@ -205,12 +215,13 @@ def _text_messages(shards: int):
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array([pack(t) for t in binary_texts(batch.column("text"))], pa.binary())], names=["_row", "packed"])
+        for first, texts in text_ranges(batch.column("text"), MESSAGE_BYTES):
+            yield pa.RecordBatch.from_arrays([batch.column("_row").slice(first, len(texts)), pa.array([pack(t) for t in texts], pa.binary())], names=["_row", "packed"])
 
 
-def _unpacked(batch: pa.RecordBatch) -> list[bytes]:
+def _unpacked(batch: pa.RecordBatch) -> Iterator[bytes]:
     unpack = zstandard.ZstdDecompressor().decompress
-    return [unpack(p) for p in batch.column("packed").to_pylist()]
+    return (unpack(p.as_py()) for p in batch.column("packed"))
 
 
 def repeated_windows(contents: list[bytes], rows: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

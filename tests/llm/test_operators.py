@@ -516,3 +516,15 @@ def test_probabilities_add_up():
     every = np.arange(12)
     for a, b in ((3, 4), (11, 5), (-1, 6)):
         assert abs(10 ** trie.scores(np.full(12, a), np.full(12, b), every) @ np.ones(12) - 1) < 0.05
+
+
+def test_segments_of_long_texts_hold_every_window_once(monkeypatch, texts):
+    """A text that is taken in parts has the same windows, each in one segment, around the same anchors."""
+    prose = [t.encode() for t in texts.values()][:12]
+
+    def windows():
+        doc, start, count, anchor, *_ = substring_dedup.all_segments(prose)
+        return sorted((d, a + k, int(h)) for d, a, n, h in zip(doc.tolist(), start.tolist(), count.tolist(), anchor) for k in range(n))
+    whole = windows()
+    monkeypatch.setattr(substring_dedup, "STEP_BYTES", 300)
+    assert windows() == whole and len(whole) == sum(max(0, len(t) - 99) for t in prose)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import corpus_pipeline
-from tallyhouse.llm import quality_rules, secret_scan
+from tallyhouse.llm import minhash_dedup, quality_rules, secret_scan
 from tallyhouse.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -47,28 +47,41 @@ def test_rejected_documents_go(docs, stages):
     assert set(_texts(stages[0])) == kept and 0 < len(kept) < docs.count()
 
 
+def _thinned(rows):
+    """Brute force over (id, text): what stays when groups linked from the stage's likeness on keep their first row."""
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    sets = []
+    for _, text in order:
+        words = (text or "").encode().lower().split()
+        sets.append({tuple(words[k : k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set()))
+    group = list(range(len(order)))
+
+    def root(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+    for a in range(len(order)):
+        for b in range(a):
+            common = len(sets[a] & sets[b])
+            if common and 100 * common >= minhash_dedup.STAGE_PERCENT * (len(sets[a]) + len(sets[b]) - common):
+                x, y = root(a), root(b)
+                group[max(x, y)] = min(x, y)
+    return sorted((order[i] for i in range(len(order)) if root(i) == i or not sets[i]), key=str)
+
+
 def test_one_document_of_each_group_stays(stages):
-    texts, sets = _texts(stages[0]), {}
-    for i, text in texts.items():
-        words = text.encode().lower().split()
-        sets[i] = {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
-    links = defaultdict(set)
-    for a in sets:
-        for b in sets:
-            if a != b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
-                links[a].add(b)
-    gone, seen = set(), set()
-    for i in sorted(texts):
-        if i in seen:
-            continue
-        group, todo = {i}, [i]
-        while todo:
-            for j in links[todo.pop()] - group:
-                group.add(j)
-                todo.append(j)
-        seen |= group
-        gone |= group - {i}
-    assert set(_texts(stages[1])) == set(texts) - gone and gone
+    assert minhash_dedup.STAGE_PERCENT == 80
+    before = list(_texts(stages[0]).items())
+    after = sorted(_texts(stages[1]).items(), key=str)
+    assert after == _thinned(before) and len(after) < len(before)
+
+
+def test_rows_without_or_with_repeated_ids_are_thinned(spark, texts):
+    """Exact and near copies go also where their ids are null or equal."""
+    some = [t for t in texts.values() if len(t.split()) > 30][:12]
+    rows = [(i, t) for i, t in enumerate(some)] + [(None, t) for t in some[:4]] + [(3, t + " more") for t in some[3:6]] + [(None, "alone " * 9), (None, None), (7, some[7])]
+    left = minhash_dedup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == _thinned(rows) and len(left) < len(rows)
 
 
 def test_repeated_strings_are_cut_out(stages):
