@@ -138,6 +138,18 @@ def text_ranges(column: pa.Array, limit: int) -> Iterator[tuple[int, list[bytes]
         yield first, binary_texts(column.slice(first))
 
 
+def text_parts(text: bytes, size: int) -> Iterator[bytes]:
+    """A text in parts of about ``size`` bytes, cut in front of a space."""
+    at = 0
+    while len(text) - at > size:
+        end = at + size
+        while end < len(text) and not _SPACE[text[end]]:
+            end += 1
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
 def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of documents, A-Z lower-cased: bytes, starts, ends, and the document of each word."""
     data = _LOWER[np.frombuffer(b"\n".join(texts), np.uint8)]

@@ -79,3 +79,31 @@ QUALITY = f"""
     SELECT base.*, n_words < {q.LEAST_WORDS} OR 100 * n_repeat_words > {q.MOST_REPEATED_PERCENT} * n_words AS base_failed,
            NOT base_failed AND coalesce(word_far.d, 0) <= {q.MAX_WORD_DISTANCE} AND coalesce(class_far.d, 0) <= {q.MAX_CLASS_DISTANCE} AS kept
     FROM base LEFT JOIN word_far USING (doc_id) LEFT JOIN class_far USING (doc_id)"""
+
+RESAMPLED = f"""
+    WITH codes AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+    texts AS (SELECT false AS wanted, doc_id, text FROM documents UNION ALL SELECT true, NULL, text FROM benchmark),
+    w AS (SELECT wanted, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM texts),
+    f AS (SELECT wanted, doc_id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS feature FROM w),
+    n AS (SELECT wanted, doc_id, feature, count(*) AS n FROM f GROUP BY ALL),
+    named AS (SELECT feature, hex(encode(feature)) AS h FROM (SELECT DISTINCT feature FROM n)),
+    crcs AS (SELECT feature, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(h), 2), lambda i: 16 * (instr('0123456789ABCDEF', h[i]) - 1) + instr('0123456789ABCDEF', h[i + 1]) - 1)),
+        lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM named, codes),
+    counted AS (SELECT wanted, doc_id, bucket, CAST(sum(n) AS BIGINT) AS n FROM n JOIN crcs USING (feature) GROUP BY ALL),
+    sums AS (SELECT coalesce(CAST(sum(n) FILTER (WHERE NOT wanted) AS BIGINT), 0) AS s_all, coalesce(CAST(sum(n) FILTER (WHERE wanted) AS BIGINT), 0) AS t_all FROM counted),
+    buckets AS (SELECT bucket, coalesce(CAST(sum(n) FILTER (WHERE NOT wanted) AS BIGINT), 0) AS s, coalesce(CAST(sum(n) FILTER (WHERE wanted) AS BIGINT), 0) AS t FROM counted GROUP BY bucket),
+    gains AS (SELECT bucket, floor(1000 * ln(CAST((t + 1) * (s_all + 10000) AS DOUBLE) / CAST((s + 1) * (t_all + 10000) AS DOUBLE))) AS gain FROM buckets, sums),
+    weights AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(sum(n * gain) / sum(n)) AS BIGINT) AS weight FROM counted JOIN gains USING (bucket) WHERE NOT wanted GROUP BY doc_id),
+    noise AS (SELECT doc_id, len(ws) AS n_words, list_reduce(list_prepend(0, list_transform(range(1, 9), lambda i: instr('0123456789abcdef', sha256('7:' || doc_id)[i]) - 1)), lambda a, d: 16 * a + d) AS h FROM w WHERE NOT wanted),
+    scored AS (SELECT doc_id, n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM noise LEFT JOIN weights USING (doc_id)),
+    placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * n // 100 THEN place END AS rank FROM scored LEFT JOIN placed USING (doc_id)"""
+
+HARD_NEGATIVES = """
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS parts
+               FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.parts, b.parts) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    n AS (SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+    SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) AS INT) AS rank, negative_id, positive_score, negative_score
+    FROM n QUALIFY rank <= 3"""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import imatch, language_id, lm_scoring, minhash_dedup, oracles, piece_lattice, quality_rules, resharding, retrieval_packing, secret_scan, substring_dedup
+from tallyhouse.llm import (hard_negatives, imatch, importance_sampling, language_id, lm_scoring, minhash_dedup, oracles, piece_lattice, quality_rules,
+                            resharding, retrieval_packing, secret_scan, simhash_dedup, substring_dedup)
 from tallyhouse.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,6 +16,8 @@ ORACLES: dict[str, str] = {
     "op3_histogram_divergence": oracles.QUALITY,
     "op4_superminhash_dedup": oracles.NEAR_DUPLICATES,
     "op5_suffix_array_dedup": oracles.REPEATED_STRINGS,
+    "op12_head_tail_resampling": oracles.RESAMPLED,
+    "op13_segment_hard_negatives": oracles.HARD_NEGATIVES,
 }
 
 
@@ -73,3 +76,18 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_elias_fano_lm")
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(documents(spark, sf_dir))
+
+
+@query("op11_pivot_simhash_dedup")
+def close_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(documents(spark, sf_dir)).drop("class_size")
+
+
+@query("op12_head_tail_resampling")
+def resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_sampling.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op13_segment_hard_negatives")
+def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
