@@ -15,14 +15,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks import answers
+from checks import answers, loads
 from checks.oracle import AVERAGE, FLAWS, KEYS, columns, key, sql, table
 from tallyhouse.functions import calendar as cal
 from tallyhouse.functions.keys import date_key, micros_text, versioned_key
-from tallyhouse.operators import history, integrity, periods, quality
+from tallyhouse.operators import history, integrity, periods, quality, ranking
+from tallyhouse.operators.intervals import interval_join
 from tallyhouse.operators.latest import keep_latest
 from tallyhouse.operators.lookup import lookup
-from tallyhouse.plans import dimensions, facts, metrics, questions, summaries, versions
+from tallyhouse.plans import customers, dimensions, facts, metrics, questions, summaries, versions
 from tallyhouse.plans.silver import BRONZE_TS, flagged, silver, valid
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.runtime import scratch_dir
@@ -562,6 +563,33 @@ def _(d):
     return _star(d, ("dim_customer", "customer_dim_key", "loyalty_tier"))
 
 
+# the days of sale are moved by 20 years, to where the models are on the market
+@check("jn_19_interval", sql("""
+    SELECT p.family_code, CAST(p.day AS VARCHAR) AS day, count(*) AS models
+    FROM (SELECT DISTINCT a.family_code, f.transaction_timestamp + 7305 AS day FROM g_fact_sales_item f JOIN g_dim_product a USING (product_dim_key)) p
+    JOIN (FROM s_product_model_master WHERE is_valid_record) m
+      ON m.family_code = p.family_code AND m.launch_date <= p.day AND (m.discontinue_date IS NULL OR p.day < m.discontinue_date)
+    GROUP BY 1, 2"""))
+def _(d):
+    # models of a family on the market on each day on which an article of the family was sold
+    lines = lookup(d.gold("fact_sales_item"), d.gold("dim_product").select("product_dim_key", "family_code"), "product_dim_key")
+    days = lines.select("family_code", F.date_add("transaction_timestamp", 7305).alias("day")).distinct()
+    models = valid(d.silver("product_model_master")).select("model_code", "family_code", "launch_date", "discontinue_date")
+    held = interval_join(days, models, "day", "launch_date", "discontinue_date", ["family_code"])
+    return held.groupBy("family_code", "day").agg(F.count(F.lit(1)).alias("models"))
+
+
+@check("jn_19_interval_without_key", sql("""
+    SELECT CAST(d.day AS VARCHAR) AS day, count(*) AS models, count(DISTINCT m.family_code) AS families
+    FROM (SELECT date_key + 7305 AS day FROM g_dim_date) d JOIN (FROM s_product_model_master WHERE is_valid_record) m
+      ON m.launch_date <= d.day AND (m.discontinue_date IS NULL OR d.day < m.discontinue_date) GROUP BY 1"""))
+def _(d):
+    models = valid(d.silver("product_model_master")).select("model_code", "family_code", "launch_date", "discontinue_date")
+    days = d.gold("dim_date").select(F.date_add("date_key", 7305).alias("day"))
+    held = interval_join(days, models, "day", "launch_date", "discontinue_date")
+    return held.groupBy("day").agg(F.count(F.lit(1)).alias("models"), F.countDistinct("family_code").alias("families"))
+
+
 # -- aggregates -------------------------------------------------------------------------
 
 def _group(name: str, by: list[str], answer: str, *aggs: Callable[[], Column]):
@@ -596,6 +624,50 @@ def _(d):
     return d.gold("fact_sales_weekly").groupBy(*keys).agg(F.sum("transaction_count").alias("sales"))
 
 
+_LEVELS = {"store": ["region_name", "country_name", "store_code"], "country": ["region_name", "country_name"], "region": ["region_name"], "all": []}
+
+
+@check("agg_11_levels", sql("""
+    SELECT CASE WHEN grouping(s.store_code) = 0 THEN 'store' WHEN grouping(n.country_name) = 0 THEN 'country'
+                WHEN grouping(n.region_name) = 0 THEN 'region' ELSE 'all' END AS level, n.region_name, n.country_name, s.store_code,
+           count(*) AS transactions, CAST(sum(f.net_total) AS DOUBLE) AS net, count(DISTINCT f.customer_dim_key) AS unique_customers
+    FROM g_fact_sales_header f JOIN g_dim_store s USING (store_dim_key) JOIN g_dim_country n ON n.country_dim_key = f.country_dim_key
+    GROUP BY GROUPING SETS ((n.region_name, n.country_name, s.store_code), (n.region_name, n.country_name), (n.region_name), ())"""))
+def _(d):
+    sales = lookup(d.gold("fact_sales_header"), d.gold("dim_store").select("store_dim_key", "store_code"), "store_dim_key")
+    sales = lookup(sales, d.gold("dim_country").select("country_dim_key", "region_name", "country_name"), "country_dim_key")
+    return ranking.on_levels(sales, _LEVELS, {"transactions": F.count(F.lit(1)), "net": F.sum("net_total")}, {"unique_customers": "customer_dim_key"})
+
+
+def _distinct_sql(by: str, where: str = "true") -> str:
+    return sql(f"SELECT {by + ', ' if by else ''}count(DISTINCT customer_dim_key) AS unique_customers FROM g_fact_sales_header "
+               f"JOIN g_dim_date USING (date_dim_key) WHERE {where} {'GROUP BY ALL' if by else ''}")
+
+
+def _unique_customers(d: Data, by=(), within=None) -> DataFrame:
+    return customers.unique_customers(d.gold("customer_days"), d.gold("dim_date"), by, within)
+
+
+@check("agg_05_weekly_from_bitmaps", _distinct_sql("year_number, week_number, country_dim_key, channel_id, currency"))
+def _(d):
+    return _unique_customers(d, ["year_number", "week_number", "country_dim_key", "channel_id", "currency"])
+
+
+@check("agg_05_monthly_from_bitmaps", _distinct_sql("year_month, channel_id"))
+def _(d):
+    return _unique_customers(d, ["year_month", "channel_id"])
+
+
+@check("agg_05_any_days_from_bitmaps", _distinct_sql("country_dim_key", "date_key BETWEEN DATE '1995-03-10' AND DATE '1996-02-20'"))
+def _(d):
+    return _unique_customers(d, ["country_dim_key"], F.col("date_key").between("1995-03-10", "1996-02-20"))
+
+
+@check("agg_05_all_days_from_bitmaps", _distinct_sql(""))
+def _(d):
+    return _unique_customers(d)
+
+
 @check("agg_08_by_name", sql(
     "SELECT n.region_name, CAST(sum(f.net_total) AS DOUBLE) AS net FROM g_fact_sales_header f "
     "JOIN g_dim_country n USING (country_dim_key) GROUP BY n.region_name"))
@@ -644,6 +716,33 @@ def _(d):
         "sku_code", "country_code", "local_launch_date", "is_available")
 
 
+_STORE_SALES = """
+    SELECT n.region_name, s.store_code, sum(f.net_total) AS net FROM g_fact_sales_header f
+    JOIN g_dim_store s USING (store_dim_key) JOIN g_dim_country n ON n.country_dim_key = f.country_dim_key GROUP BY 1, 2"""
+
+
+def _best_sql(source: str, group: str, item: str, measure: str, k: int) -> str:
+    order = f"(PARTITION BY {group} ORDER BY {measure} DESC)"
+    return sql(f"""SELECT {group}, {item}, CAST({measure} AS DOUBLE) AS {measure}, rank() OVER {order} AS rank, dense_rank() OVER {order} AS dense_rank,
+        CAST({measure} AS DOUBLE) / CAST(sum({measure}) OVER (PARTITION BY {group}) AS DOUBLE) AS share FROM ({source}) QUALIFY rank() OVER {order} <= {k}""")
+
+
+@check("win_03_top_per_region", _best_sql(_STORE_SALES, "region_name", "store_code", "net", 3))
+def _(d):
+    sales = lookup(d.gold("fact_sales_header"), d.gold("dim_store").select("store_dim_key", "store_code"), "store_dim_key")
+    sales = lookup(sales, d.gold("dim_country").select("country_dim_key", "region_name"), "country_dim_key")
+    stores = sales.groupBy("region_name", "store_code").agg(F.sum("net_total").alias("net"))
+    return ranking.best_of_each(stores, ["region_name"], "net", 3, "share")
+
+
+@check("win_03_top_articles_with_ties", _best_sql("""
+    SELECT p.category_name, p.sku_code, count(*) AS lines FROM g_fact_sales_item f JOIN g_dim_product p USING (product_dim_key) GROUP BY 1, 2""",
+    "category_name", "sku_code", "lines", 2).replace("CAST(lines AS DOUBLE) AS lines", "lines"))
+def _(d):
+    lines = lookup(d.gold("fact_sales_item"), d.gold("dim_product").select("product_dim_key", "category_name", "sku_code"), "product_dim_key")
+    return ranking.best_of_each(lines.groupBy("category_name", "sku_code").agg(F.count(F.lit(1)).alias("lines")), ["category_name"], "lines", 2, "share")
+
+
 # -- order and limit --------------------------------------------------------------------
 
 @check("srt_01_by_aggregate", sql(
@@ -1213,6 +1312,28 @@ def _(d):
         "store_code", "floor_area_sqft", "is_valid_record", history.START, history.END, history.CURRENT, "store_dim_key")
 
 
+def _product_versions(d: Data, skew_bytes: int | None = None) -> DataFrame:
+    names = ("product_sku_master", "product_model_master", "product_family_master", "product_category_master")
+    return versions.product_versions(*[loads.loaded(d.raw(n), n) for n in names], skew_bytes)
+
+
+@check("ext_01_product_versions", loads.PRODUCT_VERSIONS)
+def _(d):
+    # category, family, model and article loaded at different times, some of them invalid for a while
+    return _product_versions(d)
+
+
+@check("ext_01_product_versions_chunked", loads.PRODUCT_VERSIONS)
+def _(d):
+    return _product_versions(d, 0)
+
+
+@check("ext_01_country_versions", loads.COUNTRY_VERSIONS)
+def _(d):
+    names = ("country_master", "region_master", "currency_master", "tax_master")
+    return versions.country_versions(*[loads.loaded(d.raw(n), n) for n in names])
+
+
 @check("ext_02_sales_as_of", sql("""
     SELECT transaction_id, sha256(store_id || starts) AS store_dim_key FROM (
         SELECT transaction_id, store_id, CASE WHEN transaction_timestamp + 10500 < DATE '2024-03-01'
@@ -1327,16 +1448,14 @@ def _(d):
         ("item to product", "(FROM s_sales_item WHERE is_valid_record)", "sku_code", "dim_product", "sku_code")))))
 def _(d):
     header, item = valid(d.stored("silver_sales_header")), valid(d.stored("silver_sales_item"))
-    parts = [
-        integrity.orphan_summary(d.gold("dim_store"), d.gold("dim_country"), "country_code", "country_code", "store to country"),
-        integrity.orphan_summary(header, d.gold("dim_customer"), "customer_id", "customer_id", "header to customer"),
-        integrity.orphan_summary(header, d.gold("dim_store"), "store_id", "store_code", "header to store"),
-        integrity.orphan_summary(item, d.gold("fact_sales_header"), "transaction_id", "transaction_id", "item to header"),
-        integrity.orphan_summary(item, d.gold("dim_product"), "sku_code", "sku_code", "item to product")]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    stores = integrity.dropped_rows(d.gold("dim_store"), {"store to country": ("country_code", d.gold("dim_country"), "country_code")})
+    sales = integrity.dropped_rows(header, {
+        "header to customer": ("customer_id", d.gold("dim_customer"), "customer_id"),
+        "header to store": ("store_id", d.gold("dim_store"), "store_code")})
+    lines = integrity.dropped_rows(item, {
+        "item to header": ("transaction_id", d.gold("fact_sales_header"), "transaction_id"),
+        "item to product": ("sku_code", d.gold("dim_product"), "sku_code")})
+    return stores.unionByName(sales).unionByName(lines)
 
 
 def _summary_sql(name: str) -> str:

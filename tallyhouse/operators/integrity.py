@@ -99,22 +99,41 @@ def orphan_rows(child: DataFrame, references: Mapping[str, tuple[str, DataFrame,
     return reduce(DataFrame.unionByName, lines)
 
 
-def orphan_summary(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, label: str) -> DataFrame:
-    """One row: how many rows an inner join on this reference drops, NULL references included.
+def dropped_rows(child: DataFrame, references: Mapping[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """What an inner join on each of several references drops: ``reference``, ``orphan_keys``, ``orphan_rows``, ``null_rows``.
 
-    ``child`` holds the rows that reach the join: for a fact, the valid ones.
+    A reference is column, parent, column there. ``child`` holds the rows that reach the join:
+    for a fact, the valid ones. Parents small enough to broadcast are looked up in one scan of
+    the child, from which only misses go on, counted by key; a larger one is met by the child's
+    keys, counted before, missing ones among them.
     """
-    missing = orphans(child, parent, child_key, parent_key).agg(
-        F.count(F.lit(1)).alias("orphan_keys"), F.coalesce(F.sum("orphan_rows"), F.lit(0)).alias("orphan_rows"))
-    nulls = child.filter(F.col(child_key).isNull()).agg(F.count(F.lit(1)).alias("null_rows"))
-    return _single_rows(label, missing, nulls)
+    near = {n: r for n, r in references.items() if small(r[1])}
+    names = F.array(*[F.struct(F.lit(n).alias("reference"), F.lit(None).cast("string").alias("k"), F.lit(0).cast("long").alias("n")) for n in references])
+    counts = [child.sparkSession.range(1).select(F.inline(names))]
+    for name, (column, parent, other) in references.items():
+        if name not in near:
+            used = child.groupBy(F.col(column).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+            missing = used.join(parent.select(F.col(other).alias("k")), "k", "left_anti")
+            counts.append(missing.select(F.lit(name).alias("reference"), F.col("k").cast("string").alias("k"), "n"))
+    if near:
+        df = child.select(*dict.fromkeys(column for column, _, _ in near.values()))
+        misses = []
+        for i, (name, (column, parent, other)) in enumerate(near.items()):
+            known = parent.select(F.col(other).alias(f"__key_{i}")).distinct()
+            df = df.join(F.broadcast(known), F.col(column) == F.col(f"__key_{i}"), "left")
+            miss = F.struct(F.lit(name).alias("reference"), F.col(column).cast("string").alias("k"))
+            misses.append(F.when(F.col(f"__key_{i}").isNull(), miss))
+        found = df.select(F.inline(F.filter(F.array(*misses), lambda m: m.isNotNull())))
+        counts.append(found.groupBy("reference", "k").agg(F.count(F.lit(1)).alias("n")))
+    both = reduce(DataFrame.unionByName, counts)
+    total = lambda rows: F.coalesce(F.sum(F.when(rows, F.col("n"))), F.lit(0))
+    return both.groupBy("reference").agg(
+        F.count("k").alias("orphan_keys"), total(F.col("k").isNotNull()).alias("orphan_rows"), total(F.col("k").isNull()).alias("null_rows"))
 
 
-def _single_rows(label: str, *frames: DataFrame) -> DataFrame:
-    """One-row frames side by side, through a union instead of a product."""
-    names = [c for f in frames for c in f.columns]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return stacked.agg(*[F.max(n).alias(n) for n in names]).select(F.lit(label).alias("reference"), *names)
+def orphan_summary(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, label: str) -> DataFrame:
+    """:func:`dropped_rows` of one reference."""
+    return dropped_rows(child, {label: (child_key, parent, parent_key)})
 
 
 def values_outside(df: DataFrame, column: str, allowed: Iterable[str]) -> DataFrame:

@@ -91,3 +91,22 @@ def _beyond_chunk(df, keys, order, values, packed) -> DataFrame:
     spans = F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("__spans")
     found = edges.select(*keys, CHUNK, spans, *[step[kind](n).alias(n) for n, (kind, _) in values.items()])
     return found.filter("__spans > 1").drop("__spans")
+
+
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """``df`` with the position of each row among those of its key, from 1 on, in the given order.
+
+    ``df`` comes from :func:`chunked`. A key that covers many chunks is numbered within each;
+    what the chunks before hold is added, one row per key and chunk.
+    """
+    groups = [*keys, CHUNK] if CHUNK in df.columns else list(keys)
+    w = Window.partitionBy(*groups).orderBy(*[F.asc_nulls_first(c) for c in order])
+    near = df.withColumn(name, F.row_number().over(w).cast("long"))
+    if CHUNK not in df.columns:
+        return near
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("__rows"))
+    before = counts.select(*groups, F.sum("__rows").over(earlier).alias("__before")).filter("__before is not null")
+    same = [F.col(f"n.{k}").eqNullSafe(F.col(f"b.{k}")) for k in groups]
+    joined = near.alias("n").join(before.alias("b"), reduce(lambda a, b: a & b, same), "left")
+    return joined.select(*[F.col(f"n.{c}") for c in df.columns], (F.col(f"n.{name}") + F.coalesce("b.__before", F.lit(0))).alias(name))

@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.plans.silver import flagged
-from tallyhouse.plans.warehouse import Warehouse
+from tallyhouse.plans.warehouse import GOLD, SALES, Warehouse
 from tallyhouse.schemas import RAW_TABLES
 from tallyhouse.sources import landing, tables
 from tallyhouse.streaming import jobs
@@ -50,32 +50,33 @@ COMPACT_AFTER = 8  # pending batches of a table that are folded into its base
 
 
 def refresh(spark: SparkSession, folder: str, root: str, env: str = "dev") -> Warehouse:
-    """One incremental run: load new files, fold them into the newest rows, rebuild what depends on them.
+    """One incremental run: load new files, fold them into the newest rows, bring gold up to date.
 
     Files are taken from the folder of each table, ``<group>/<table>/*.csv``. Silver is
-    kept by stream checkpoints and is not computed again from all of the raw rows. A run
+    kept by stream checkpoints and is not computed again from all of the raw rows; the silver
+    sales are a view of those newest rows. Facts and summaries are changed where sales came,
+    went or moved (see ``increments``), or made anew where that cannot be told.
+
+    Every stored table knows which batches it was made of, and what lags behind is built: a run
+    that fails anywhere is made up for by the next one, even if no new file arrives. A run
     that finds nothing new writes no table.
     """
     base = f"{root.rstrip('/')}/{env}"
     newest: dict[str, LatestTable] = {}
-    changed = []
     for name, spec in RAW_TABLES.items():
         jobs.load_new_files(spark, spec, f"{folder}/{spec.folder}/{name}", raw_path(root, env, name),
                             f"{base}/checkpoints/load/{name}", root=folder).awaitTermination()
         newest[name] = LatestTable(spark, f"{base}/newest/{name}", spec.schema, spec.keys)
-        before = newest[name].pending()
         jobs.keep_newest(jobs.read_new_rows(spark, raw_path(root, env, name), spec.schema), newest[name],
                          f"{base}/checkpoints/newest/{name}").awaitTermination()
-        if newest[name].pending() != before:
-            changed.append(name)
         newest[name].compact(COMPACT_AFTER)
 
     def silver(_: DataFrame, name: str) -> DataFrame:
         return flagged(newest[name].read(), name)
 
-    house = Warehouse(spark, root, lambda n: newest[n].read(), env, silver=silver)
-    if changed:
-        house.build(after=changed)
+    marks = {name: table.mark() for name, table in newest.items()}
+    house = Warehouse(spark, root, lambda n: newest[n].read(), env, silver, marks.__getitem__, lambda n, mark: newest[n].since(mark))
+    house.build(*[f"silver_{n}" for n in RAW_TABLES if f"silver_{n}" not in SALES], *GOLD, stale=True)
     return house
 
 

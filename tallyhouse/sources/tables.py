@@ -25,14 +25,14 @@ def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataF
     share a task and a large one is split over several, so neither tiny files nor one
     overloaded task come out.
     """
-    writer = _balanced(df, partition_by).write.mode("overwrite")
+    writer = balanced(df, partition_by).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return read(df.sparkSession, path, df.schema)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions that ``df`` has rows for; all others stay."""
-    (_balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
 
@@ -53,7 +53,7 @@ def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def committed(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the folders below ``path`` whose write was committed."""
-    found = _matching(spark, f"{path}/*/_SUCCESS")
+    found = matching(spark, f"{path}/*/_SUCCESS")
     return sorted(int(p.getParent().getName()) for p in found)
 
 
@@ -65,14 +65,38 @@ def remove(spark: SparkSession, *paths: str) -> None:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    return bool(_matching(spark, path))
-
-
-def _matching(spark: SparkSession, pattern: str) -> list:
+    return bool(matching(spark, path))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file of text."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create or replace a small file of text; it appears under its name when it is complete."""
+    place, draft = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.draft"))
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = files.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    files.delete(place, False)
+    files.rename(draft, place)
+
+
+def matching(spark: SparkSession, pattern: str) -> list:
+    """Paths that fit a pattern."""
     place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
     return [status.getPath() for status in found or []]
 
 
-def _balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns]) if columns else df

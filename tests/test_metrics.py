@@ -157,6 +157,6 @@ def test_only_what_depends_on_a_change_is_built_again(spark, house, tmp_path):
 
 def test_whole_build(house):
     tables = house.build(after=())
-    assert len(tables) == 24
+    assert len(tables) == 28
     daily = tables["fact_sales_daily"].groupBy().sum("transaction_count").first()[0]
     assert daily == tables["fact_sales_header"].count()

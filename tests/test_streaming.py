@@ -1,12 +1,14 @@
 from datetime import datetime, timedelta
 from random import Random
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.operators.latest import keep_latest
 from tallyhouse.schemas import FILE_NAME, REGION, ROW_NUMBER
 from tallyhouse.sources import tables
+from tallyhouse.sources.versions import VersionedTable
 from tallyhouse.streaming import jobs
 from tallyhouse.streaming.latest_table import LatestTable
 
@@ -121,11 +123,48 @@ def test_pending_batches_are_folded_and_removed(spark, local, tmp_path):
     for i, part in enumerate(parts):
         t.write_batch(part, i)
         t.compact(least=2)
-    assert t.pending() == [] and tables.committed(spark, f"{t.root}/base") == [1, 3]
+    assert t.pending() == [] and t.base.versions() == [1, 2] and t.settled() == 3
     assert tables.committed(spark, f"{t.root}/changes") == [2, 3]  # what the base before contained is gone
     assert sorted(t.read().collect(), key=str) == newest(local, rows)
 
 
+def test_folding_rewrites_only_the_buckets_that_were_hit(spark, local, tmp_path, monkeypatch):
+    rows, parts = batches(local, 2)
+    t = table(spark, tmp_path)
+    t.write_batch(parts[0], 0)
+    t.compact()
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "base" / "parts").rglob("*.parquet")}
+    assert len({p.parent.parent for p in before}) > 4
+    one = t._bucketed(t.read(), t.buckets).filter("k is not null").limit(1).collect()[0]
+    news = [(one.k, datetime(2024, 9, 1), 10_000, "new")]
+    t.write_batch(local(news, SCHEMA), 1)
+    # a run that breaks off before the list of buckets is written changes nothing
+    monkeypatch.setattr(VersionedTable, "_commit", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        t.compact()
+    monkeypatch.undo()
+    want = newest(local, rows[0::2] + news)
+    assert sorted(table(spark, tmp_path).read().collect(), key=str) == want
+    t = table(spark, tmp_path)
+    t.compact()
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "base" / "parts").rglob("*.parquet")}
+    assert {p.parent.parent.name for p in set(after) - set(before)} == {f"bucket={one.bucket}"}
+    assert all(after[p] == before[p] for p in set(after) & set(before)) and set(before) <= set(after)
+    assert sorted(t.read().collect(), key=str) == want and t.pending() == []
+
+
+def test_a_base_that_outgrew_its_buckets_gets_more(spark, local, tmp_path, monkeypatch):
+    rows, parts = batches(local, 2)
+    t = table(spark, tmp_path)
+    t.buckets = 1
+    for n, part in enumerate(parts):
+        t.write_batch(part, n)
+        t.compact()
+        monkeypatch.setattr("tallyhouse.streaming.latest_table.BUCKET_BYTES", 200)
+    assert t.base.made_of(t.base.version())["buckets"] > 4
+    assert sorted(t.read().collect(), key=str) == newest(local, rows)
+
+
 def test_a_job_keeps_a_table_fresh(spark, local, tmp_path):
     raw, seen = str(tmp_path / "raw"), []
     tables.append(local([(1,)], "n long"), raw)

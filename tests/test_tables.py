@@ -19,7 +19,7 @@ def test_replace_and_replace_partitions(spark, tmp_path):
 
 def test_partitioned_write_is_rebalanced_and_read_is_pruned(spark, tmp_path, plan):
     df = months(spark, "2024-01", "2024-02")
-    assert "REBALANCE" in plan(tables._balanced(df, ["month"])).upper()
+    assert "REBALANCE" in plan(tables.balanced(df, ["month"])).upper()
     stored = tables.replace(df, str(tmp_path / "t"), ["month"])
     assert "PartitionFilters: [isnotnull(month" in plan(stored.filter("month = '2024-02'"))
 
