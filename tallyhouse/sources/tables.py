@@ -64,6 +64,14 @@ def remove(spark: SparkSession, *paths: str) -> None:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder another name, if there is such a folder."""
+    place, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(place):
+        files.rename(place, target)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     return bool(matching(spark, path))
 
