@@ -10,7 +10,8 @@ The sample is the only thing fitted on less than all rows; its bound is ``PER_LA
 Prediction reads every whole text, partition by partition, with a model of fixed size.
 
 Defined results: null text, and text without a letter, is ``und`` with score 0. Without any
-labelled row nothing is learned and every text is ``und``. Null ids count as empty text for
+labelled row that has a letter nothing is learned and every text is ``und``; a language with
+no such row is not learned. Null ids count as empty text for
 the fold. Equal rows get equal results. An empty table gives an empty result; other columns
 of the input are ignored.
 """
@@ -30,6 +31,7 @@ from tallyhouse.llm.common import binary_texts, crc_of_id, mix, passes, prefix_h
 BUCKETS = 1 << 16
 DIMENSIONS = 16
 PER_LANGUAGE = 800  # training documents of a language, those with the smallest hashed ids
+AMPLE = 4  # a language sends so many times its sample to be ranked
 BROADCAST_LANGUAGES = 1000  # up to so many languages the ids of the sample are broadcast
 EPOCHS, LEAST_STEPS, RATE = 6, 8000, 2.0
 CROP = 40  # subwords of the shortest crop that training sees
@@ -113,22 +115,26 @@ def sampled(docs: DataFrame) -> DataFrame:
     """Labelled documents of the training fold, at most ``PER_LANGUAGE`` of each language."""
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text", "cast(lang as string) lang")
     train = docs.where((fold() != 2) & F.col("lang").isNotNull())
+    few = train.agg(F.count_distinct("lang")).first()[0] <= BROADCAST_LANGUAGES
+    small = F.broadcast if few else lambda df: df
+    # the first rows by hash all lie below this bound but for odds of nothing, so a frequent language sends few rows to its window
+    counts = train.groupBy("lang").agg((F.count(F.lit(1)) / F.lit(AMPLE * PER_LANGUAGE)).alias("_times"))
+    share = (F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5) * F.col("_times")
+    near = train.select("doc_id", "lang").join(small(counts), "lang").where((F.col("_times") <= 1) | (share <= 1)).select("doc_id", "lang")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = train.select("doc_id", "lang").withColumn("_rank", rank).where(F.col("_rank") <= PER_LANGUAGE).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
-    if train.agg(F.count_distinct("lang")).first()[0] <= BROADCAST_LANGUAGES:
-        ids = F.broadcast(ids)
-    return train.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
+    ids = near.withColumn("_rank", rank).where(F.col("_rank") <= PER_LANGUAGE).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
+    return train.join(small(ids), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
 
 
 def train(docs: DataFrame, seed: int = 7) -> Model:
     """A model from a bounded sample of ``docs``; the driver sees bucket counts, not texts."""
     rows = sampled(docs).mapInArrow(_profiles, "doc_id long, lang string, buckets binary, counts binary").collect()
     rows = sorted(rows, key=lambda r: (r["lang"], -1 if r["doc_id"] is None else r["doc_id"], r["buckets"]))
+    rows = [r for r in rows if r["buckets"]]  # the others have no letter to learn from
     languages = sorted({r["lang"] for r in rows})
     if not languages:
         return Model([], np.zeros((0, BUCKETS), np.float32), np.zeros(0))
     examples = [(languages.index(r["lang"]), np.frombuffer(r["buckets"], np.uint16), np.frombuffer(r["counts"], np.uint32)) for r in rows]
-    examples = [e for e in examples if len(e[1])]
     held = [e for i, e in enumerate(examples) if i % KEPT_BACK == 0]
     shown = [e for i, e in enumerate(examples) if i % KEPT_BACK] or held
     rng = np.random.default_rng(seed)

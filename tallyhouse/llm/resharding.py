@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import kept_table, keyed
+from tallyhouse.sources.tables import balanced, move, remove
 
 SHARDS, OLD_SHARDS = 24, 20
 TEXT_PARTS, ROW_PARTS = 8, 8  # blocks of a size class: by text, then by row, so that no text fills one alone
@@ -140,20 +141,29 @@ def layout(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 def write_old(docs: DataFrame, path: str) -> None:
     """The old layout as folders ``shard=<n>`` below ``path``."""
     old = F.pmod(F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.lit(OLD_SHARDS)).cast("int")
-    docs.withColumn("shard", old).repartition("shard").write.partitionBy("shard").mode("overwrite").parquet(path)
+    balanced(docs.withColumn("shard", old), ["shard"]).write.partitionBy("shard").mode("overwrite").parquet(path)
 
 
 def rewrite(docs: DataFrame, path: str, shards: int = SHARDS) -> list[int]:
     """Bring the folders below ``path`` from the old layout of ``docs`` to the new; returns the shards that were rewritten.
 
-    Folders of shards that neither give nor take rows are left alone.
+    Folders of shards that neither give nor take rows are left alone. The others are written
+    beside ``path``, large shards by several tasks, and then take the place of the old
+    folders one by one; the folder of a shard that lost its last row goes. ``docs`` are not
+    read from ``path``, so a run that breaks off is repeated as a whole.
     """
+    spark = docs.sparkSession
     rows = kept_table(keyed(docs, rest=True))
     placed = kept_table(placements(rows, shards))
     moved = placed.where("shard <> old_shard")
     affected = sorted({r[0] for r in moved.select("shard").union(moved.select("old_shard")).distinct().collect()})
     if affected:
         new = rows.select("_row", "_rest").join(placed.where(F.col("shard").isin(affected)).select("_row", "shard"), "_row")
-        out = new.select(*[F.col("_rest")[c].alias(c) for c in docs.columns if c != "shard"], "shard").repartition("shard")
-        out.write.partitionBy("shard").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        out = new.select(*[F.col("_rest")[c].alias(c) for c in docs.columns if c != "shard"], "shard")
+        beside = f"{path.rstrip('/')}__new"
+        balanced(out, ["shard"]).write.partitionBy("shard").mode("overwrite").parquet(beside)
+        for shard in affected:
+            remove(spark, f"{path}/shard={shard}")
+            move(spark, f"{beside}/shard={shard}", f"{path}/shard={shard}")
+        remove(spark, beside)
     return affected

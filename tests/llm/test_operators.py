@@ -356,6 +356,19 @@ def test_placement_and_rewrite(spark, docs, texts, tmp_path):
     assert got == {r.doc_id: r["shard"] for r in rows}
 
 
+@pytest.mark.parametrize("n", [3, 6, 12])
+def test_rewrite_with_shards_that_empty(spark, tmp_path, n):
+    """Fewer documents than shards: old folders lose their last row, and no row is left twice."""
+    docs = spark.createDataFrame([(i, f"text {i} " * (1 + 40 * (i % 3))) for i in range(n)], "doc_id long, text string")
+    path = str(tmp_path / "shards")
+    resharding.write_old(docs, path)
+    resharding.rewrite(docs, path)
+    want = {r.doc_id: r["shard"] for r in resharding.layout(docs).collect()}
+    rows = spark.read.parquet(path).collect()
+    assert len(rows) == n and {r.doc_id: r["shard"] for r in rows} == want
+    assert {p.name for p in (tmp_path / "shards").glob("shard=*")} == {f"shard={k}" for k in set(want.values())}
+
+
 # -- 8 secrets ----------------------------------------------------------------------------
 
 def test_base_spans_equal_regular_expressions(docs, texts):
@@ -528,3 +541,21 @@ def test_segments_of_long_texts_hold_every_window_once(monkeypatch, texts):
     whole = windows()
     monkeypatch.setattr(substring_dedup, "STEP_BYTES", 300)
     assert windows() == whole and len(whole) == sum(max(0, len(t) - 99) for t in prose)
+
+
+def test_labels_without_a_letter_teach_nothing(spark):
+    rows = [(i, "12 34 %", "en") for i in range(20)] + [(100 + i, None, "de") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {(r.lang_pred, r.score) for r in language_id.identify(df).collect()} == {("und", 0.0)}
+    more = df.union(spark.createDataFrame([(200 + i, "some words of one language", "fr") for i in range(20)], df.schema))
+    assert {r.lang_pred for r in language_id.identify(more).collect()} <= {"und", "fr"}
+
+
+def test_a_frequent_language_sends_a_bounded_sample(spark, monkeypatch):
+    """The rows with the smallest hashes are the same as without the bound before the window."""
+    monkeypatch.setattr(language_id, "PER_LANGUAGE", 50)
+    df = spark.range(6000).selectExpr("id doc_id", "'word' text", "case when id % 9 = 0 then 'de' else 'en' end lang")
+    got = {(r.lang, r.doc_id) for r in language_id.sampled(df).collect()}
+    rows = df.where(language_id.fold() != 2).select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).collect()
+    want = {(x, r.doc_id) for x in ("de", "en") for r in sorted((r for r in rows if r.lang == x), key=lambda r: r.h)[:50]}
+    assert got == want
