@@ -17,8 +17,8 @@ rows and one of anchors, each of bounded size, and gives at most a few rows an a
 label with a third of all rows is just more blocks.
 
 Components become floor(256 * x); scores are sums of their products and exact as long as they
-fit a double's 53 bits, beyond which they are added up as whole numbers of any size and given as
-the end of the long's range where they leave it.
+fit a double's 53 bits, beyond which they are added up as whole numbers of any size and held within
+``LARGEST``, so that shares of them are longs.
 
 Defined results: rows with a null id, label, vector or component, or a component that is not
 finite, take no part. Vectors of other lengths are filled up with zeros. Rows that repeat an
@@ -45,7 +45,8 @@ ANCHORS = 1 << 12  # anchors of a block
 SPREAD = 16  # blocks of rows at least
 STEP, PART = 256, 4096  # anchors and rows of one numpy step
 EXACT = 2.0**53
-LONGEST = (1 << 63) - 1
+LARGEST = 1 << 56
+NOTHING, UNASKED = -(1 << 62), -(1 << 56)  # below every score; the place of a positive that an anchor lacks
 
 
 def _usable() -> Column:
@@ -87,7 +88,7 @@ def _scores(anchors: np.ndarray, rows: np.ndarray) -> np.ndarray:
     if top < EXACT:
         return (anchors @ rows.T).astype(np.int64)
     whole = np.vectorize(int, otypes=[object])
-    return whole(anchors).dot(whole(rows).T)
+    return np.clip(whole(anchors).dot(whole(rows).T), -LARGEST, LARGEST).astype(np.int64)
 
 
 def _survivors(anchors: list, rows: list, open_: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -107,13 +108,41 @@ def _survivors(anchors: list, rows: list, open_: np.ndarray, low: np.ndarray, hi
     return a, r, open_
 
 
-def _best(keys: np.ndarray, ids: np.ndarray, scores: np.ndarray, limit: int) -> np.ndarray:
-    """Places of the ``limit`` highest scores of each key, ties by smaller id."""
-    order = np.lexsort((ids, -scores, keys)) if scores.dtype != object else np.array(sorted(range(len(keys)), key=lambda i: (keys[i], -scores[i], ids[i])), np.int64)
-    k = keys[order]
-    first = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
-    rank = np.arange(len(k)) - np.repeat(first, np.diff(np.append(first, len(k))))
-    return order[rank < limit]
+def _highest(scores: np.ndarray, allowed: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the ``limit`` highest allowed scores of each row of a matrix, of equal ones the first."""
+    left = np.where(allowed, scores, NOTHING)
+    line, found = np.arange(len(left)), []
+    for _ in range(min(limit, left.shape[1])):
+        at = left.argmax(axis=1)
+        there = left[line, at] > NOTHING
+        if not there.any():
+            break
+        found.append((line[there], at[there]))
+        left[line, at] = NOTHING
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+
+
+class _Best:
+    """The ``limit`` highest scores of each key seen so far, ties by smaller id."""
+
+    def __init__(self, keys: int, limit: int):
+        self.limit, self.size = limit, keys
+        self.keys, self.ids, self.scores = (np.zeros(0, np.int64) for _ in range(3))
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        keys, ids, scores = (np.concatenate(x) for x in ((self.keys, keys), (self.ids, ids), (self.scores, scores)))
+        order = np.lexsort((ids, -scores, keys))
+        k = keys[order]
+        first = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
+        rank = np.arange(len(k)) - np.repeat(first, np.diff(np.append(first, len(k))))
+        keep = order[rank < self.limit]
+        self.keys, self.ids, self.scores = keys[keep], ids[keep], scores[keep]
+
+    def lowest(self) -> np.ndarray:
+        """The score that counts no more if it is beaten: the last of each key with ``limit`` of them, else minus infinity."""
+        worst = np.full(self.size, np.inf)
+        np.minimum.at(worst, self.keys, self.scores.astype(np.float64))
+        return np.where(np.bincount(self.keys, minlength=self.size) == self.limit, worst, -np.inf)
 
 
 class _Block:
@@ -130,84 +159,62 @@ class _Block:
         self.q_numbers = queries.column("anchor").to_numpy()
 
     def steps(self):
-        """Ranges of anchors and of rows, with the summaries of each."""
-        for a in range(0, len(self.q), STEP):
-            anchors = slice(a, a + STEP)
-            of_anchors = [summaries(self.q[anchors], s) for s in LEVELS]
-            yield anchors, of_anchors, self._parts()
-
-    def _parts(self):
+        """Ranges of rows and, for each, of anchors, numbered, with the summaries of both."""
+        asked = self.anchors()
+        of_anchors = [[summaries(self.q[anchors], s) for s in LEVELS] for anchors in asked]
         for r in range(0, len(self.r), PART):
             rows = slice(r, r + PART)
-            yield rows, [summaries(self.r[rows], s) for s in LEVELS]
+            of_rows = [summaries(self.r[rows], s) for s in LEVELS]
+            for k, anchors in enumerate(asked):
+                yield k, anchors, rows, of_anchors[k], of_rows
+
+    def anchors(self) -> list[slice]:
+        return [slice(a, a + STEP) for a in range(0, len(self.q), STEP)]
 
 
 def _positives(key, table):
     """The best rows of the anchors' own label in one block."""
-    block, found = _Block(table), []
-    for anchors, of_anchors, parts in block.steps():
-        n = len(block.q[anchors])
-        best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-        low = np.full(n, -np.inf)
-        for rows, of_rows in parts:
-            open_ = (block.q_labels[anchors][:, None] == block.r_labels[rows][None, :]) & (block.q_ids[anchors][:, None] != block.r_ids[rows][None, :])
-            a, r, open_ = _survivors(of_anchors, of_rows, open_, low, np.full(n, np.inf))
-            if not len(a):
-                continue
+    block = _Block(table)
+    best = [_Best(len(block.q[anchors]), POSITIVES) for anchors in block.anchors()]
+    for k, anchors, rows, of_anchors, of_rows in block.steps():
+        open_ = (block.q_labels[anchors][:, None] == block.r_labels[rows][None, :]) & (block.q_ids[anchors][:, None] != block.r_ids[rows][None, :])
+        a, r, open_ = _survivors(of_anchors, of_rows, open_, best[k].lowest(), np.full(best[k].size, np.inf))  # equal scores stay open: the smaller id wins
+        if len(a):
             scores = _scores(block.q[anchors][a], block.r[rows][r])
-            i, j = np.nonzero(open_)
-            best = tuple(np.concatenate([x, y]) for x, y in zip(best, (a[i], block.r_ids[rows][r[j]], scores[i, j])))
-            keep = _best(*best, POSITIVES)
-            best = tuple(x[keep] for x in best)
-            count = np.bincount(best[0], minlength=n)
-            worst = np.full(n, np.inf)
-            np.minimum.at(worst, best[0], best[2].astype(np.float64))
-            low = np.where(count == POSITIVES, worst, -np.inf)  # equal scores stay open: the smaller id wins
-        found.append((block.q_numbers[anchors][best[0]], best[1], best[2]))
-    return _table(("anchor", "positive_id", "positive_score"), found)
+            i, j = _highest(scores, open_, POSITIVES)
+            best[k].add(a[i], block.r_ids[rows][r[j]], scores[i, j])
+    return _table(("anchor", "positive_id", "positive_score"), [(block.q_numbers[anchors][b.keys], b.ids, b.scores) for anchors, b in zip(block.anchors(), best)])
 
 
 def _negatives(key, table):
     """The best rows of other labels in one block for each anchor and positive, within the shares of its score."""
-    block, found = _Block(table), []
-    wanted = [np.array(x or [], dtype=np.int64) for x in block.queries.column("positive_scores").to_pylist()]
-    for anchors, of_anchors, parts in block.steps():
-        scores_of = wanted[anchors]
-        count = np.array([len(x) for x in scores_of])
-        n, most = len(count), int(count.max(initial=0))
-        lows, highs = (np.full((n, most), fill) for fill in (np.inf, -np.inf))
-        for i, x in enumerate(scores_of):
-            lows[i, : len(x)], highs[i, : len(x)] = LEAST * x / 100.0, MOST * x / 100.0
-        lows[lows > highs] = np.inf  # of a negative score no share lies between
-        best = tuple(np.zeros(0, np.int64) for _ in range(4))
-        for rows, of_rows in parts:
-            open_ = (block.q_labels[anchors][:, None] != block.r_labels[rows][None, :]) & (block.q_ids[anchors][:, None] != block.r_ids[rows][None, :])
-            a, r, open_ = _survivors(of_anchors, of_rows, open_, lows.min(axis=1, initial=np.inf) - 1e-6, highs.max(axis=1, initial=-np.inf) + 1e-6)
-            if not len(a):
-                continue
-            scores = _scores(block.q[anchors][a], block.r[rows][r])
-            i, j = np.nonzero(open_)
-            a, ids, scores = a[i], block.r_ids[rows][r[j]], scores[i, j]
-            for p in range(most):
-                own = np.flatnonzero(count[a] > p)
-                positive = np.array([scores_of[x][p] for x in a[own]], scores.dtype if scores.dtype == object else np.int64)
-                fits = own[((LEAST * positive <= 100 * scores[own]) & (100 * scores[own] <= MOST * positive)).astype(bool)]
-                best = tuple(np.concatenate([x, y]) for x, y in zip(best, (a[fits], np.full(len(fits), p), ids[fits], scores[fits])))
-            keep = _best(best[0] * (most + 1) + best[1], best[2], best[3], NEGATIVES)
-            best = tuple(x[keep] for x in best)
-            full = np.zeros((n, most), np.int64)
-            np.add.at(full, (best[0], best[1]), 1)
-            worst = np.full((n, most), np.inf)
-            np.minimum.at(worst, (best[0], best[1]), best[3].astype(np.float64))
-            lows = np.where(full == NEGATIVES, np.maximum(lows, worst), lows)
-        found.append((block.q_numbers[anchors][best[0]], best[1], best[2], best[3]))
-    return _table(("anchor", "place", "negative_id", "negative_score"), found)
+    block = _Block(table)
+    given = block.queries.column("positive_scores").to_pylist()
+    wanted = np.full((len(given), POSITIVES), UNASKED, np.int64)
+    for i, scores in enumerate(given):
+        wanted[i, : len(scores)] = scores
+    best = [_Best(len(block.q[anchors]) * POSITIVES, NEGATIVES) for anchors in block.anchors()]
+    for k, anchors, rows, of_anchors, of_rows in block.steps():
+        asked = wanted[anchors]
+        real = asked >= 0  # of a score below zero no share lies between the bounds
+        low = np.where(real, np.maximum(LEAST * asked / 100.0, best[k].lowest().reshape(asked.shape)), np.inf).min(axis=1)
+        high = np.where(real, MOST * asked / 100.0, -np.inf).max(axis=1)
+        open_ = (block.q_labels[anchors][:, None] != block.r_labels[rows][None, :]) & (block.q_ids[anchors][:, None] != block.r_ids[rows][None, :])
+        a, r, open_ = _survivors(of_anchors, of_rows, open_, low - 1e-6, high + 1e-6)
+        if not len(a):
+            continue
+        scores = _scores(block.q[anchors][a], block.r[rows][r])
+        for p in range(POSITIVES):
+            least, most = LEAST * asked[a, p][:, None], MOST * asked[a, p][:, None]
+            i, j = _highest(scores, open_ & real[a, p][:, None] & (least <= 100 * scores) & (100 * scores <= most), NEGATIVES)
+            best[k].add(a[i] * POSITIVES + p, block.r_ids[rows][r[j]], scores[i, j])
+    return _table(("anchor", "place", "negative_id", "negative_score"), [
+        (block.q_numbers[anchors][b.keys // POSITIVES], b.keys % POSITIVES, b.ids, b.scores) for anchors, b in zip(block.anchors(), best)])
 
 
 def _table(names: tuple[str, ...], found: list[tuple]) -> pa.Table:
     columns = [np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(len(names))]
-    held = [[max(-LONGEST, min(x, LONGEST)) for x in c.tolist()] if c.dtype == object else c for c in columns]
-    return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, held)})
+    return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns)})
 
 
 def _in_blocks(rows: DataFrame, anchors: DataFrame, row_blocks: int, anchor_blocks: int, label: bool) -> DataFrame:
