@@ -72,7 +72,7 @@ class Data:
 
     @property
     def model(self) -> metrics.Model:
-        return metrics.Model(self.gold)
+        return metrics.Model(self.gold, groups=lambda: self.gold("sales_groups"))
 
     def folder(self) -> str:
         return scratch_dir(self.spark)

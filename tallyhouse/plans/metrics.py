@@ -12,10 +12,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.operators.integrity import values_outside
 from tallyhouse.operators.lookup import lookup, small
-from tallyhouse.plans.summaries import mean
+from tallyhouse.plans.summaries import AMOUNTS, COUNTS, GROUP, mean
 from tallyhouse.streaming.jobs import MONTH, month_of
 
 
@@ -252,10 +253,13 @@ class Model:
 
     Distinct counts count distinct values. With ``assume_unique`` columns that hold each
     value once in tables built here are counted plainly, which any other tables may not allow.
+
+    ``groups`` gives the stored sums of a day and place, made from the transaction fact that
+    ``table`` gives. Questions that those can answer in full are answered from them.
     """
 
-    def __init__(self, table: Callable[[str], DataFrame], assume_unique: bool = False):
-        self.table, self.assume_unique = table, assume_unique
+    def __init__(self, table: Callable[[str], DataFrame], assume_unique: bool = False, groups: Callable[[], DataFrame] | None = None):
+        self.table, self.assume_unique, self.groups = table, assume_unique, groups
 
     # -- names ---------------------------------------------------------------------
 
@@ -383,14 +387,20 @@ class Model:
                     df = df.filter(_COMPARE[op](F.col(column(place)), value))
             return df
 
-        df = self._in_months(base, tests)
+        measure = self._measure
+        if self.groups is not None and self._in_groups(base, metrics, [*names.values(), *[place for place, _, _ in tests]]):
+            rows, measure, late = self.groups(), _of_groups, {}
+        else:
+            rows = self.table(base)
+        df = self._in_months(base, tests, rows)
         for table, other in others.items():
             if table not in late:
                 df = lookup(df, other, relationship(base, table)[0], broadcast_bytes=broadcast_bytes)
         df = kept(df, lambda table: table not in late)
         by = [F.col(column(p)).alias(a) for a, p in names.items()]
         if not late:
-            return df.groupBy(*by).agg(*[self._measure(base, m).alias(a) for a, m in metrics.items()])
+            kinds = {f.name: f.dataType for f in df.schema.fields}
+            return df.groupBy(*by).agg(*[(measure(m, kinds) if measure is _of_groups else measure(base, m)).alias(a) for a, m in metrics.items()])
         in_two = not any(self._is_distinct(base, m) for m in metrics.values())
         if in_two:
             early = [column(p) for p in names.values() if p[0] not in late]
@@ -402,13 +412,25 @@ class Model:
         return grouped.agg(*[
             (_second_step(a, m) if in_two else self._measure(base, m)).alias(a) for a, m in metrics.items()])
 
-    def _in_months(self, base: str, tests: Sequence[tuple[tuple[str, str], str, object]]) -> DataFrame:
-        """The base table, cut down to the months that conditions on its time leave.
+    def _in_groups(self, base: str, metrics: Mapping[str, Metric], places: Sequence[tuple[str, str]]) -> bool:
+        """Whether the stored groups answer a question: they hold its metrics, and all it groups and filters by.
+
+        Transactions are counted, not made distinct: the groups are made from a fact that
+        holds each once.
+        """
+        columns = {LOGICAL[t].columns()[n] for t, n in places if t == base}
+        held = {
+            "sum": lambda c: c in AMOUNTS.values(), "avg": lambda c: c in AMOUNTS.values(), "count": lambda c: not c,
+            "count_distinct": lambda c: c in LOGICAL[base].unique}
+        return (base == "fact_sales_header" and columns <= set(GROUP) and {t for t, _ in places} <= {base, "dim_date", "dim_store", "dim_country"}
+                and all(held[m.kind](m.column) for m in metrics.values()))
+
+    def _in_months(self, base: str, tests: Sequence[tuple[tuple[str, str], str, object]], df: DataFrame) -> DataFrame:
+        """The base table, or its stored groups, cut down to the months that conditions on its time leave.
 
         The months that a condition on the days allows are looked up in the date dimension,
         a row a day, and become a condition on the column that the table is split by.
         """
-        df = self.table(base)
         days = [(LOGICAL["dim_date"].columns()[n], op, v) for (t, n), op, v in tests if t == "dim_date"]
         own = [("date_key", op, v) for (t, n), op, v in tests if t == base and LOGICAL[base].columns()[n] == "transaction_timestamp"]
         if MONTH not in df.columns or not days + own:
@@ -459,6 +481,15 @@ class Model:
         return F.sum(metric.column)
 
 
+def _of_groups(metric: Metric, kinds: Mapping[str, T.DataType]) -> Column:
+    """The metric from the sums and counts of stored groups."""
+    if metric.kind in ("count", "count_distinct"):
+        return F.coalesce(F.sum("transaction_count"), F.lit(0))
+    total = next(t for t, a in AMOUNTS.items() if a == metric.column)
+    added = F.sum(total).cast(kinds[total])
+    return added if metric.kind == "sum" else added.cast("double") / F.nullif(F.sum(COUNTS[total]), F.lit(0))
+
+
 def _first_step(alias: str, metric: Metric) -> list[Column]:
     """Sum and count of a metric within one key."""
     counted = F.count(F.col(metric.column) if metric.column else F.lit(1)).alias(f"{alias}__n")

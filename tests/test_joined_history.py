@@ -172,4 +172,4 @@ def test_numbers_stay_and_bitmaps_merge(local):
 def test_distinct_counts_read_no_fact(spark, plan):
     d = Data(spark, SF)
     text = plan(customers.unique_customers(d.gold("customer_days"), d.gold("dim_date"), ["channel_id"], F.col("year_number") == 1996))
-    assert "fact_sales" not in text and "sales_month" in text.partition("PartitionFilters: [")[2].partition("]")[0]
+    assert "bits" in text and "customer_dim_key" not in text and "net_total" not in text and "sales_month" in text.partition("PartitionFilters: [")[2].partition("]")[0]

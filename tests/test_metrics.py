@@ -1,3 +1,4 @@
+import re
 from datetime import date
 from pathlib import Path
 
@@ -117,6 +118,25 @@ def test_conditions_on_time_skip_months(model, house, plan, condition):
     assert {r.channel: (r.total_net_sales, r.total_transactions) for r in asked.collect()} == want and want
 
 
+def test_questions_are_answered_from_stored_groups(house, plan):
+    """The same answers with and without; what the groups do not hold is read from the fact."""
+    plain, grouped = Model(house.open), Model(house.open, groups=lambda: house.open("sales_groups"))
+    ask = [
+        lambda m: m.query(["total_net_sales", "total_transactions", "average_transaction_value"], ["dim_country.region_name", "dim_date.year_month"]),
+        lambda m: m.query({"n": Metric("count")}, {"store": "dim_store.store_name"}, ["web_sales"], base="fact_sales_header"),
+        lambda m: m.query(["total_tax", "total_discounts", "total_gross_sales"], ["channel", "currency"], [("dim_date.year", "=", 1996)]),
+        lambda m: m.query(["total_transactions", "total_net_sales"], (), [("dim_date.year", "=", 1)])]
+    for question in ask:
+        a, b = question(plain), question(grouped)
+        assert a.dtypes == b.dtypes and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+        assert not re.search(r"\b(net_total|gross_amount|transaction_id)\b", plan(b))
+    for name in ("What are the total sales by region?", "Show me the monthly sales trend", "What are sales by quarter?"):
+        assert "net_total" not in plan(questions.QUESTIONS[name](grouped)) and "net_total" in plan(questions.QUESTIONS[name](plain))
+    by_day = grouped.query(["total_net_sales"], ["fact_sales_header.transaction_date"])
+    by_person = grouped.query(["total_net_sales"], ["dim_customer.loyalty_tier"])
+    assert all("net_total" in plan(df) for df in (by_day, by_person))
+
+
 def files_of(root):
     return {p: p.stat().st_mtime_ns for p in Path(root).rglob("*") if p.is_file()}
 
