@@ -1,13 +1,21 @@
 """Packing of documents into training sequences, neighbours by lexical retrieval side by side.
 
-Each partition is a shard. It is read in blocks of a bounded number of tokens; a block gets a
-BM25 inverted index over token ids. The first unused document seeds a window, and its best
-unused neighbours fill the rest, best first. A document that does not fit is cut, and what is
-left of it seeds the next window, so windows are always full; an open window goes on into the
-next block. The last window of a shard is cut into sequences whose lengths are powers of two,
-which need no padding.
-
-Defined results: null and empty texts are packed as their end token alone. Equal rows are
+Texts become token ids once, in a written table. Document frequencies and the mean length are
+those of the whole corpus; they fill one table over the vocabulary. Documents are sorted by the
+two terms that say most about them, of the terms another document has too, so that documents
+about the same things meet in a shard however far apart they came; a frequent term is spread
+over as many shards as its documents fill.
+
+A shard is read in blocks of a bounded number of tokens; a block gets a BM25 inverted index
+over token ids. The first unused document seeds a window, and its best unused neighbours by all
+its terms fill the rest, best first, until the window is full or no neighbour is left; only
+then does the next document seed. A document that does not fit is cut, and what is left of it
+seeds the next window, so windows are always full; an open window goes on into the next block.
+The last window of a shard is cut into sequences whose lengths are powers of two, which need no
+padding.
+
+Defined results: null and empty texts are packed as their end token alone, which makes no
+neighbours. Equal rows are
 packed one by one. Null ids are carried as null. A document longer than a window fills
 several. An empty table gives an empty result; other columns of the input are ignored.
 """
@@ -17,18 +25,22 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import binary_texts, crc, passes, prefix_hashes, span_hashes, word_spans
+from tallyhouse.llm.common import binary_texts, crc, kept_table, passes, prefix_hashes, shards_for, span_hashes, text_ranges, word_spans
 
 WINDOW = 4096
 END = 2
+TERMS = 1 << 16  # ids of a vocabulary
+STEP_BYTES = 1 << 20  # text, or ids, that one numpy step looks at; a longer document has a step of its own
 BLOCK_TOKENS = 1 << 21  # tokens in one index
-QUERY_TERMS = 32  # rarest terms of a seed that are looked up
+FIRST_ASKED = 64  # neighbours that are put in order first; the others follow when the window still has room
 K1, B = 1.2, 0.75
 CACHED_WORDS = 1 << 20
 
@@ -121,36 +133,78 @@ def _word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+class Corpus(NamedTuple):
+    """What BM25 knows of all documents."""
+
+    rows: int
+    mean: float  # tokens of a document
+    holding: np.ndarray  # documents that hold each term
+
+    @property
+    def idf(self) -> np.ndarray:
+        return np.log1p((self.rows - self.holding + 0.5) / (self.holding + 0.5))
+
+    def weights(self, times: np.ndarray, terms: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """BM25 weights of terms in documents of these sizes."""
+        return self.idf[terms] * times * (K1 + 1) / (times + K1 * (1 - B + B * sizes / self.mean))
+
+    @staticmethod
+    def of(documents: list[np.ndarray]) -> Corpus:
+        """Counts of a list of documents."""
+        sizes = np.array([len(x) for x in documents], np.int64)
+        terms, _, _ = _term_counts(documents)
+        return Corpus(len(documents), sizes.sum() / max(1, len(documents)), np.bincount(terms, minlength=TERMS))
+
+
+def _term_counts(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct terms of each document but the end token, sorted by term: term, document, times."""
+    owner = np.repeat(np.arange(len(documents), dtype=np.int64), [len(x) for x in documents])
+    pairs, times = np.unique(np.concatenate(documents).astype(np.int64) << 32 | owner, return_counts=True)
+    content = pairs >> 32 != END
+    return pairs[content] >> 32, pairs[content] & 0xFFFFFFFF, times[content]
+
+
 class Index:
-    """BM25 over the token ids of one block."""
+    """BM25 over the token ids of one block, with the weights of the corpus."""
 
-    def __init__(self, ids: list[np.ndarray]):
+    def __init__(self, ids: list[np.ndarray], corpus: Corpus):
         sizes = np.array([len(x) for x in ids])
-        pairs = np.repeat(np.arange(len(ids), dtype=np.int64), sizes) | np.concatenate(ids).astype(np.int64) << 32
-        pairs, times = np.unique(pairs, return_counts=True)
-        self.docs, terms = pairs & 0xFFFFFFFF, pairs >> 32
-        self.begins = np.searchsorted(terms, np.arange((1 << 16) + 1))
+        terms, self.docs, times = _term_counts(ids)
+        self.begins = np.searchsorted(terms, np.arange(TERMS + 1))
         self.holding = np.diff(self.begins)
-        self.idf = np.log1p((len(ids) - self.holding + 0.5) / (self.holding + 0.5))
-        norm = K1 * (1 - B + B * sizes / sizes.mean())
-        self.weights = self.idf[terms] * times * (K1 + 1) / (times + norm[self.docs])
+        self.weights = corpus.weights(times, terms, sizes[self.docs]).astype(np.float32)
+        # a term that a quarter of the block holds has a row of weights, which adds up faster than a list
+        frequent = np.flatnonzero(self.holding > len(ids) // 4 + 1)
+        self.row = np.full(TERMS, -1, np.int64)
+        self.row[frequent] = np.arange(len(frequent))
+        self.rows = np.zeros((len(frequent), len(ids)), np.float32)
+        for k, t in enumerate(frequent):
+            self.rows[k, self.docs[self.begins[t] : self.begins[t + 1]]] = self.weights[self.begins[t] : self.begins[t + 1]]
         self.ids = ids
 
-    def neighbours(self, doc: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents that share the seed's rarest terms, best first, ties in order."""
+    def scores(self, doc: int) -> np.ndarray:
+        """What every document of the block gets for the terms of one."""
         terms = np.unique(self.ids[doc])
         terms = terms[self.holding[terms] > 1]
-        terms = terms[np.argsort(-self.idf[terms], kind="stable")[:QUERY_TERMS]]
-        if not len(terms):
-            return terms
-        places = np.concatenate([np.arange(self.begins[t], self.begins[t + 1]) for t in terms])
-        scores = np.bincount(self.docs[places], self.weights[places], len(self.ids))
+        row = self.row[terms]
+        out = self.rows[row[row >= 0]].sum(0, dtype=np.float64)
+        spans = [slice(a, b) for a, b in zip(self.begins[terms[row < 0]].tolist(), self.begins[terms[row < 0].astype(np.int64) + 1].tolist())]
+        if spans:
+            out += np.bincount(np.concatenate([self.docs[x] for x in spans]), np.concatenate([self.weights[x] for x in spans]), len(self.ids))
+        return out
+
+    def neighbours(self, doc: int, used: np.ndarray) -> Iterator[int]:
+        """All unused documents that share a term with the seed, best first, ties in order."""
+        scores = self.scores(doc)
         scores[used] = 0
         scores[doc] = 0
         found = np.flatnonzero(scores)
-        if len(found) > 64:  # a window seldom takes more; the others come back with the next seed
-            found = np.sort(found[np.argpartition(-scores[found], 64)[:64]])
-        return found[np.argsort(-scores[found], kind="stable")]
+        if len(found) > FIRST_ASKED:
+            bound = -np.partition(-scores[found], FIRST_ASKED - 1)[FIRST_ASKED - 1]
+            best = found[scores[found] >= bound]
+            yield from best[np.argsort(-scores[best], kind="stable")].tolist()
+            found = found[scores[found] < bound]
+        yield from found[np.argsort(-scores[found], kind="stable")].tolist()
 
 
 class Windows:
@@ -192,8 +246,8 @@ class Windows:
             self.done = []
 
 
-def _pack_block(docs: list, ids: list[np.ndarray], windows: Windows) -> None:
-    index = Index(ids)
+def _pack_block(docs: list, ids: list[np.ndarray], corpus: Corpus, windows: Windows) -> None:
+    index = Index(ids, corpus)
     used = np.zeros(len(ids), bool)
     seed, begun = None, 0
     unseen = 0
@@ -214,40 +268,121 @@ def _pack_block(docs: list, ids: list[np.ndarray], windows: Windows) -> None:
                 used[other] = True
                 place = windows.put(docs[other], ids[other], 0)
                 if place < len(ids[other]):
-                    left = (int(other), place)
+                    left = (other, place)
                 if not windows.fill:
                     break
         seed, begun = left if left else (None, 0)
 
 
-def _packer(path: str):
+_TOKENS = "doc_id long, ids binary, tokens long"
+
+
+def _tokenizer(path: str):
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _word_ids(path)
+        for batch in batches:
+            for first, texts in text_ranges(batch.column("text"), STEP_BYTES):
+                found = [x.tobytes() for x in words.encode(texts)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, len(texts)), pa.array(found, pa.binary()), pa.array([len(x) // 2 for x in found], pa.int64())], names=["doc_id", "ids", "tokens"])
+    return encode
+
+
+def _id_lists(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<u2") for x in batch.column("ids").to_pylist()]
+
+
+def _holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of a task that hold each term."""
+    counts = np.zeros(TERMS, np.int64)
+    for batch in batches:
+        for first, last in _ranges(lists := _id_lists(batch)):
+            counts += np.bincount(_term_counts(lists[first:last])[0], minlength=TERMS)
+    some = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(counts[some], pa.int64())], names=["term", "n"])
+
+
+def _ranges(lists: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Ranges of documents with a bounded number of tokens, one document at least."""
+    ends = np.cumsum([len(x) for x in lists])
+    first = 0
+    while first < len(lists):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + STEP_BYTES // 2, side="right")))
+        yield first, last
+        first = last
+
+
+def corpus_counts(tokens: DataFrame) -> Corpus:
+    """Frequencies of all terms over a table of token ids: one row a term, at most the vocabulary, reaches the driver."""
+    rows, total = tokens.agg(F.count(F.lit(1)), F.sum("tokens")).first()
+    holding = np.zeros(TERMS, np.int64)
+    for r in tokens.select("ids").mapInArrow(_holding, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        holding[r["term"]] = r["n"]
+    return Corpus(rows, (total or 0) / max(1, rows), holding)
+
+
+def _placer(corpus: Corpus):
+    """Adds the two terms of greatest weight in each document, of those that another document has; -1 where there is none."""
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = _id_lists(batch)
+            best = np.full((2, len(lists)), -1, np.int32)
+            for first, last in _ranges(lists):
+                sizes = np.array([len(x) for x in lists[first:last]])
+                terms, docs, times = _term_counts(lists[first:last])
+                shared = corpus.holding[terms] > 1
+                terms, docs, times = terms[shared], docs[shared], times[shared]
+                order = np.lexsort((terms, -corpus.weights(times, terms, sizes[docs]), docs))
+                docs, terms = docs[order], terms[order]
+                begin, end = (np.searchsorted(docs, np.arange(last - first), side=x) for x in ("left", "right"))
+                for k in range(2):
+                    some = np.flatnonzero(end - begin > k)
+                    best[k, first + some] = terms[begin[some] + k]
+            yield pa.RecordBatch.from_arrays([pa.array(best[0], pa.int32()), pa.array(best[1], pa.int32()), *batch.columns], names=["_first", "_second", *batch.schema.names])
+    return place
+
+
+def _packer(corpus: Corpus):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, windows = _word_ids(path), Windows(TaskContext.get().partitionId())
+        windows = Windows(TaskContext.get().partitionId())
         docs, ids, size = [], [], 0
         for batch in batches:
-            names, texts = batch.column("doc_id").to_pylist(), binary_texts(batch.column("text"))
-            for name, found in zip(names, words.encode(texts)):
+            for name, found in zip(batch.column("doc_id").to_pylist(), _id_lists(batch)):
                 docs.append(name)
                 ids.append(found)
                 size += len(found)
                 if size >= BLOCK_TOKENS:
-                    _pack_block(docs, ids, windows)
+                    _pack_block(docs, ids, corpus, windows)
                     yield from windows.batches()
                     docs, ids, size = [], [], 0
         if ids:
-            _pack_block(docs, ids, windows)
+            _pack_block(docs, ids, corpus, windows)
         windows.finish()
         yield from windows.batches()
     return pack
 
 
+def token_table(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """``doc_id``, ``ids`` (little-endian 16-bit, with the end token) and ``tokens`` of every row, written once."""
+    docs = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
+    return kept_table(docs.mapInArrow(_tokenizer(tokenizer), _TOKENS))
+
+
+def by_content(tokens: DataFrame, corpus: Corpus, shards: int) -> DataFrame:
+    """The rows in ``shards`` sorted ranges of their two best terms; rows of equal terms may lie in several."""
+    placed = tokens.mapInArrow(_placer(corpus), f"_first int, _second int, {_TOKENS}")
+    placed = placed.withColumns({"_spread": F.xxhash64("doc_id"), "_at": F.monotonically_increasing_id()})
+    order = ["_first", "_second", "_spread", "_at"]
+    return placed.repartitionByRange(shards, *order).sortWithinPartitions(*order)
+
+
 def pack(docs: DataFrame, tokenizer: str, shards: int | None = None) -> DataFrame:
     """Pieces of all documents: which ids of which document stand where in which sequence.
 
-    ``tokenizer`` is the path of a vocabulary file on every worker. The partitions of
-    ``docs`` are the shards; with ``shards`` the rows are spread anew, evenly, over so many.
+    ``tokenizer`` is the path of a vocabulary file on every worker. A shard holds about one
+    block of tokens unless a number of ``shards`` is given.
     """
-    docs = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
-    if shards:
-        docs = docs.repartition(shards)
-    return docs.mapInArrow(_packer(tokenizer), PIECES)
+    tokens = token_table(docs, tokenizer)
+    corpus = corpus_counts(tokens)
+    shards = shards or shards_for(int(corpus.mean * corpus.rows), BLOCK_TOKENS)
+    return by_content(tokens, corpus, shards).select("doc_id", "ids").mapInArrow(_packer(corpus), PIECES)

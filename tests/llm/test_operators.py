@@ -46,26 +46,63 @@ def test_packing_is_whole_and_full(docs, texts):
         assert at == found[0].sequence_length and (at == 4096 or at & (at - 1) == 0)
 
 
-def test_neighbours_are_the_best_by_bm25():
+def test_neighbours_are_all_in_the_order_of_bm25():
+    """Weights of the corpus, all terms of the seed, every unused document that shares one."""
     rng = np.random.default_rng(3)
-    ids = [rng.integers(10, 60, rng.integers(5, 40)).astype("<u2") for _ in range(80)]
-    index, used = retrieval_packing.Index(ids), np.zeros(80, bool)
+    corpus = [rng.integers(10, 90, rng.integers(5, 40)).astype("<u2") for _ in range(300)]
+    ids = corpus[:200]  # the block
+    index, used = retrieval_packing.Index(ids, retrieval_packing.Corpus.of(corpus)), np.zeros(200, bool)
     used[5:15] = True
-    mean = np.mean([len(x) for x in ids])
-    holding = Counter(t for x in ids for t in set(x.tolist()))
+    mean = np.mean([len(x) for x in corpus])
+    holding = Counter(t for x in corpus for t in set(x.tolist()))
 
     def score(seed, other):
-        terms = sorted((t for t in set(seed.tolist()) if holding[t] > 1), key=lambda t: (-math.log1p((80 - holding[t] + .5) / (holding[t] + .5)), t))
         times, total = Counter(other.tolist()), 0.0
-        for t in terms[: retrieval_packing.QUERY_TERMS]:
-            if times[t]:
-                norm = 1.2 * (0.25 + 0.75 * len(other) / mean)
-                total += math.log1p((80 - holding[t] + .5) / (holding[t] + .5)) * times[t] * 2.2 / (times[t] + norm)
+        for t in set(seed.tolist()):
+            norm = 1.2 * (0.25 + 0.75 * len(other) / mean)
+            total += math.log1p((300 - holding[t] + .5) / (holding[t] + .5)) * times[t] * 2.2 / (times[t] + norm)
         return total
-    got = index.neighbours(0, used)
-    want = [score(ids[0], ids[j]) for j in got]
-    assert want == sorted(want, reverse=True) and not set(got) & {0, *range(5, 15)}
-    assert math.isclose(want[0], max(score(ids[0], ids[j]) for j in range(80) if j and not used[j]))
+    for seed in (0, 7):
+        got = list(index.neighbours(seed, used))
+        want = [score(ids[seed], ids[j]) for j in got]
+        assert len(got) > retrieval_packing.FIRST_ASKED and all(x > y - 1e-5 for x, y in zip(want, want[1:]))
+        assert sorted(got) == [j for j in range(200) if j != seed and not used[j] and score(ids[seed], ids[j]) > 0]
+
+
+def test_a_seed_is_asked_until_its_window_is_full():
+    """Two hundred short neighbours fill the seed's window before anything else is taken."""
+    ids = [np.array([100, 2], "<u2")] + [np.array([200 + k % 7, 2], "<u2") for k in range(300)] + [np.array([100, 300 + k, 2], "<u2") for k in range(200)]
+    windows = retrieval_packing.Windows(0)
+    retrieval_packing._pack_block(list(range(len(ids))), ids, retrieval_packing.Corpus.of(ids), windows)
+    order = [doc for doc, *_ in windows.open]
+    assert set(order[:201]) == {0, *range(301, 501)} and sorted(order) == list(range(501))
+
+
+def test_documents_meet_across_partitions(spark, monkeypatch):
+    """Topics strewn over many partitions come together, one that half of the rows hold fills several shards, and no row is lost."""
+    monkeypatch.setattr(retrieval_packing, "BLOCK_TOKENS", 1 << 13)
+    rng = np.random.default_rng(4)
+    topics = [[f"{t}{k}" for k in range(40)] for t in ("alpha", "beta", "gamma", "delta", "omega")]
+    of = [0 if i % 2 else 1 + i // 2 % 4 for i in range(400)]
+    rows = [(i, " ".join(rng.choice(topics[of[i]], 60).tolist())) for i in range(400)] + [(1000, None), (1001, ""), (None, "of"), (None, "of")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(13)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokens = retrieval_packing.token_table(df, path)
+    corpus = retrieval_packing.corpus_counts(tokens)
+    lists = [np.frombuffer(r.ids, "<u2") for r in tokens.collect()]
+    want = retrieval_packing.Corpus.of(lists)
+    assert corpus.rows == want.rows and math.isclose(corpus.mean, want.mean) and (corpus.holding == want.holding).all()
+    placed = retrieval_packing.by_content(tokens, corpus, 8).withColumn("shard", F.spark_partition_id()).collect()
+    sizes = Counter(r.shard for r in placed)
+    assert len(placed) == 404 and max(sizes.values()) < 200 and len(sizes) > 5
+    pieces = retrieval_packing.pack(df, path).collect()
+    assert sum(r.length for r in pieces) == sum(map(len, lists))
+    together = defaultdict(Counter)
+    for r in pieces:
+        if r.doc_id is not None and r.doc_id < 400:
+            together[r.sequence_id][of[r.doc_id]] += r.length
+    own = sum(max(c.values()) for c in together.values()) / sum(sum(c.values()) for c in together.values())
+    assert own > 0.8
 
 
 def test_similar_documents_share_a_sequence(spark):
