@@ -1,10 +1,10 @@
 """Packing of documents into training sequences, neighbours by lexical retrieval side by side.
 
 Texts become token ids once, in a written table. Document frequencies and the mean length are
-those of the whole corpus; they fill one table over the vocabulary. Documents are sorted by the
-two terms that say most about them, of the terms another document has too, so that documents
-about the same things meet in a shard however far apart they came; a frequent term is spread
-over as many shards as its documents fill.
+those of the whole corpus; they fill one table over the vocabulary. Documents go to shards by the
+term that says most about them, of the terms another document has too, and are sorted by it and
+the second one there, so that documents about the same things meet however far apart they came.
+A frequent term is salted: it goes to as many shards as the documents that hold it fill.
 
 A shard is read in blocks of a bounded number of tokens; a block gets a BM25 inverted index
 over token ids. The first unused document seeds a window, and its best unused neighbours by all
@@ -33,12 +33,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import binary_texts, crc, kept_table, passes, prefix_hashes, shards_for, span_hashes, text_ranges, word_spans
+from tallyhouse.llm.common import binary_texts, crc, kept_table, mix, passes, prefix_hashes, shards_for, span_hashes, text_ranges, word_spans
 
 WINDOW = 4096
 END = 2
 TERMS = 1 << 16  # ids of a vocabulary
-STEP_BYTES = 1 << 20  # text, or ids, that one numpy step looks at; a longer document has a step of its own
+STEP_BYTES = 1 << 21  # text, or ids, that one numpy step looks at; a longer document has a step of its own
 BLOCK_TOKENS = 1 << 21  # tokens in one index
 FIRST_ASKED = 64  # neighbours that are put in order first; the others follow when the window still has room
 K1, B = 1.2, 0.75
@@ -293,6 +293,7 @@ def _id_lists(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 def _holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of a task that hold each term."""
+    _word_ids.cache_clear()  # this worker may have tokenised before; its words are not needed any more
     counts = np.zeros(TERMS, np.int64)
     for batch in batches:
         for first, last in _ranges(lists := _id_lists(batch)):
@@ -324,6 +325,9 @@ def corpus_counts(tokens: DataFrame) -> Corpus:
 def _placer(corpus: Corpus):
     """Adds the two terms of greatest weight in each document, of those that another document has; -1 where there is none."""
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _word_ids.cache_clear()
+        pieces = np.append(np.ceil(corpus.holding * corpus.mean / BLOCK_TOKENS).astype(np.int64), 0)  # blocks of each term; a document without one may go anywhere
+        pieces[-1] = corpus.rows
         for batch in batches:
             lists = _id_lists(batch)
             best = np.full((2, len(lists)), -1, np.int32)
@@ -338,12 +342,14 @@ def _placer(corpus: Corpus):
                 for k in range(2):
                     some = np.flatnonzero(end - begin > k)
                     best[k, first + some] = terms[begin[some] + k]
-            yield pa.RecordBatch.from_arrays([pa.array(best[0], pa.int32()), pa.array(best[1], pa.int32()), *batch.columns], names=["_first", "_second", *batch.schema.names])
+            salt = mix(batch.column("_at").to_numpy().astype(np.uint64)).astype(np.int64) >> 1
+            yield pa.RecordBatch.from_arrays([pa.array(best[0], pa.int32()), pa.array(best[1], pa.int32()), pa.array(salt % pieces[best[0]], pa.int64()), *batch.columns], names=["_first", "_second", "_salt", *batch.schema.names])
     return place
 
 
 def _packer(corpus: Corpus):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _word_ids.cache_clear()
         windows = Windows(TaskContext.get().partitionId())
         docs, ids, size = [], [], 0
         for batch in batches:
@@ -369,11 +375,10 @@ def token_table(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def by_content(tokens: DataFrame, corpus: Corpus, shards: int) -> DataFrame:
-    """The rows in ``shards`` sorted ranges of their two best terms; rows of equal terms may lie in several."""
-    placed = tokens.mapInArrow(_placer(corpus), f"_first int, _second int, {_TOKENS}")
-    placed = placed.withColumns({"_spread": F.xxhash64("doc_id"), "_at": F.monotonically_increasing_id()})
-    order = ["_first", "_second", "_spread", "_at"]
-    return placed.repartitionByRange(shards, *order).sortWithinPartitions(*order)
+    """The rows in ``shards`` partitions by their best term and its salt, in the order of their two best terms."""
+    numbered = tokens.withColumn("_at", F.monotonically_increasing_id())  # of a written table: the same whenever it is read
+    placed = numbered.mapInArrow(_placer(corpus), f"_first int, _second int, _salt long, {_TOKENS}, _at long")
+    return placed.repartition(shards, "_first", "_salt").sortWithinPartitions("_first", "_salt", "_second", "_at")
 
 
 def pack(docs: DataFrame, tokenizer: str, shards: int | None = None) -> DataFrame:
