@@ -84,13 +84,13 @@ class WordIds:
         return [np.array(e.ids, "<u2").tobytes() for e in self.full.encode_batch_fast(words, add_special_tokens=False)]
 
     def learn(self, hashes: list[int], words: list[str]) -> None:
-        letters = [w.isalpha() for w in words]
-        ascii_ = [w.isascii() for w in words]
-        for wanted, encode in (((True, True), lambda x: self._together(self.plain, x)), ((True, False), lambda x: self._together(self.full, x)), ((False, None), self._apart)):
-            some = [i for i in range(len(words)) if letters[i] == wanted[0] and wanted[1] in (None, ascii_[i])]
+        kinds = [[], [], []]  # lower-case ASCII letters, other letters, all else
+        for pair in zip(hashes, words):
+            kinds[(0 if pair[1].isascii() else 1) if pair[1].isalpha() else 2].append(pair)
+        for some, encode in zip(kinds, (lambda x: self._together(self.plain, x), lambda x: self._together(self.full, x), self._apart)):
             for k in range(0, len(some), 512):
-                part = some[k : k + 512]
-                self.known.update(zip([hashes[i] for i in part], encode([words[i] for i in part])))
+                names, part = zip(*some[k : k + 512])
+                self.known.update(zip(names, encode(list(part))))
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each text with the end token."""
@@ -112,10 +112,11 @@ class WordIds:
             self.known.clear()
             new = range(len(names))
         block = data.tobytes()
-        self.learn([names[k] for k in new], [block[starts[at[k]] : ends[at[k]]].decode() for k in new])
-        found = [self.known[h] for h in names]
+        begin, end = starts[at].tolist(), ends[at].tolist()
+        self.learn([names[k] for k in new], [block[begin[k] : end[k]].decode() for k in new])
+        found = list(map(self.known.__getitem__, names))
         flat = np.frombuffer(b"".join(found), "<u2")
-        sizes = np.array([len(f) for f in found], np.int64) >> 1
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 1
         begins = np.cumsum(sizes) - sizes
         count = sizes[which]
         stops = np.cumsum(count)
@@ -173,8 +174,8 @@ class Index:
         self.begins = np.searchsorted(terms, np.arange(TERMS + 1))
         self.holding = np.diff(self.begins)
         self.weights = corpus.weights(times, terms, sizes[self.docs]).astype(np.float32)
-        # a term that a quarter of the block holds has a row of weights, which adds up faster than a list
-        frequent = np.flatnonzero(self.holding > len(ids) // 4 + 1)
+        # a term that an eighth of the block holds has a row of weights, which adds up faster than a list
+        frequent = np.flatnonzero(self.holding > len(ids) // 8 + 1)
         self.row = np.full(TERMS, -1, np.int64)
         self.row[frequent] = np.arange(len(frequent))
         self.rows = np.zeros((len(frequent), len(ids)), np.float32)
@@ -184,13 +185,17 @@ class Index:
 
     def scores(self, doc: int) -> np.ndarray:
         """What every document of the block gets for the terms of one."""
-        terms = np.unique(self.ids[doc])
+        terms = np.sort(self.ids[doc]).astype(np.int64)
+        terms = terms[np.append(terms[1:] != terms[:-1], True)]
         terms = terms[self.holding[terms] > 1]
         row = self.row[terms]
-        out = self.rows[row[row >= 0]].sum(0, dtype=np.float64)
-        spans = [slice(a, b) for a, b in zip(self.begins[terms[row < 0]].tolist(), self.begins[terms[row < 0].astype(np.int64) + 1].tolist())]
-        if spans:
-            out += np.bincount(np.concatenate([self.docs[x] for x in spans]), np.concatenate([self.weights[x] for x in spans]), len(self.ids))
+        out = self.rows[row[row >= 0]].sum(0)
+        rare = terms[row < 0]
+        if len(rare):
+            begin, count = self.begins[rare], self.holding[rare]
+            stop = np.cumsum(count)
+            places = np.arange(stop[-1]) + np.repeat(begin - stop + count, count)
+            out = out + np.bincount(self.docs[places], self.weights[places], len(self.ids))
         return out
 
     def neighbours(self, doc: int, used: np.ndarray) -> Iterator[int]:
