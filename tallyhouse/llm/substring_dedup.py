@@ -17,7 +17,10 @@ anchor, so a text falls into segments of about 140 bytes.
 
 Equal segments of some megabytes of text are combined before the first shuffle: one record goes
 on, the other places are settled on the spot, so a passage in a third of all documents sends
-one record for so much text. The different surroundings of one 24-byte anchor meet in one suffix-array task.
+one record for so much text. Where the
+different surroundings of one 24-byte anchor exceed the size of a suffix array, as around a passage
+that many documents share, their windows are told apart one by one, by anchor and a 64-bit hash:
+each batch settles what it has twice and sends the earliest of each to the shard of its hash.
 
 Defined results: null text counts as empty; texts under 100 bytes lose nothing; documents
 with equal ids are ordered by text and treated as separate documents, a null id comes first;
@@ -178,37 +181,86 @@ def _places(texts: list[bytes], rows: np.ndarray, shards: int) -> list[tuple]:
     return out
 
 
-_SETTLED = "row long, spans binary, asked binary, asked_anchors binary, asked_bytes long"
+_SETTLED = "row long, spans binary, asked binary, asked_anchors binary, asked_hot binary, asked_bytes long"
 
 
-def _settled(key, table):
-    """Removed spans of a shard, and the segments whose text must be looked at."""
-    columns = {c: table.column(c).to_pylist() for c in table.column_names}
-    out = [(r, s, None, None, 0) for r, s in zip(columns["row"], columns["spans"]) if r is not None]
-    anchor, digest, left, right, row, start, count = (_joined(columns[c], k) for c, k in (("anchors", np.uint32), ("digests", np.uint64), ("lefts", np.uint32), ("rights", np.uint32), ("owners", np.int64), ("starts", np.uint32), ("counts", np.uint8)))
-    start, count = start.astype(np.int64), count.astype(np.int64)
-    first, later = _earliest_of_each(anchor, digest, row, start)
-    mixed = _repeated(anchor[first], left[first]) | _repeated(anchor[first], right[first])
-    out += [(r, _merged(s).tobytes(), None, None, 0) for r, s in _by_row(row[later], _spans(start[later], count[later]))]
-    asked = first[mixed]
-    spans = _spans(start[asked], count[asked])
-    for r, at in _by_row(row[asked], np.arange(len(asked))):
-        out.append((r, None, spans[at].tobytes(), anchor[asked[at]].tobytes(), int((spans[at, 1] - spans[at, 0]).sum())))
-    return pa.Table.from_batches([_batch_of(_SETTLED, out)])
+def _settler(hot_bytes: int):
+    """``hot_bytes``: an anchor with more bytes to look at is hot."""
+    def settled(key, table):
+        """Removed spans of a shard, and the segments whose text must be looked at."""
+        columns = {c: table.column(c).to_pylist() for c in table.column_names}
+        out = [(r, s, None, None, None, 0) for r, s in zip(columns["row"], columns["spans"]) if r is not None]
+        anchor, digest, left, right, row, start, count = (_joined(columns[c], k) for c, k in (("anchors", np.uint32), ("digests", np.uint64), ("lefts", np.uint32), ("rights", np.uint32), ("owners", np.int64), ("starts", np.uint32), ("counts", np.uint8)))
+        start, count = start.astype(np.int64), count.astype(np.int64)
+        first, later = _earliest_of_each(anchor, digest, row, start)
+        mixed = _repeated(anchor[first], left[first]) | _repeated(anchor[first], right[first])
+        out += [(r, _merged(s).tobytes(), None, None, None, 0) for r, s in _by_row(row[later], _spans(start[later], count[later]))]
+        asked = first[mixed]
+        spans = _spans(start[asked], count[asked])
+        _, which = np.unique(anchor[asked], return_inverse=True)
+        hot = (np.bincount(which, spans[:, 1] - spans[:, 0]) > hot_bytes)[which] if len(asked) else np.zeros(0, bool)
+        for r, at in _by_row(row[asked], np.arange(len(asked))):
+            out.append((r, None, spans[at].tobytes(), anchor[asked[at]].tobytes(), hot[at].tobytes(), int((spans[at, 1] - spans[at, 0]).sum())))
+        return pa.Table.from_batches([_batch_of(_SETTLED, out)])
+    return settled
+
+
+_TEXTS = "shard int, bytes binary, sizes binary, owners binary, starts binary, anchors binary, hashes binary, rows binary, places binary, done_rows binary, done_places binary"
 
 
-_TEXTS = "shard int, bytes binary, sizes binary, owners binary, starts binary"
+def _window_hashes(pieces: list[bytes], row: np.ndarray, start: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Anchor, hash, row and place of every window of segments."""
+    out = []
+    for first, last in passes(pieces, STEP_BYTES):
+        sizes = np.array([len(x) for x in pieces[first:last]])
+        sums = prefix_hashes(np.frombuffer(b"".join(pieces[first:last]), np.uint8))
+        begins, counts = np.cumsum(sizes) - sizes, sizes - LENGTH + 1
+        inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = inner + np.repeat(begins, counts)
+        spread = [np.repeat(x[first:last], counts) for x in (anchor, row, start)]
+        out.append((spread[0], span_hashes(sums, at, at + LENGTH), spread[1], spread[2] + inner))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _later_windows(anchor: np.ndarray, digest: np.ndarray, row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the earliest window of each kind, and of the others."""
+    by = np.lexsort((place, row, digest, anchor))
+    later = np.zeros(len(by), bool)
+    later[1:] = (anchor[by[1:]] == anchor[by[:-1]]) & (digest[by[1:]] == digest[by[:-1]])
+    return by[~later], by[later]
+
+
+def _hot_messages(hot: list[tuple[bytes, int, int, int]], shards: int) -> list[tuple]:
+    """Windows of segments of hot anchors: the earliest of each kind by the shard of its hash, the others as settled."""
+    anchor, digest, row, place = _window_hashes([h[0] for h in hot], *(np.array(x, k) for x, k in zip(list(zip(*hot))[1:], (np.int64, np.int64, np.uint32))))
+    first, later = _later_windows(anchor, digest, row, place)
+    out = []
+    for shard, f in _by_row((digest[first] >> np.uint64(20)).astype(np.int64) % shards, first):
+        out.append((int(shard), None, None, None, None, anchor[f].tobytes(), digest[f].tobytes(), row[f].tobytes(), place[f].tobytes(), None, None))
+    for shard, f in _by_row(row[later] % shards, later):
+        out.append((int(shard), *[None] * 8, row[f].tobytes(), place[f].tobytes()))
+    return out
 
 
 def _text_messages(shards: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = defaultdict(lambda: ([], [], [], []))
-            for row, text, spans, anchors in zip(batch.column("_row").to_pylist(), _unpacked(batch), batch.column("asked").to_pylist(), batch.column("asked_anchors").to_pylist()):
-                for (a, b), h in zip(_joined(spans, np.int64).reshape(-1, 2).tolist(), _joined(anchors, np.uint32).tolist()):
-                    for part, x in zip(found[h % shards], (text[a:b], b - a, row, a)):
-                        part.append(x)
-            yield _batch_of(_TEXTS, [(s, b"".join(data), np.array(sizes, np.uint32).tobytes(), np.array(rows, np.int64).tobytes(), np.array(starts, np.int64).tobytes()) for s, (data, sizes, rows, starts) in found.items()])
+            hot, size = [], 0
+            for row, text, spans, anchors, heat in zip(batch.column("_row").to_pylist(), _unpacked(batch), *(batch.column(c).to_pylist() for c in ("asked", "asked_anchors", "asked_hot"))):
+                for (a, b), h, many in zip(_joined(spans, np.int64).reshape(-1, 2).tolist(), _joined(anchors, np.uint32).tolist(), _joined(heat, np.bool_).tolist()):
+                    if many:
+                        hot.append((text[a:b], row, a, h))
+                        size += b - a
+                    else:
+                        for part, x in zip(found[h % shards], (text[a:b], b - a, row, a)):
+                            part.append(x)
+                if size > ARRAY_BYTES:
+                    yield _batch_of(_TEXTS, _hot_messages(hot, shards))
+                    hot, size = [], 0
+            if hot:
+                yield _batch_of(_TEXTS, _hot_messages(hot, shards))
+            yield _batch_of(_TEXTS, [(s, b"".join(data), np.array(sizes, np.uint32).tobytes(), np.array(rows, np.int64).tobytes(), np.array(starts, np.int64).tobytes(), *[None] * 6) for s, (data, sizes, rows, starts) in found.items()])
     return send
 
 
@@ -257,13 +309,20 @@ def _merged(spans: np.ndarray) -> np.ndarray:
 def _repeated_spans(key, table):
     """Removed spans of a suffix-array shard, by row."""
     columns = {c: table.column(c).to_pylist() for c in table.column_names}
-    contents, out = [], []
+    contents = []
     for data, sizes in zip(columns["bytes"], columns["sizes"]):
+        if sizes is None:
+            continue
         ends = np.cumsum(np.frombuffer(sizes, np.uint32)).tolist()
         contents += [data[a:b] for a, b in zip([0, *ends], ends)]
+    rows, places = _joined(columns["done_rows"], np.int64), _joined(columns["done_places"], np.int64)
+    windows = [_joined(columns[c], k) for c, k in (("anchors", np.uint32), ("hashes", np.uint64), ("rows", np.int64), ("places", np.int64))]
+    _, later = _later_windows(*windows)
+    rows, places = np.append(rows, windows[2][later]), np.append(places, windows[3][later])
     if contents:
-        rows, places = repeated_windows(contents, _joined(columns["owners"], np.int64), _joined(columns["starts"], np.int64))
-        out = [(row, _merged(np.stack([found, found + LENGTH], 1)).tobytes()) for row, found in _by_row(rows, places)]
+        more = repeated_windows(contents, _joined(columns["owners"], np.int64), _joined(columns["starts"], np.int64))
+        rows, places = np.append(rows, more[0]), np.append(places, more[1])
+    out = [(row, _merged(np.stack([found, found + LENGTH], 1)).tobytes()) for row, found in _by_row(rows, places)] if len(rows) else []
     return pa.Table.from_batches([_batch_of("row long, spans binary", out)])
 
 
@@ -271,8 +330,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """``_row`` and ``spans`` (list of packed byte ranges) of keyed documents that lose bytes."""
     shards = shards_for(text_bytes(docs), SHARD_BYTES)
     sent = docs.select("_row", "text").mapInArrow(_place_messages(shards), _PLACES)
-    settled = kept_table(sent.groupBy("shard").applyInArrow(_settled, _SETTLED))
-    asked = settled.where("asked is not null").groupBy(F.col("row").alias("_row")).agg(F.collect_list("asked").alias("asked"), F.collect_list("asked_anchors").alias("asked_anchors"))
+    settled = kept_table(sent.groupBy("shard").applyInArrow(_settler(ARRAY_BYTES), _SETTLED))
+    asked = settled.where("asked is not null").groupBy(F.col("row").alias("_row")).agg(F.collect_list("asked").alias("asked"), F.collect_list("asked_anchors").alias("asked_anchors"), F.collect_list("asked_hot").alias("asked_hot"))
     shards = shards_for(settled.agg(F.sum("asked_bytes")).first()[0] or 0, ARRAY_BYTES)
     packed = docs.select("_row", "text").mapInArrow(_packed, "_row long, packed binary")
     texts = packed.join(asked, "_row").mapInArrow(_text_messages(shards), _TEXTS)

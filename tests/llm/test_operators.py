@@ -569,6 +569,51 @@ def test_probabilities_add_up():
         assert abs(10 ** trie.scores(np.full(12, a), np.full(12, b), every) @ np.ones(12) - 1) < 0.05
 
 
+def test_hot_anchors_are_settled_by_windows(spark, monkeypatch):
+    """One passage in a third of the documents, among different and among nearly equal surroundings, near copies and exact copies."""
+    monkeypatch.setattr(substring_dedup, "ARRAY_BYTES", 5000)
+    monkeypatch.setattr(substring_dedup, "SHARD_BYTES", 20000)
+    rng = np.random.default_rng(12)
+    word = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), rng.integers(2, 8))) for _ in range(n))
+    passage, copy, ends = word(40), word(60).split(), [word(12) for _ in range(4)]
+    rows = []
+    for i in range(240):
+        if i % 3 == 0:
+            text = f"{word(int(rng.integers(1, 30)))} {passage} {ends[i % 4] if i % 2 else word(15)}"
+        elif i % 3 == 1:
+            text = " ".join("other" if k == i % 60 else w for k, w in enumerate(copy))
+        else:
+            text = word(50) if i % 2 else " ".join(copy) * 2
+        rows.append((i, text))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = substring_dedup._settler
+    hot = []
+    monkeypatch.setattr(substring_dedup, "_settler", lambda n: hot.append(n) or asked(n))
+    got = {r.doc_id: r for r in substring_dedup.removal_report(df).collect()}
+    assert hot == [5000]
+    seen = set()
+    for i, text in rows:
+        data = text.encode()
+        gone = np.zeros(len(data), bool)
+        for k in range(len(data) - 99):
+            window = data[k : k + 100]
+            if window in seen:
+                gone[k : k + 100] = True
+            seen.add(window)
+        left = bytes(np.frombuffer(data, np.uint8)[~gone])
+        assert (got[i].n_bytes, got[i].n_removed, got[i].kept_sha256) == (len(data), int(gone.sum()), hashlib.sha256(left).hexdigest())
+
+
+def test_windows_of_a_hot_anchor_go_to_the_shards_of_their_hashes():
+    """Equal windows of a batch are settled there, the earliest of each kind is sent on; places are those of the document."""
+    text = bytes(np.random.default_rng(2).integers(97, 123, 130).astype(np.uint8))
+    sent = substring_dedup._hot_messages([(text, 5, 1000, 77), (text, 3, 0, 77), (text, 4, 7, 78)], 4)
+    first = [(r, p) for m in sent if m[5] for r, p in zip(np.frombuffer(m[7], np.int64).tolist(), np.frombuffer(m[8], np.int64).tolist())]
+    later = [(r, p) for m in sent if m[9] for r, p in zip(np.frombuffer(m[9], np.int64).tolist(), np.frombuffer(m[10], np.int64).tolist())]
+    assert sorted(first) == [(3, k) for k in range(31)] + [(4, 7 + k) for k in range(31)]
+    assert sorted(later) == [(5, 1000 + k) for k in range(31)] and len({m[0] for m in sent if m[5]}) > 1
+
+
 def test_segments_of_long_texts_hold_every_window_once(monkeypatch, texts):
     """A text that is taken in parts has the same windows, each in one segment, around the same anchors."""
     prose = [t.encode() for t in texts.values()][:12]
