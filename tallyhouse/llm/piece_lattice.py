@@ -21,6 +21,7 @@ import heapq
 import re
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -263,6 +264,25 @@ class Lattice:
             lists = heapq.nsmallest(count, [(d + top - s, c + [(u, part)] if k else c) for d, c in lists for k, (s, part) in enumerate(options)], key=lambda x: x[0])
         return ids, [score - d for d, _ in lists], [c for _, c in lists]
 
+    def cut_otherwise(self, numbers: list[int], ids: bytes, changes: list[list[tuple[int, tuple[int, ...]]]]) -> Iterator[tuple[bytes, bool]]:
+        """Ids of each segmentation that :meth:`n_best` lists, and whether what it cuts in another way still is the same text.
+
+        ``ids`` are those of the best one, which the others share but for the changed units.
+        """
+        parts = list(map(self.ids.__getitem__, numbers))
+        ends = list(accumulate(map(len, parts)))
+        for change in changes:
+            same, now, at = True, [], 0
+            for u, part in sorted(change):
+                other = np.array(part, "<u2").tobytes()
+                same = same and self.spelt(other) == self.spelt(parts[u])
+                now += [ids[at : ends[u] - len(parts[u])], other]
+                at = ends[u]
+            yield b"".join([*now, ids[at:]]), same
+
+    def spelt(self, ids: bytes) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u2").tolist()))
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of a segmentation: pieces side by side without the first blank."""
         sizes = self.piece_sizes[ids]
@@ -277,7 +297,7 @@ def lattice(path: str) -> Lattice:
     return Lattice(path)
 
 
-_ROWS = "doc_id long, n_pieces long, ids_crc32 long, scores array<double>, round_trip boolean"
+_ROWS = "doc_id long, n_pieces long, ids_crc32 long, scores array<double>, round_trip boolean, all_n_pieces array<bigint>, all_ids_crc32 array<bigint>"
 
 
 def _learned(model: Lattice, texts: list[bytes]) -> Iterator[tuple[bytes, list[str]]]:
@@ -294,15 +314,21 @@ def _encoder(path: str, count: int):
         for batch in batches:
             rows = []
             for text, units in _learned(model, binary_texts(batch.column("text"))):
-                ids, scores, _ = model.n_best(units, count)
-                rows.append((len(ids), crc(ids.astype("<u4").tobytes()), scores, model.decode(ids) == text))
-            sizes, sums, scores, same = zip(*rows) if rows else ([],) * 4
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()), pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_())], names=[c.split()[0] for c in _ROWS.split(", ")])
+                ids, scores, changes = model.n_best(units, count)
+                found = [(np.frombuffer(x, "<u2"), same) for x, same in model.cut_otherwise(model.numbers(units), ids.tobytes(), changes)]
+                sums = [crc(x.astype("<u4").tobytes()) for x, _ in found]
+                rows.append((len(ids), sums[0], scores, all(same for _, same in found) and model.decode(ids) == text, [len(x) for x, _ in found], sums))
+            sizes, sums, scores, same, every, all_sums = zip(*rows) if rows else ([],) * 6
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()), pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_()), pa.array(every, longs), pa.array(all_sums, longs)], names=[c.split()[0] for c in _ROWS.split(", ")])
     return encode
 
 
 def encoded(docs: DataFrame, model: str, count: int = BEST) -> DataFrame:
-    """Digest of the best segmentation of every text, and the scores of the best ``count``."""
+    """Digest of the best segmentation of every text, and the scores, sizes and digests of the best ``count``.
+
+    ``round_trip``: every one of those spells the text.
+    """
     return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(_encoder(model, count), _ROWS)
 
 

@@ -167,6 +167,20 @@ def test_every_segmentation_decodes_to_its_text(docs, texts):
         assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == digests[r.doc_id].ids_crc32 and r.score == digests[r.doc_id].scores[0]
 
 
+def test_digests_cover_every_segmentation(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    some = spark.createDataFrame([(1, "unbelievable hats, and\nmore hats \u20ac\U0001f600"), (2, None), (3, "a")], "doc_id long, text string")
+    ranked = {}
+    for r in piece_lattice.segmented(some, path).orderBy("doc_id", "rank").collect():
+        ranked.setdefault(r.doc_id, []).append(list(r.ids))
+    for r in piece_lattice.encoded(some, path).collect():
+        want = [zlib.crc32(np.array(ids, "<u4").tobytes()) for ids in ranked[r.doc_id]]
+        assert list(r.all_ids_crc32) == want and list(r.all_n_pieces) == [len(ids) for ids in ranked[r.doc_id]]
+        assert len(want) == len(r.scores) and r.ids_crc32 == want[0] and r.round_trip
+    assert len(ranked[1]) == piece_lattice.BEST and len(set(map(tuple, ranked[1]))) == piece_lattice.BEST
+
+
+
 # -- 3 quality ----------------------------------------------------------------------------
 
 def test_quality_equals_brute_force(docs, texts):
