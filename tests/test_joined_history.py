@@ -169,6 +169,16 @@ def test_numbers_stay_and_bitmaps_merge(local):
     assert got == {g: len({n for h, d, n in rows if h == g and d < 3}) for g in "xy"}
 
 
+def test_bitmaps_of_few_keys_are_small_and_not_sorted(local, plan):
+    rows = [("x", 1), ("x", 64), ("x", 63), ("x", 5_000_000), ("y", 63), ("y", 63)]
+    pieces = bitmaps.bitmaps(local(rows, "g string, number long"), ["g"])
+    assert sorted((r.g, r.piece) for r in pieces.collect()) == [("x", 0), ("x", 1), ("x", 78125), ("y", 0)]
+    assert all(isinstance(r.bits, int) for r in pieces.collect())
+    got = bitmaps.distinct_of(pieces, ["g"], "n")
+    assert {r.g: r.n for r in got.collect()} == {"x": 4, "y": 1}
+    assert "SortAggregate" not in plan(got) and "ObjectHashAggregate" not in plan(got)
+
+
 def test_distinct_counts_read_no_fact(spark, plan):
     d = Data(spark, SF)
     text = plan(customers.unique_customers(d.gold("customer_days"), d.gold("dim_date"), ["channel_id"], F.col("year_number") == 1996))

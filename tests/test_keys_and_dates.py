@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import calendar as cal
-from tallyhouse.functions.keys import date_key, micros_text, versioned_key
+from tallyhouse.functions.keys import date_key, grouped, micros_text, packed, unpacked, versioned_key
 
 
 def sha(text):
@@ -21,6 +21,16 @@ def test_versioned_key(spark, local):
                    sha("A2024-01-02 03:04:05.250000"), sha("")]
 
 
+def test_keys_travel_as_half_their_bytes_and_come_back(local):
+    texts = [sha("a"), sha("b").upper(), "", None, "p1", "é", sha("a")[:-1] + "\n", "0" * 63, "g" * 64, "\0" * 32, "x" * 32, "1" * 128]
+    df = local([(i, t) for i, t in enumerate(texts)], "i long, a_key string")
+    back = df.select("i", packed("a_key").alias("p")).select("i", F.length("p").alias("n"), unpacked("p").alias("t")).collect()
+    assert [r.t for r in sorted(back)] == texts
+    assert [r.i for r in back if r.n == 32] == [0]
+    rows = grouped(df.unionByName(df), ["a_key"], F.count(F.lit(1)).alias("n")).collect()
+    assert {(r.a_key, r.n) for r in rows} == {(t, 2) for t in texts}
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 def test_time_text_ignores_the_session_zone(spark, local, zone):
     # 02:30 does not exist in New York on that night

@@ -51,6 +51,15 @@ def test_shuffles_fit_the_input_for_one_write(spark, tmp_path):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
+def test_tasks_of_a_build_read_little(spark, tmp_path):
+    path, names = str(tmp_path / "t"), runtime.TASK_SIZES
+    spark.range(100).write.parquet(path)
+    before = [spark.conf.get(n) for n in names]
+    with runtime.fitted_shuffles(spark, spark.read.parquet(path)):
+        assert all(int(spark.conf.get(n)) <= runtime.TASK_BYTES for n in names)
+    assert [spark.conf.get(n) for n in names] == before
+
+
 def test_unknown_sizes_may_be_large(spark):
     assert runtime.may_be_skewed(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "n long"))
     assert not runtime.may_be_skewed(spark.range(10))
