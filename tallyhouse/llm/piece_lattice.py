@@ -247,12 +247,12 @@ class Lattice:
         """Numbers of learned units."""
         return list(map(self.units.__getitem__, units))
 
-    def n_best(self, units: list[str], count: int = BEST) -> tuple[np.ndarray, list[float], list[list[tuple[int, tuple[int, ...]]]]]:
+    def n_best(self, units: list[str], count: int = BEST, numbers: list[int] | None = None) -> tuple[np.ndarray, list[float], list[list[tuple[int, tuple[int, ...]]]]]:
         """Ids of the best segmentation, the scores of the best ``count``, and their differences from the best.
 
         A difference names the units (by place in the text) that are cut in another way, with their ids.
         """
-        numbers = self.numbers(units)
+        numbers = self.numbers(units) if numbers is None else numbers
         ids = np.frombuffer(b"".join(map(self.ids.__getitem__, numbers)), "<u2")
         score = float(sum(map(self.best.__getitem__, numbers)))
         gaps = np.fromiter(map(self.gap.__getitem__, numbers), np.float64, len(numbers))
@@ -267,18 +267,18 @@ class Lattice:
     def cut_otherwise(self, numbers: list[int], ids: bytes, changes: list[list[tuple[int, tuple[int, ...]]]]) -> Iterator[tuple[bytes, bool]]:
         """Ids of each segmentation that :meth:`n_best` lists, and whether what it cuts in another way still is the same text.
 
-        ``ids`` are those of the best one, which the others share but for the changed units.
+        ``ids``, four bytes each, are those of the best one, which the others share but for the changed units.
         """
-        parts = list(map(self.ids.__getitem__, numbers))
+        last = max((u for change in changes for u, _ in change), default=-1)
+        parts = list(map(self.ids.__getitem__, numbers[: last + 1]))
         ends = list(accumulate(map(len, parts)))
         for change in changes:
             same, now, at = True, [], 0
             for u, part in sorted(change):
-                other = np.array(part, "<u2").tobytes()
-                same = same and self.spelt(other) == self.spelt(parts[u])
-                now += [ids[at : ends[u] - len(parts[u])], other]
-                at = ends[u]
-            yield b"".join([*now, ids[at:]]), same
+                same = same and b"".join(map(self.bytes.__getitem__, part)) == self.spelt(parts[u])
+                now += [ids[at : 2 * (ends[u] - len(parts[u]))], np.array(part, "<u4").tobytes()]
+                at = 2 * ends[u]
+            yield b"".join([*now, ids[at:]]) if now else ids, same
 
     def spelt(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u2").tolist()))
@@ -314,10 +314,11 @@ def _encoder(path: str, count: int):
         for batch in batches:
             rows = []
             for text, units in _learned(model, binary_texts(batch.column("text"))):
-                ids, scores, changes = model.n_best(units, count)
-                found = [(np.frombuffer(x, "<u2"), same) for x, same in model.cut_otherwise(model.numbers(units), ids.tobytes(), changes)]
-                sums = [crc(x.astype("<u4").tobytes()) for x, _ in found]
-                rows.append((len(ids), sums[0], scores, all(same for _, same in found) and model.decode(ids) == text, [len(x) for x, _ in found], sums))
+                numbers = model.numbers(units)
+                ids, scores, changes = model.n_best(units, count, numbers)
+                found = list(model.cut_otherwise(numbers, ids.astype("<u4").tobytes(), changes))
+                sums = [crc(x) for x, _ in found]
+                rows.append((len(ids), sums[0], scores, all(same for _, same in found) and model.decode(ids) == text, [len(x) // 4 for x, _ in found], sums))
             sizes, sums, scores, same, every, all_sums = zip(*rows) if rows else ([],) * 6
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()), pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_()), pa.array(every, longs), pa.array(all_sums, longs)], names=[c.split()[0] for c in _ROWS.split(", ")])
