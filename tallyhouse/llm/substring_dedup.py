@@ -184,24 +184,35 @@ def _places(texts: list[bytes], rows: np.ndarray, shards: int) -> list[tuple]:
 _SETTLED = "row long, spans binary, asked binary, asked_anchors binary, asked_hot binary, asked_bytes long"
 
 
+def _cells(values: np.ndarray) -> pa.Array:
+    """The bytes of each row of an array."""
+    values = np.ascontiguousarray(values)
+    width = values.itemsize * (values.shape[1] if values.ndim > 1 else 1)
+    offsets = np.arange(len(values) + 1, dtype=np.int32) * width
+    return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())])
+
+
 def _settler(hot_bytes: int):
     """``hot_bytes``: an anchor with more bytes to look at is hot."""
     def settled(key, table):
         """Removed spans of a shard, and the segments whose text must be looked at."""
         columns = {c: table.column(c).to_pylist() for c in table.column_names}
-        out = [(r, s, None, None, None, 0) for r, s in zip(columns["row"], columns["spans"]) if r is not None]
+        sent = [(r, s, None, None, None, 0) for r, s in zip(columns["row"], columns["spans"]) if r is not None]
         anchor, digest, left, right, row, start, count = (_joined(columns[c], k) for c, k in (("anchors", np.uint32), ("digests", np.uint64), ("lefts", np.uint32), ("rights", np.uint32), ("owners", np.int64), ("starts", np.uint32), ("counts", np.uint8)))
         start, count = start.astype(np.int64), count.astype(np.int64)
         first, later = _earliest_of_each(anchor, digest, row, start)
         mixed = _repeated(anchor[first], left[first]) | _repeated(anchor[first], right[first])
-        out += [(r, _merged(s).tobytes(), None, None, None, 0) for r, s in _by_row(row[later], _spans(start[later], count[later]))]
         asked = first[mixed]
         spans = _spans(start[asked], count[asked])
+        sizes = spans[:, 1] - spans[:, 0]
         _, which = np.unique(anchor[asked], return_inverse=True)
-        hot = (np.bincount(which, spans[:, 1] - spans[:, 0]) > hot_bytes)[which] if len(asked) else np.zeros(0, bool)
-        for r, at in _by_row(row[asked], np.arange(len(asked))):
-            out.append((r, None, spans[at].tobytes(), anchor[asked[at]].tobytes(), hot[at].tobytes(), int((spans[at, 1] - spans[at, 0]).sum())))
-        return pa.Table.from_batches([_batch_of(_SETTLED, out)])
+        hot = (np.bincount(which, sizes) > hot_bytes)[which] if len(asked) else np.zeros(0, bool)
+        # a row for each segment: put together by document, their number would grow with the shards
+        none, n = lambda k: pa.nulls(k, pa.binary()), len(later)
+        removed = [pa.array(row[later], pa.int64()), _cells(_spans(start[later], count[later])), none(n), none(n), none(n), pa.array(np.zeros(n, np.int64))]
+        open_ = [pa.array(row[asked], pa.int64()), none(len(asked)), _cells(spans), _cells(anchor[asked]), _cells(hot), pa.array(sizes, pa.int64())]
+        names = [f.split()[0] for f in _SETTLED.split(", ")]
+        return pa.Table.from_batches([_batch_of(_SETTLED, sent), *(pa.RecordBatch.from_arrays(c, names=names) for c in (removed, open_))])
     return settled
 
 

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -618,6 +619,28 @@ def test_hot_anchors_are_settled_by_windows(spark, monkeypatch):
         assert (got[i].n_bytes, got[i].n_removed, got[i].kept_sha256) == (len(data), int(gone.sum()), hashlib.sha256(left).hexdigest())
 
 
+def test_settled_rows_do_not_grow_with_the_shards():
+    """More documents mean more shards; what a document's segments come to must not depend on that."""
+    rng = np.random.default_rng(5)
+    passages = [bytes(rng.integers(97, 123, 900).astype(np.uint8)) for _ in range(3)]
+    batches = [[bytes(rng.integers(97, 123, 300).astype(np.uint8)) + passages[(i + b) % 3] for i in range(4)] for b in range(3)]
+
+    def settled(shards):
+        sent = [m for b, texts in enumerate(batches) for m in substring_dedup._places(texts, np.arange(4) + 4 * b, shards)]
+        out, removed = [], {}
+        for shard in range(shards):
+            batch = substring_dedup._batch_of(substring_dedup._PLACES, [m for m in sent if m[0] == shard])
+            out += substring_dedup._settler(1 << 20)(None, pa.Table.from_batches([batch])).to_pylist()
+        for r in out:
+            if r["spans"]:
+                removed.setdefault(r["row"], []).append(np.frombuffer(r["spans"], np.int64).reshape(-1, 2))
+        asked = sorted((r["row"], r["asked"], r["asked_anchors"], r["asked_hot"], r["asked_bytes"]) for r in out if r["asked"])
+        return len(out) - sum(m[1] is not None for m in sent), {r: substring_dedup._merged(np.concatenate(x)).tolist() for r, x in removed.items()}, asked
+
+    few, many = settled(1), settled(40)
+    assert few == many and few[0] > 0 and few[1]
+
+
 def test_windows_of_a_hot_anchor_go_to_the_shards_of_their_hashes():
     """Equal windows of a batch are settled there, the earliest of each kind is sent on; places are those of the document."""
     text = bytes(np.random.default_rng(2).integers(97, 123, 130).astype(np.uint8))
