@@ -21,7 +21,7 @@ import heapq
 import re
 from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import accumulate
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -79,14 +79,35 @@ class Lattice:
         self.hashes, self.hash_ids = hashes[order], np.array([self.id[p] for p in names], np.int32)[order]
         self.seen = np.zeros(1 << 20, bool)  # tells most strings that are no pieces apart
         self.seen[self.hashes >> np.uint64(44)] = True
+        # where the hashes with some first bits begin, and how many share those at most
+        self.first = np.minimum(np.searchsorted(self.hashes >> np.uint64(44), np.arange(1 << 20, dtype=np.uint64)), len(self.hashes) - 1)
+        self.deep = int(np.unique(self.hashes >> np.uint64(44), return_counts=True)[1].max())
         # a stop behind a letter begins a unit of its own if no piece holds the two side by side
         stops = "".join(c for c in ".,;:!?" if not any(_LETTER.match(x) and y == c for p in self.id for x, y in zip(p, p[1:])))
-        self.cut = re.compile(f"({_LETTER.pattern})(?=[{re.escape(stops)}])") if stops else None
+        # (told from the stop backwards, as the few stops are found faster than the many letters)
+        self.cut = re.compile(f"([{re.escape(stops)}])(?<={_LETTER.pattern}[{re.escape(stops)}])") if stops else None
         self.units: dict[str, int] = {}
         self.ids: list[bytes] = []
         self.best: list[float] = []
         self.gap: list[float] = []
         self.found: dict[str, list] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """No units in the arrays, which hold the same as the lists for many units at once."""
+        self.all_ids, self.all_sizes, self.all_begins = np.zeros(0, "<u2"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.all_best, self.all_gaps = np.zeros(0), np.zeros(0)
+
+    def _gathered(self) -> None:
+        """Units solved since the last call, added to the arrays."""
+        known = len(self.all_sizes)
+        if known == len(self.ids):
+            return
+        new = self.ids[known:]
+        self.all_sizes = np.append(self.all_sizes, np.fromiter(map(len, new), np.int64, len(new)) // 2)
+        self.all_begins = np.cumsum(self.all_sizes) - self.all_sizes
+        self.all_ids = np.append(self.all_ids, np.frombuffer(b"".join(new), "<u2"))
+        self.all_best, self.all_gaps = np.append(self.all_best, self.best[known:]), np.append(self.all_gaps, self.gap[known:])
 
     def edges(self, unit: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
         """For every place the pieces that end there: begin, score, ids."""
@@ -125,11 +146,12 @@ class Lattice:
 
     def learn(self, units: Iterable[str]) -> None:
         """Solve the units that are not known, most of them together."""
-        new = [u for u in units if u not in self.units]
+        new = [u for u in units if u not in self.units] if self.units else list(units)
         if len(self.units) + len(new) > CACHED_UNITS:
             self.units.clear()
             self.found.clear()
             self.ids, self.best, self.gap = [], [], []
+            self._forget()
             new = list(units)
         plain = [u for u in new if len(u) <= TOGETHER and self.single.issuperset(u)]
         for i in range(0, len(plain), 1 << 15):
@@ -137,6 +159,7 @@ class Lattice:
         for u in new:
             if u not in self.units:
                 self.solve(u)
+        self._gathered()
 
     def _solve_together(self, units: list[str]) -> None:
         """The same as :meth:`solve` for many units, place by place in all of them at once.
@@ -155,8 +178,12 @@ class Lattice:
             hashed = _span(sums, at, at + k)
             maybe = self.seen[hashed >> np.uint64(44)]
             at, hashed = at[maybe], hashed[maybe]
-            place = np.minimum(np.searchsorted(self.hashes, hashed), len(self.hashes) - 1)
+            place = self.first[hashed >> np.uint64(44)]
             real = self.hashes[place] == hashed
+            for _ in range(self.deep - 1):
+                off = np.flatnonzero(~real)
+                place[off] = np.minimum(place[off] + 1, len(self.hashes) - 1)
+                real[off] = self.hashes[place[off]] == hashed[off]
             pieces[k, at[real]] = self.hash_ids[place[real]]
         nodes = begins + np.arange(len(units))  # a unit has one node more than characters
         best, second, step = (np.full(len(chars) + len(units), x) for x in (-np.inf, -np.inf, 0))
@@ -241,21 +268,32 @@ class Lattice:
         text = MARK + text.replace(" ", MARK)
         if self.cut is None or "\0" in text:
             return _WHOLE_UNIT.findall(text)
-        return _UNIT.findall(self.cut.sub("\\1\0", text))
-
-    def numbers(self, units: list[str]) -> list[int]:
-        """Numbers of learned units."""
-        return list(map(self.units.__getitem__, units))
+        return _UNIT.findall(self.cut.sub("\0\\1", text))
+
+    def numbers(self, units: list[str]) -> np.ndarray:
+        """Numbers of units, which are learned if they are not known."""
+        out = np.fromiter(map(self.units.get, units, repeat(-1)), np.int64, len(units))
+        new = np.flatnonzero(out < 0).tolist()
+        if new:
+            missing = {units[i] for i in new}
+            if len(self.units) + len(missing) > CACHED_UNITS:  # others are forgotten, so all are learned
+                self.learn(set(units))
+                return np.fromiter(map(self.units.__getitem__, units), np.int64, len(units))
+            self.learn(missing)
+            out[new] = [self.units[units[i]] for i in new]
+        return out
 
-    def n_best(self, units: list[str], count: int = BEST, numbers: list[int] | None = None) -> tuple[np.ndarray, list[float], list[list[tuple[int, tuple[int, ...]]]]]:
+    def n_best(self, units: list[str], count: int = BEST, numbers: np.ndarray | None = None) -> tuple[np.ndarray, list[float], list[list[tuple[int, tuple[int, ...]]]]]:
         """Ids of the best segmentation, the scores of the best ``count``, and their differences from the best.
 
         A difference names the units (by place in the text) that are cut in another way, with their ids.
         """
         numbers = self.numbers(units) if numbers is None else numbers
-        ids = np.frombuffer(b"".join(map(self.ids.__getitem__, numbers)), "<u2")
-        score = float(sum(map(self.best.__getitem__, numbers)))
-        gaps = np.fromiter(map(self.gap.__getitem__, numbers), np.float64, len(numbers))
+        sizes = self.all_sizes[numbers]
+        ends = np.cumsum(sizes)
+        ids = self.all_ids[np.arange(sizes.sum()) + np.repeat(self.all_begins[numbers] + sizes - ends, sizes)]
+        score = float(sum(self.all_best[numbers].tolist()))
+        gaps = self.all_gaps[numbers]
         open_ = np.lexsort((np.arange(len(gaps)), gaps))[: count - 1] if len(gaps) <= 64 else np.argpartition(gaps, count - 1)[: count - 1]
         lists = [(0.0, [])]
         for u in sorted(int(k) for k in open_ if np.isfinite(gaps[k])):
@@ -264,20 +302,20 @@ class Lattice:
             lists = heapq.nsmallest(count, [(d + top - s, c + [(u, part)] if k else c) for d, c in lists for k, (s, part) in enumerate(options)], key=lambda x: x[0])
         return ids, [score - d for d, _ in lists], [c for _, c in lists]
 
-    def cut_otherwise(self, numbers: list[int], ids: bytes, changes: list[list[tuple[int, tuple[int, ...]]]]) -> Iterator[tuple[bytes, bool]]:
+    def cut_otherwise(self, numbers: np.ndarray, ids: bytes, changes: list[list[tuple[int, tuple[int, ...]]]]) -> Iterator[tuple[bytes, bool]]:
         """Ids of each segmentation that :meth:`n_best` lists, and whether what it cuts in another way still is the same text.
 
         ``ids``, four bytes each, are those of the best one, which the others share but for the changed units.
         """
         last = max((u for change in changes for u, _ in change), default=-1)
-        parts = list(map(self.ids.__getitem__, numbers[: last + 1]))
-        ends = list(accumulate(map(len, parts)))
+        ends = np.cumsum(self.all_sizes[numbers[: last + 1]])
         for change in changes:
             same, now, at = True, [], 0
             for u, part in sorted(change):
-                same = same and b"".join(map(self.bytes.__getitem__, part)) == self.spelt(parts[u])
-                now += [ids[at : 2 * (ends[u] - len(parts[u]))], np.array(part, "<u4").tobytes()]
-                at = 2 * ends[u]
+                best, end = self.ids[numbers[u]], 4 * int(ends[u])
+                same = same and b"".join(map(self.bytes.__getitem__, part)) == self.spelt(best)
+                now += [ids[at : end - 2 * len(best)], np.array(part, "<u4").tobytes()]
+                at = end
             yield b"".join([*now, ids[at:]]) if now else ids, same
 
     def spelt(self, ids: bytes) -> bytes:
@@ -300,12 +338,13 @@ def lattice(path: str) -> Lattice:
 _ROWS = "doc_id long, n_pieces long, ids_crc32 long, scores array<double>, round_trip boolean, all_n_pieces array<bigint>, all_ids_crc32 array<bigint>"
 
 
-def _learned(model: Lattice, texts: list[bytes]) -> Iterator[tuple[bytes, list[str]]]:
-    """Texts with their units, which the model has learned by then."""
+def _learned(model: Lattice, texts: list[bytes]) -> Iterator[tuple[bytes, list[str], np.ndarray]]:
+    """Texts with their units and the numbers of those, which the model has learned by then."""
     for first, last in passes(texts):
         units = [model.split(t.decode()) for t in texts[first:last]]
-        model.learn(set().union(*units))
-        yield from zip(texts[first:last], units)
+        numbers = model.numbers(list(chain.from_iterable(units)))
+        cuts = np.cumsum([len(u) for u in units])
+        yield from zip(texts[first:last], units, np.split(numbers, cuts[:-1]))
 
 
 def _encoder(path: str, count: int):
@@ -313,8 +352,7 @@ def _encoder(path: str, count: int):
         model = lattice(path)
         for batch in batches:
             rows = []
-            for text, units in _learned(model, binary_texts(batch.column("text"))):
-                numbers = model.numbers(units)
+            for text, units, numbers in _learned(model, binary_texts(batch.column("text"))):
                 ids, scores, changes = model.n_best(units, count, numbers)
                 found = list(model.cut_otherwise(numbers, ids.astype("<u4").tobytes(), changes))
                 sums = [crc(x) for x, _ in found]
@@ -338,9 +376,8 @@ def segmented(docs: DataFrame, model: str, count: int = BEST) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_ = lattice(model)
         for batch in batches:
-            for name, (_, units) in zip(batch.column("doc_id").to_pylist(), _learned(model_, binary_texts(batch.column("text")))):
-                _, scores, changes = model_.n_best(units, count)
-                numbers = model_.numbers(units)
+            for name, (_, units, numbers) in zip(batch.column("doc_id").to_pylist(), _learned(model_, binary_texts(batch.column("text")))):
+                _, scores, changes = model_.n_best(units, count, numbers)
                 found = []
                 for change in changes:
                     parts = [np.frombuffer(model_.ids[n], "<u2").tolist() for n in numbers]

@@ -157,6 +157,25 @@ def test_units_solved_together_equal_single_ones(texts):
         assert listed[0][0] == one.best[a] and [s for s, _ in listed] == sorted((s for s, _ in listed), reverse=True)
 
 
+def test_numbers_of_a_pass_are_looked_up_once(monkeypatch, texts):
+    """Known units are not learned again; where the bound makes the model forget, all units of the pass are known after it."""
+    model = piece_lattice.Lattice(public_tokenizers.path("piece_bpe_32k.model"))
+    learned = []
+    learn = model.learn
+    monkeypatch.setattr(model, "learn", lambda units: learned.append(set(units)) or learn(units))
+    some = [t.encode() for t in list(texts.values())[:6]]
+    first = [(u, n.tolist(), model.n_best(u, 4, n)) for _, u, n in piece_lattice._learned(model, some)]
+    again = [(u, n.tolist(), model.n_best(u, 4, n)) for _, u, n in piece_lattice._learned(model, some)]
+    assert len(learned) == 1 and [x[1] for x in first] == [x[1] for x in again]
+    monkeypatch.setattr(piece_lattice, "CACHED_UNITS", len(model.units))
+    more = [t.encode() for t in list(texts.values())[4:9]]
+    for text, units, numbers in piece_lattice._learned(model, more):
+        ids, scores, _ = model.n_best(units, 4, numbers)
+        assert model.decode(ids) == text and numbers.tolist() == [model.units[u] for u in units]
+        assert ids.tobytes() == b"".join(model.ids[n] for n in numbers) and scores[0] == float(sum(model.best[n] for n in numbers))
+    assert len(model.all_sizes) == len(model.ids) < len(learned[0]) + len(learned[1])
+
+
 def test_every_segmentation_decodes_to_its_text(docs, texts):
     path = public_tokenizers.path("piece_bpe_32k.model")
     some = docs.where("doc_id < 30")
