@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from checks import spark_queries
 from checks.spark_queries import Data
+from tallyhouse.operators import integrity
 from tallyhouse.plans import facts, summaries
 
 SF = "/root/testdata/sf0.001"
@@ -61,3 +62,14 @@ def test_facts_without_broadcasts(spark, house, monkeypatch):
 def test_current_versions_are_filtered_before_the_join(spark, plan):
     df = facts.current(spark.createDataFrame([("a", True)], "k string, is_current boolean"))
     assert "Filter" in plan(df)
+
+
+def test_checks_of_keys_send_bytes_not_text(spark, plan):
+    """Hash keys cross the shuffles of key checks as 32 bytes; other text in such a column stays what it was."""
+    texts = ["0a" * 32, "0A" * 32, "zz", "", None, "0a" * 32]
+    child = spark.createDataFrame([(t,) for t in texts], "a_key string")
+    parent = spark.createDataFrame([("zz",), (None,)], "a_key string")
+    lost, broken = integrity.orphans(child, parent, "a_key", "a_key"), integrity.key_violations(child, ["a_key"])
+    assert {tuple(r) for r in lost.collect()} == {("0a" * 32, 2), ("0A" * 32, 1), ("", 1)}
+    assert tuple(broken.first()) == (1, 1, 1)
+    assert "unhex" in plan(lost) and "unhex" in plan(broken)
