@@ -25,6 +25,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -44,10 +45,10 @@ FIRST_ASKED = 64  # neighbours that are put in order first; the others follow wh
 K1, B = 1.2, 0.75
 CACHED_WORDS = 1 << 20
 
-_STOP = np.zeros(256, bool)
-_STOP[[44, 46]] = True
-_ASCII_LETTER = np.zeros(256, bool)
-_ASCII_LETTER[97:123] = True
+# of ASCII: 1 for a lower-case letter, 2 for punctuation
+_KIND = np.zeros(256, np.uint8)
+_KIND[97:123] = 1
+_KIND[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 2
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long"
 
@@ -57,7 +58,8 @@ class WordIds:
 
     The tokenizer lower-cases, drops white space and never merges across it, nor across the
     border of letters and punctuation, so the ids of a text are those of its words in order.
-    Words are told apart by a 64-bit hash, and kept up to a bound, then forgotten.
+    Words are told apart by a 64-bit hash. Their ids lie in one array, found by a table of
+    hashes with linear probing; they are kept up to a bound, then forgotten.
     """
 
     def __init__(self, path: str):
@@ -66,31 +68,86 @@ class WordIds:
 
         self.full, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.plain.normalizer = None  # for lower-case ASCII, which normalisation leaves as it is
+        vocabulary = self.full.get_vocab()
         if self.full.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary need more than 16 bits")
-        self.known: dict[int, bytes] = {}
+        suffix = getattr(self.full.model, "end_of_word_suffix", None)
+        self.last = np.zeros(1 << 16, bool)  # ids that end a word, where the vocabulary tells
+        if suffix:
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self._forget(0)
+
+    def _forget(self, words: int) -> None:
+        """An empty table with room for ``words``, and for the usual bound at least."""
+        self.room = max(words, CACHED_WORDS)
+        slots = 1 << (2 * self.room).bit_length()
+        self.names, self.entry = np.zeros(slots, np.uint64), np.zeros(slots, np.int32)
+        self.begins, self.flat = np.zeros(1, np.int64), np.zeros(0, "<u2")
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(65 - len(self.names).bit_length())).astype(np.int64)
+
+    def _entries(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of words in the table, -1 where a word is not known."""
+        slot = self._slots(hashes)
+        name = self.names[slot]
+        out = np.where(name == hashes, self.entry[slot], -1)
+        other = np.flatnonzero((name != hashes) & (name != 0))
+        while len(other):
+            slot[other] = (slot[other] + 1) % len(self.names)
+            name = self.names[slot[other]]
+            same = name == hashes[other]
+            out[other[same]] = self.entry[slot[other[same]]]
+            other = other[~same & (name != 0)]
+        return out
 
-    def _together(self, tokenizer, words: list[str]) -> list[bytes]:
+    def _add(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Learn distinct words that are not known."""
+        ids, sizes = self._ids(words)
+        known = len(self.begins) - 1
+        self.begins = np.append(self.begins, self.begins[-1] + np.cumsum(sizes))
+        self.flat = np.append(self.flat, ids)
+        left, slot = np.arange(len(hashes)), self._slots(hashes)
+        while len(left):
+            free = self.names[slot] == 0
+            self.names[slot[free]] = hashes[left[free]]  # of words that want one slot, one gets it
+            got = self.names[slot] == hashes[left]
+            self.entry[slot[got]] = known + left[got]
+            left, slot = left[~got], (slot[~got] + 1) % len(self.names)
+
+    def _together(self, tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of letters only: as one text, of which each is a word to the tokenizer."""
-        found = tokenizer.encode(" ".join(words), add_special_tokens=False)
-        of = np.array(found.word_ids)
-        if len(of) == 0 or of[-1] + 1 != len(words):  # a letter that is more than a letter in lower case
+        text = " ".join(words)
+        if self.last.any():
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
+            stops = np.flatnonzero(self.last[ids]) + 1
+        else:
+            found = tokenizer.encode(text, add_special_tokens=False)
+            ids, of = np.array(found.ids, "<u2"), np.array(found.word_ids)
+            stops = np.flatnonzero(np.append(of[1:] != of[:-1], True)) + 1
+        if len(stops) != len(words):  # a letter that is more than a letter in lower case
             return self._apart(words)
-        ids = np.array(found.ids, "<u2").tobytes()
-        cuts = (2 * np.searchsorted(of, np.arange(len(words) + 1))).tolist()
-        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+        return ids, np.diff(stops, prepend=0)
 
-    def _apart(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u2").tobytes() for e in self.full.encode_batch_fast(words, add_special_tokens=False)]
+    def _apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.full.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array(list(chain.from_iterable(found)), "<u2"), np.array([len(x) for x in found])
 
-    def learn(self, hashes: list[int], words: list[str]) -> None:
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after the other, and how many each has."""
         kinds = [[], [], []]  # lower-case ASCII letters, other letters, all else
-        for pair in zip(hashes, words):
-            kinds[(0 if pair[1].isascii() else 1) if pair[1].isalpha() else 2].append(pair)
+        for k, word in enumerate(words):
+            kinds[(0 if word.isascii() else 1) if word.isalpha() else 2].append(k)
+        ids, sizes = [np.zeros(0, "<u2")], [np.zeros(0, np.int64)]
         for some, encode in zip(kinds, (lambda x: self._together(self.plain, x), lambda x: self._together(self.full, x), self._apart)):
             for k in range(0, len(some), 512):
-                names, part = zip(*some[k : k + 512])
-                self.known.update(zip(names, encode(list(part))))
+                found, count = encode([words[i] for i in some[k : k + 512]])
+                ids.append(found)
+                sizes.append(count)
+        ids, sizes = np.concatenate(ids), np.concatenate(sizes)
+        order = np.argsort(np.concatenate(kinds).astype(np.int64))
+        begins = (np.cumsum(sizes) - sizes)[order]
+        return _gathered(ids, begins, sizes[order]), sizes[order]
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each text with the end token."""
@@ -99,35 +156,43 @@ class WordIds:
 
     def _encode_pass(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         data, starts, ends, owner = word_spans(texts)
-        # a full stop or comma behind a letter is a word of its own
-        cut = (ends - starts > 1) & _STOP[data[ends - 1]] & _ASCII_LETTER[data[np.maximum(ends - 2, 0)]]
-        twice = 1 + cut
-        second = np.cumsum(twice)[cut] - 1
-        starts, ends, owner, stops = np.repeat(starts, twice), np.repeat(ends, twice), np.repeat(owner, twice), ends[cut]
-        starts[second], ends[second - 1] = stops - 1, stops - 1
-        hashes, at, which = np.unique(span_hashes(prefix_hashes(data), starts, ends), return_index=True, return_inverse=True)
-        names = hashes.tolist()
-        new = [k for k, h in enumerate(names) if h not in self.known]
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = range(len(names))
-        block = data.tobytes()
-        begin, end = starts[at].tolist(), ends[at].tolist()
-        self.learn([names[k] for k in new], [block[begin[k] : end[k]].decode() for k in new])
-        found = list(map(self.known.__getitem__, names))
-        flat = np.frombuffer(b"".join(found), "<u2")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 1
-        begins = np.cumsum(sizes) - sizes
-        count = sizes[which]
-        stops = np.cumsum(count)
-        ids = flat[np.arange(count.sum()) - np.repeat(stops - count - begins[which], count)]
-        borders = np.append(0, stops)[np.searchsorted(owner, np.arange(len(texts) + 1))]
+        starts, ends, owner = _cut_words(data, starts, ends, owner)
+        hashes = np.maximum(span_hashes(prefix_hashes(data), starts, ends), np.uint64(1))  # 0 is a free slot
+        which = self._entries(hashes)
+        new = np.flatnonzero(which < 0)
+        if len(new):
+            names, at = np.unique(hashes[new], return_index=True)
+            if len(self.begins) - 1 + len(names) > self.room:
+                new = np.arange(len(hashes))
+                names, at = np.unique(hashes, return_index=True)
+                self._forget(len(names))
+            at = new[at]
+            block = data.tobytes()
+            self._add(names, [block[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            which[new] = self._entries(hashes[new])
+        count = self.begins[which + 1] - self.begins[which]
+        ids = _gathered(self.flat, self.begins[which], count)
+        borders = np.append(0, np.cumsum(count))[np.searchsorted(owner, np.arange(len(texts) + 1))]
         for text, a, b in zip(texts, borders, borders[1:]):
             # a special token must be seen as it was written, before any change of case
             whole = self.full.encode(text.decode(), add_special_tokens=False).ids if b"<|" in text else ids[a:b]
             yield np.append(whole, END).astype("<u2")
 
 
+def _gathered(values: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Runs of ``counts`` values from ``begins`` on, one after the other."""
+    stops = np.cumsum(counts)
+    return values[np.arange(counts.sum()) + np.repeat(begins - stops + counts, counts)]
+
+
+def _cut_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words cut where ASCII letters and punctuation meet, but not behind an apostrophe, which may belong to what follows."""
+    kind = _KIND[data]
+    cuts = np.flatnonzero((kind[1:] | kind[:-1] == 3) & (data[:-1] != 39)) + 1
+    into = np.searchsorted(starts, cuts, side="right")
+    return np.insert(starts, into, cuts), np.insert(ends, into - 1, cuts), np.insert(owner, into, owner[into - 1])
+
+
 @cache
 def _word_ids(path: str) -> WordIds:
     """One for each Python worker, which runs many tasks."""

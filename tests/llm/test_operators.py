@@ -119,6 +119,29 @@ def test_similar_documents_share_a_sequence(spark):
     assert own > 0.6 * sum(n for found in together.values() for _, n in found)
 
 
+def test_words_are_asked_for_once_without_their_punctuation(monkeypatch):
+    """What is glued to a word makes no new word for the tokenizer, and the ids stay its own, also where words are forgotten."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain, asked = Tokenizer.from_file(path), []
+    ask = retrieval_packing.WordIds._ids
+    monkeypatch.setattr(retrieval_packing.WordIds, "_ids", lambda self, words: asked.extend(words) or ask(self, words))
+    ends = ["", ".", ",", "!", "?", ";", ":", "!!", "$$$", "###", "%%%", ")", "&&&"]
+    text = " ".join(f"{w}{e} ({w}{e}" for w in ("retire", "onthblees", "aire") for e in ends)
+    assert next(retrieval_packing.WordIds(path).encode([text.encode()])).tolist() == [*plain.encode(text, add_special_tokens=False).ids, 2]
+    assert len(asked) == len(set(asked)) <= 3 + len(ends)
+    rng = np.random.default_rng(4)
+    letters = list("aabstremdlv''''..,!-_$#<>|(/@019 \n\t\x85\xa0éüßıΣς…»«—日🙂²½ﬁ")
+    texts = ["".join(rng.choice(letters, rng.integers(0, 60))) for _ in range(500)]
+    want = [[*plain.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    for bound in (1 << 20, 40):
+        monkeypatch.setattr(retrieval_packing, "CACHED_WORDS", bound)
+        words = retrieval_packing.WordIds(path)
+        for some in range(0, 500, 50):
+            assert [x.tolist() for x in words.encode([t.encode() for t in texts[some : some + 50]])] == want[some : some + 50]
+
+
 # -- 2 pieces -----------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
