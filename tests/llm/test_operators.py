@@ -614,6 +614,34 @@ def test_scores_equal_brute_force(docs, texts, monkeypatch, resolution):
         assert math.isclose(r.score, want, abs_tol=0.03 * len(ws) + 0.5)  # probabilities are kept in eight bits
 
 
+def test_rare_ngrams_are_kept_in_a_large_corpus(spark):
+    """Words, pairs and triples that occur once, beside more than a million other tokens."""
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(f"f{k}" for k in rng.integers(0, 1000, 6000))) for i in range(200)] + [(i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(200, 230)]
+    got = {r.doc_id: r for r in lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    learned = [got[i] for i in range(200, 230) if not got[i].held_out]
+    assert len(learned) > 20 and learned[0].train_tokens > 1 << 20
+    for r in learned:  # behind the first, every token is the only one seen after its two words: (1 - 0.5) / 1
+        assert abs(r.score - 40 * math.log10(0.5) - math.log10(0.5 / sum(not x.held_out for x in got.values()))) < 1
+
+
+@pytest.mark.parametrize("hot", [1 << 22, 150, 10])
+def test_scores_do_not_depend_on_the_shards(docs, monkeypatch, hot):
+    """One trie, and tries of parts of the words, with words and the start dealt to several shards."""
+    docs = docs.limit(60).repartition(5, "doc_id").cache()
+    whole = {r.doc_id: r for r in lm_scoring.score(docs).collect()}
+    monkeypatch.setattr(lm_scoring, "SHARD_TOKENS", 3000)
+    monkeypatch.setattr(lm_scoring, "HOT_TOKENS", hot)
+    monkeypatch.setattr(lm_scoring, "GROUP_TOKENS", 700)
+    parts = {r.doc_id: r for r in lm_scoring.score(docs).collect()}
+    assert whole.keys() == parts.keys() and any(r.held_out for r in whole.values())
+    for i, r in whole.items():
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (parts[i].held_out, parts[i].n_tokens, parts[i].n_known, parts[i].train_tokens)
+        assert math.isclose(r.base_score, parts[i].base_score, rel_tol=1e-9)
+        assert math.isclose(r.score, parts[i].score, abs_tol=0.03 * r.n_tokens + 0.5)  # every trie has its own 256 values
+    assert abs(sum(r.score - parts[i].score for i, r in whole.items())) < 0.01 * sum(r.n_tokens for r in whole.values())
+
+
 def test_probabilities_add_up():
     rng = np.random.default_rng(7)
     text = rng.integers(3, 12, 3000)
